@@ -7,6 +7,7 @@ of the named character references only those in `NAMED_CHARACTERS` are decoded.
 """
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,7 +38,9 @@ NAMED_CHARACTERS = {
     "&eacute;": "é",
 }
 
-_HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+_HIDDEN = (
+    r"(?s)<(?:!--.*?--|(?i:script)\b.*?</(?i:script)\s*|(?i:style)\b.*?</(?i:style)\s*)>"
+)
 _TAG = r"(?s)<[^>]*>"
 _EDGES = r"(?U)^\s+|\s+$"
 _BREAK = "\u0001"
@@ -58,6 +61,16 @@ def _start_tag(tag: str, classes: tuple[str, ...]) -> str:
     return rf"{name}\s(?:[^>]*?\s)?(?i:class)\s*=\s*(?:{quoted}|{token}(?=[\s>]))[^>]*>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def first_match(text: Column, pattern: str, group: int = 0) -> Column:
+    """A regex group, or NULL where the pattern is not found or the group is empty."""
+    return let(F.regexp_extract(text, pattern, group), lambda hit: F.when(hit != "", hit))
+
+
 def find_element(html: Column, tag: str, *classes: str) -> Column:
     """First ``tag`` element with one of the class tokens (any, if none is given), or NULL.
 
@@ -65,11 +78,13 @@ def find_element(html: Column, tag: str, *classes: str) -> Column:
     closed runs to the end of the page.
     """
     start = _start_tag(tag, classes)
-    to_first_end = F.regexp_substr(html, F.lit(rf"(?s){start}.*?(?:</(?i:{tag})\s*>|\z)"))
-    to_page_end = F.regexp_substr(html, F.lit(rf"(?s){start}.*\z"))
-    holds_same_tag = to_first_end.rlike(rf"(?is)^<[^>]*>.*?<{tag}[\s>/]")
-    return F.when(holds_same_tag, _up_to_own_end(to_page_end, tag)).otherwise(
-        F.regexp_replace(to_first_end, rf"(?is)</{tag}\s*>\z", "")
+    to_first_end = first_match(html, rf"(?s){start}.*?(?:</(?i:{tag})\s*>|\z)")
+    to_page_end = first_match(html, rf"(?s){start}.*\z")
+    return let(
+        to_first_end,
+        lambda short: F.when(
+            short.rlike(rf"(?is)^<[^>]*>.*?<{tag}[\s>/]"), _up_to_own_end(to_page_end, tag)
+        ).otherwise(F.regexp_replace(short, rf"(?is)</{tag}\s*>\z", "")),
     )
 
 
@@ -95,7 +110,7 @@ def _up_to_own_end(markup: Column, tag: str) -> Column:
         )
         return F.array_join(F.slice(all_pieces, 1, inside), "")
 
-    return F.transform(F.array(pieces), kept)[0]
+    return let(pieces, kept)
 
 
 def unescape(text: Column) -> Column:
@@ -106,44 +121,51 @@ def unescape(text: Column) -> Column:
         utf32 = F.unhex(F.lpad(F.hex(code), 8, "0"))
         return F.when(is_scalar, F.decode(utf32, "UTF-32")).otherwise("�")
 
+    def code_of(ref: Column, pattern: str, base: int) -> Column:
+        return F.conv(F.regexp_extract(ref, pattern, 1), base, 10).cast("bigint")
+
     def numbered(text: Column, pattern: str, base: int) -> Column:
-        return F.aggregate(
-            F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))),
+        return let(
             text,
-            lambda done, ref: F.replace(
-                done,
-                ref,
-                character(
-                    F.conv(F.regexp_extract(ref, pattern, 1), base, 10).try_cast("bigint")
+            lambda raw: F.aggregate(
+                F.array_distinct(F.regexp_extract_all(raw, F.lit(pattern), F.lit(0))),
+                raw,
+                lambda done, ref: F.replace(
+                    done, ref, let(code_of(ref, pattern, base), character)
                 ),
             ),
         )
 
-    decoded = numbered(text, r"&#([0-9]{1,7});", 10)
-    decoded = numbered(decoded, r"&#[xX]([0-9a-fA-F]{1,6});", 16)
-    for reference, char in NAMED_CHARACTERS.items():
-        decoded = F.replace(decoded, F.lit(reference), F.lit(char))
-    decoded = F.replace(decoded, F.lit("&amp;"), F.lit("&"))
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    def decoded(text: Column) -> Column:
+        text = numbered(text, r"&#([0-9]{1,7});", 10)
+        text = numbered(text, r"&#[xX]([0-9a-fA-F]{1,6});", 16)
+        for reference, char in NAMED_CHARACTERS.items():
+            text = F.replace(text, F.lit(reference), F.lit(char))
+        return F.replace(text, F.lit("&amp;"), F.lit("&"))
+
+    return let(text, lambda raw: F.when(raw.contains("&"), decoded(raw)).otherwise(raw))
+
+
+def plain(element: Column) -> Column:
+    """An element's text as it stands; `clean_texts` finishes it."""
+    return F.regexp_replace(element, _TAG, "")
 
 
-def strip(text: Column) -> Column:
-    """Trim all Unicode white space, no-break spaces too."""
-    return F.regexp_replace(text, _EDGES, "")
+def by_node(element: Column) -> Column:
+    """An element's text with its text nodes still apart; `clean_texts` trims and joins them."""
+    return F.regexp_replace(element, _TAG, _BREAK)
 
 
-def outer_text(element: Column) -> Column:
-    """Text of an element, trimmed at both ends."""
-    return strip(unescape(F.regexp_replace(element, _TAG, "")))
+def clean_texts(*texts: Column) -> Column:
+    """Array of the texts, decoded and trimmed of all Unicode white space."""
 
+    def clean(text: Column) -> Column:
+        joined = F.regexp_replace(unescape(text), rf"(?U)\s*{_BREAK}[\s{_BREAK}]*", "")
+        return F.regexp_replace(joined, _EDGES, "")
 
-def joined_text(element: Column) -> Column:
-    """Text of an element, every text node trimmed before they are joined."""
-    marked = unescape(F.regexp_replace(element, _TAG, _BREAK))
-    return strip(F.regexp_replace(marked, rf"(?U)\s*{_BREAK}[\s{_BREAK}]*", ""))
+    return F.transform(F.array(*texts), clean)
 
 
 def text_node_with(html: Column, sign: str) -> Column:
-    """First text node of the page that holds ``sign``, or NULL."""
-    node = F.regexp_extract(html, rf"(?:^|>)([^<>]*{re.escape(sign)}[^<]*)", 1)
-    return F.nullif(node, F.lit(""))
+    """First text node of the page that holds the character ``sign``, or NULL."""
+    return first_match(html, rf"(?:^|>)([^<>{sign}]*+{sign}[^<]*)", 1)

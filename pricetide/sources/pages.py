@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide.functions.markup import (
+    by_node,
+    clean_texts,
     find_element,
-    joined_text,
-    outer_text,
+    first_match,
+    let,
+    plain,
     text_node_with,
     visible,
 )
@@ -51,7 +54,7 @@ class FieldRule:
 
     def text(self, html: Column) -> Column:
         element = find_element(html, self.tag, *self.classes)
-        found = joined_text(element) if self.join_nodes else outer_text(element)
+        found = by_node(element) if self.join_nodes else plain(element)
         return found if self.otherwise is None else F.coalesce(found, self.otherwise.text(html))
 
 
@@ -61,17 +64,39 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def extract_fields(pages: DataFrame, rules: dict[str, FieldRule]) -> DataFrame:
     """Add one text column per rule to pages with an ``html`` column."""
-    return (
-        pages.withColumn("_visible", visible(F.col("html")))
-        .withColumns({name: rule.text(F.col("_visible")) for name, rule in rules.items()})
-        .drop("_visible")
-    )
+
+    def fields(html: Column) -> Column:
+        texts = clean_texts(*[rule.text(html) for rule in rules.values()])
+        named = enumerate(rules)
+        return let(texts, lambda t: F.struct(*[t[i].alias(name) for i, name in named]))
+
+    return pages.select("*", F.inline(F.array(let(visible(F.col("html")), fields))))
+
+
+def _rows_of(row: Column) -> Column:
+    """The page's row, or none where ``row`` is NULL.
+
+    As a generator it is evaluated once per page: no later filter or projection can move
+    into it and repeat the searches.
+    """
+    return F.inline(F.array_compact(F.array(row)))
+
+
+def _with_rupees(html: Column) -> Column:
+    """The page with its escaped rupee signs written out."""
+    escaped = html.contains("&#")
+    return F.when(escaped, F.regexp_replace(html, RUPEE_ESCAPED, RUPEE)).otherwise(html)
 
 
 def _fetched_at() -> Column:
     return F.date_format("fetched_at", TIMESTAMP_FORMAT)
 
 
+def _observation(**columns: Column) -> Column:
+    columns |= {"timestamp": _fetched_at(), "url": F.col("url")}
+    return F.struct(*[columns[name].alias(name) for name in RAW.names])
+
+
 def extract_shop_a(pages: DataFrame) -> DataFrame:
     """Observations of shop A.
 
@@ -79,43 +104,49 @@ def extract_shop_a(pages: DataFrame) -> DataFrame:
     name and a brand to yield a row. Without a price element the first text with a rupee
     sign is the price.
     """
-    html, page = F.col("_visible"), F.regexp_replace("html", RUPEE_ESCAPED, RUPEE)
-    sold_out = joined_text(find_element(html, *SHOP_A_SOLD_OUT)).contains(SHOP_A_SOLD_OUT_TEXT)
-    page_text = outer_text(F.regexp_replace(html, RUPEE_ESCAPED, RUPEE))
-    price = F.coalesce(
-        joined_text(find_element(html, *SHOP_A_PRICE)),
-        F.trim(text_node_with(page, RUPEE)),
-        F.regexp_substr(page_text, F.lit(RUPEE_AMOUNT)),
-    )
-    return (
-        pages.withColumn("_visible", visible(F.col("html")))
-        .withColumns(
-            {
-                "_sold_out": F.coalesce(sold_out, F.lit(False)),
-                "product_name": outer_text(find_element(html, *SHOP_A_NAME)),
-                "brand": outer_text(find_element(html, *SHOP_A_BRAND)),
-            }
+
+    def row(html: Column) -> Column:
+        texts = clean_texts(
+            by_node(find_element(html, *SHOP_A_SOLD_OUT)),
+            plain(find_element(html, *SHOP_A_NAME)),
+            plain(find_element(html, *SHOP_A_BRAND)),
+            by_node(find_element(html, *SHOP_A_PRICE)),
+            by_node(find_element(html, *SHOP_A_LIST_PRICE)),
         )
-        .withColumns(
-            {
-                "selling_price": F.when(~F.col("_sold_out"), price),
-                "mrp": F.when(
-                    ~F.col("_sold_out"), joined_text(find_element(html, *SHOP_A_LIST_PRICE))
-                ),
-                "status": F.when(F.col("_sold_out"), OUT_OF_STOCK).otherwise(IN_STOCK),
-                "website": F.lit(SHOP_A_WEBSITE),
-                "timestamp": _fetched_at(),
-            }
+        return let(texts, lambda t: observed(t[0], t[1], t[2], t[3], t[4]))
+
+    def price_in_text(page: Column) -> Column:
+        return F.when(
+            page.contains(RUPEE),
+            F.coalesce(
+                F.trim(text_node_with(page, RUPEE)),
+                first_match(plain(visible(page)), RUPEE_AMOUNT),
+            ),
         )
-        .filter(
-            F.col("product_name").isNotNull()
-            & (
-                F.col("_sold_out")
-                | (F.col("selling_price").isNotNull() & F.col("brand").isNotNull())
+
+    def observed(
+        notice: Column, name: Column, brand: Column, price: Column, mrp: Column
+    ) -> Column:
+        sold_out = F.coalesce(notice.contains(SHOP_A_SOLD_OUT_TEXT), F.lit(False))
+        amount = F.coalesce(price, let(_with_rupees(F.col("html")), price_in_text))
+
+        def seen(amount: Column) -> Column:
+            complete = sold_out | (amount.isNotNull() & brand.isNotNull())
+            return F.when(
+                name.isNotNull() & complete,
+                _observation(
+                    product_name=name,
+                    brand=brand,
+                    selling_price=amount,
+                    mrp=F.when(~sold_out, mrp),
+                    status=F.when(sold_out, OUT_OF_STOCK).otherwise(IN_STOCK),
+                    website=F.lit(SHOP_A_WEBSITE),
+                ),
             )
-        )
-        .select(*RAW.names)
-    )
+
+        return let(F.when(~sold_out, amount), seen)
+
+    return pages.select(_rows_of(let(visible(F.col("html")), row)))
 
 
 def extract_shop_b(pages: DataFrame) -> DataFrame:
@@ -125,39 +156,45 @@ def extract_shop_b(pages: DataFrame) -> DataFrame:
     its URL. Prices are kept when out of stock. With only one of the two price places on
     the page, that one serves as price and list price.
     """
-    html = F.col("_visible")
-    block = F.coalesce(
-        find_element(html, *SHOP_B_PRICE_BLOCK), find_element(html, *SHOP_B_PRICE_BLOCK_ELSE)
-    )
-    list_price = F.coalesce(
-        joined_text(find_element(F.col("_block"), *SHOP_B_LIST_PRICE)),
-        joined_text(find_element(F.col("_block"), *SHOP_B_LIST_PRICE_ELSE)),
-    )
-    button = F.lower(joined_text(find_element(html, *SHOP_B_BAG_BUTTON)))
-    available = F.col("_button").isNotNull() & ~F.col("_button").rlike(SHOP_B_SOLD_OUT_TEXT)
-    loaded = F.col("product_name").isNotNull()
-    has_block = F.col("_block").isNotNull()
-    return (
-        pages.withColumn("_visible", visible(F.col("html")))
-        .withColumns(
-            {
-                "product_name": joined_text(find_element(html, *SHOP_B_NAME)),
-                "brand": joined_text(find_element(html, *SHOP_B_BRAND)),
-                "_block": block,
-                "_button": button,
-                "_price": joined_text(find_element(html, *SHOP_B_PRICE)),
-            }
+
+    def row(html: Column) -> Column:
+        block = F.coalesce(
+            find_element(html, *SHOP_B_PRICE_BLOCK),
+            find_element(html, *SHOP_B_PRICE_BLOCK_ELSE),
         )
-        .withColumn("_list_price", list_price)
-        .select(
-            "product_name",
-            F.when(loaded, F.coalesce("_price", "_list_price")).alias("selling_price"),
-            F.when(loaded, F.when(available, IN_STOCK).otherwise(OUT_OF_STOCK)).alias("status"),
-            F.when(loaded, F.when(has_block, F.col("_list_price")).otherwise(F.col("_price")))
-            .alias("mrp"),
-            F.when(loaded, F.col("brand")).alias("brand"),
-            F.when(loaded, F.lit(SHOP_B_WEBSITE)).alias("website"),
-            F.when(loaded, _fetched_at()).alias("timestamp"),
-            "url",
+        return let(block, lambda block: let(texts(html, block), lambda t: F.when(
+            t[0].isNotNull(), observed(block.isNotNull(), t[0], t[1], t[2], t[3], t[4])
+        )))
+
+    def texts(html: Column, block: Column) -> Column:
+        return clean_texts(
+            by_node(find_element(html, *SHOP_B_NAME)),
+            by_node(find_element(html, *SHOP_B_BRAND)),
+            by_node(find_element(html, *SHOP_B_BAG_BUTTON)),
+            by_node(find_element(html, *SHOP_B_PRICE)),
+            by_node(
+                F.coalesce(
+                    find_element(block, *SHOP_B_LIST_PRICE),
+                    find_element(block, *SHOP_B_LIST_PRICE_ELSE),
+                )
+            ),
         )
+
+    def observed(
+        has_block: Column, name: Column, brand: Column, button: Column, price: Column, mrp: Column
+    ) -> Column:
+        sold_out = button.isNull() | F.lower(button).rlike(SHOP_B_SOLD_OUT_TEXT)
+        return _observation(
+            product_name=name,
+            brand=brand,
+            selling_price=F.coalesce(price, mrp),
+            mrp=F.when(has_block, mrp).otherwise(price),
+            status=F.when(sold_out, OUT_OF_STOCK).otherwise(IN_STOCK),
+            website=F.lit(SHOP_B_WEBSITE),
+        )
+
+    only_url = F.struct(
+        *[(F.col(n) if n == "url" else F.lit(None).cast("string")).alias(n) for n in RAW.names]
     )
+    loaded = let(visible(F.col("html")), row)
+    return pages.select(F.inline(F.array(F.coalesce(loaded, only_url))))
