@@ -3,8 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What a price text may carry besides its number.
-PRICE_NOISE = "[₹,]"
+# The characters a price text may carry besides its number.
+PRICE_NOISE = "₹,"
 
 
 def parse_price(price: Column) -> Column:
@@ -13,7 +13,7 @@ def parse_price(price: Column) -> Column:
     Numeric input passes through its text form. ``try_cast`` keeps bad text from
     failing the job under ANSI mode.
     """
-    return F.trim(F.regexp_replace(price.cast("string"), PRICE_NOISE, "")).try_cast("double")
+    return F.trim(F.translate(price.cast("string"), PRICE_NOISE, "")).try_cast("double")
 
 
 def parse_timestamp(text: Column) -> Column:

@@ -8,16 +8,20 @@ from pricetide.operators.clean import clean_prices, filter_valid
 from pricetide.operators.hot_keys import HOT_ROWS, find_hot_keys
 
 
-def forward_fill(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def forward_fill(
+    df: DataFrame, hot_rows: int = HOT_ROWS, counted: DataFrame | None = None
+) -> DataFrame:
     """Add ``mrp_ffill`` and ``mrp_final``: the newest known list price of the page so far.
 
     Rows of one page with equal timestamps see each other's list price, the highest one
     winning for rows that have none; so the result does not depend on row order.
 
     Ordinary pages need one shuffle by ``url``, which the daily aggregation reuses.
-    Pages with more than ``hot_rows`` rows are filled piecewise (`_fill_hot`).
+    Pages with more than ``hot_rows`` rows are filled piecewise (`_fill_hot`). They are
+    counted in ``counted``, a frame that holds at least these rows and is cheaper to read,
+    such as the observations before they were cleaned and filtered.
     """
-    hot = find_hot_keys(df, "url", hot_rows)
+    hot = find_hot_keys(df if counted is None else counted, "url", hot_rows)
     if hot is None:
         return _fill_window(df)
     ordinary, crowded = hot.split(df)
@@ -103,11 +107,13 @@ def add_discount(df: DataFrame) -> DataFrame:
     )
 
 
-def enrich(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def enrich(
+    df: DataFrame, hot_rows: int = HOT_ROWS, counted: DataFrame | None = None
+) -> DataFrame:
     """Cleaned observations to enriched ones; out-of-stock rows never supply a list price."""
     return (
         df.transform(filter_valid)
-        .transform(forward_fill, hot_rows)
+        .transform(forward_fill, hot_rows, df if counted is None else counted)
         .transform(add_final_price)
         .transform(add_discount)
     )
@@ -115,4 +121,4 @@ def enrich(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
 def process(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Scraped text to enriched observations in one go."""
-    return df.transform(clean_prices).transform(enrich, hot_rows)
+    return df.transform(clean_prices).transform(enrich, hot_rows, df)

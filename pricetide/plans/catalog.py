@@ -58,11 +58,13 @@ LAST_DAY = "2024-01-30"
 FEW_ROWS = 20
 
 
-def checked(sql: str | None = None) -> Callable[[Query], Query]:
+def checked(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query, and the SQL that must give the same rows, under ``name``."""
+
     def register(query: Query) -> Query:
-        QUERIES[query.__name__] = query
+        QUERIES[name] = query
         if sql is not None:
-            SQL[query.__name__] = sql
+            SQL[name] = sql
         return query
 
     return register
@@ -194,7 +196,7 @@ def _priced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _enriched_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(_priced(spark, sf_dir))
+    return enrich(_priced(spark, sf_dir), counted=observations(spark, sf_dir))
 
 
 def _daily_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,31 +211,28 @@ def _key() -> list[str]:
 
 
 @checked(
-    f"""SELECT mrp AS mrp_text, selling_price AS selling_text, {_parsed("mrp")} AS mrp,
-               {_parsed("selling_price")} AS selling_price, count(*) AS n
-        FROM ({RAW_SQL}) GROUP BY ALL"""
+    "parse_price",
+    f"""SELECT url, website, mrp AS mrp_text, selling_price AS selling_text,
+               {_parsed("mrp")} AS mrp, {_parsed("selling_price")} AS selling_price
+        FROM ({RAW_SQL})""",
 )
 def parse_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price texts and their numbers, by distinct text."""
-    texts = (
-        observations(spark, sf_dir)
-        .groupBy(F.col("mrp").alias("mrp_text"), F.col("selling_price").alias("selling_text"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return texts.select(
-        "mrp_text",
-        "selling_text",
-        parse_price(F.col("mrp_text")).alias("mrp"),
-        parse_price(F.col("selling_text")).alias("selling_price"),
-        "n",
+    return observations(spark, sf_dir).select(
+        "url",
+        "website",
+        F.col("mrp").alias("mrp_text"),
+        F.col("selling_price").alias("selling_text"),
+        parse_price(F.col("mrp")).alias("mrp"),
+        parse_price(F.col("selling_price")).alias("selling_price"),
     )
 
 
 @checked(
+    "parse_timestamp",
     f"""SELECT url, website, strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f') AS "timestamp",
                CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS date,
                TRUE AS broken_is_null
-        FROM ({RAW_SQL})"""
+        FROM ({RAW_SQL})""",
 )
 def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Timestamps, their dates, and NULL for a text whose month and day are swapped to 99."""
@@ -250,16 +249,20 @@ def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@checked(_select(RAW_NAMES, f"({CLEAN_SQL})"))
+@checked(
+    "clean_prices",
+    _select(RAW_NAMES, f"({CLEAN_SQL})"),
+)
 def clean_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(_clean(spark, sf_dir))
 
 
 @checked(
+    "split_valid",
     f"""SELECT *, 'valid' AS part FROM ({_select(RAW_NAMES, f"({PRICED_SQL})")})
         UNION ALL
         SELECT *, 'rejected' AS part
-        FROM ({_select(RAW_NAMES, f"({CLEAN_SQL}) WHERE selling_price IS NULL")})"""
+        FROM ({_select(RAW_NAMES, f"({CLEAN_SQL}) WHERE selling_price IS NULL")})""",
 )
 def split_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, rejected = split_valid(_clean(spark, sf_dir))
@@ -271,9 +274,10 @@ def split_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @checked(
+    "reject_count",
     f"""SELECT website, count(*) AS "rows",
                count(*) FILTER (WHERE selling_price IS NULL) AS rejected
-        FROM ({CLEAN_SQL}) GROUP BY website"""
+        FROM ({CLEAN_SQL}) GROUP BY website""",
 )
 def reject_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
@@ -287,17 +291,21 @@ def reject_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @checked(
+    "valid_filter",
     _select(
         RAW_NAMES,
         f"({CLEAN_SQL}) WHERE status = 'In Stock'"
         " AND (mrp IS NOT NULL OR selling_price IS NOT NULL)",
-    )
+    ),
 )
 def valid_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(filter_valid(_clean(spark, sf_dir)))
 
 
-@checked(_select(RAW_NAMES, f"({CLEAN_SQL})"))
+@checked(
+    "combine_sources",
+    _select(RAW_NAMES, f"({CLEAN_SQL})"),
+)
 def combined_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two shops with columns in different order, and a third that delivered nothing."""
     everything = observations(spark, sf_dir)
@@ -311,13 +319,19 @@ def combined_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 FILLED_NAMES = [*_key(), "mrp", "mrp_ffill", "mrp_final"]
 
 
-@checked(_select(FILLED_NAMES, f"({_enriched(CLEAN_SQL)})"))
+@checked(
+    "ffill_list_price",
+    _select(FILLED_NAMES, f"({_enriched(CLEAN_SQL)})"),
+)
 def ffill_list_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     filled = forward_fill(filter_valid(_clean(spark, sf_dir)))
     return comparable(filled.select(*FILLED_NAMES))
 
 
-@checked(_select(FILLED_NAMES, f"({_enriched(CLEAN_SQL)})"))
+@checked(
+    "ffill_hot_pages",
+    _select(FILLED_NAMES, f"({_enriched(CLEAN_SQL)})"),
+)
 def ffill_hot_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, with most pages taken for too crowded and filled piecewise."""
     filled = forward_fill(filter_valid(_clean(spark, sf_dir)), hot_rows=FEW_ROWS)
@@ -327,18 +341,22 @@ def ffill_hot_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 FINAL_NAMES = [*_key(), "selling_price", "mrp_final", "final_price"]
 
 
-@checked(_select(FINAL_NAMES, f"({_enriched(CLEAN_SQL)})"))
+@checked(
+    "final_price",
+    _select(FINAL_NAMES, f"({_enriched(CLEAN_SQL)})"),
+)
 def final_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     priced = add_final_price(forward_fill(filter_valid(_clean(spark, sf_dir))))
     return comparable(priced.select(*FINAL_NAMES))
 
 
 @checked(
+    "discount",
     f"""SELECT {", ".join(_shown(n) for n in _key())}, list_price, selling_price,
                round((list_price - selling_price) / nullif(list_price, 0) * 100, 2)
                    AS Discount_Percentage
         FROM (SELECT *, CASE WHEN status = 'In Stock' THEN mrp ELSE 0 END AS list_price
-              FROM ({CLEAN_SQL}))"""
+              FROM ({CLEAN_SQL}))""",
 )
 def discounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Discount against the scraped list price, taken as zero when out of stock."""
@@ -357,7 +375,10 @@ def discounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@checked(_select(ENRICHED_NAMES, f"({_enriched(CLEAN_SQL)})"))
+@checked(
+    "enrich_all",
+    _select(ENRICHED_NAMES, f"({_enriched(CLEAN_SQL)})"),
+)
 def enrich_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(process(observations(spark, sf_dir)))
 
@@ -368,27 +389,42 @@ CLOSING_NAMES = ["closing_price", "last_scrape_time", "status"]
 METRIC_NAMES = [name for name in DAILY_NAMES if name not in CLOSING_NAMES]
 
 
-@checked(_select(METRIC_NAMES, f"({DAILY_SQL})"))
+@checked(
+    "daily_metrics",
+    _select(METRIC_NAMES, f"({DAILY_SQL})"),
+)
 def metrics_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(daily_metrics(_enriched_frame(spark, sf_dir)))
 
 
-@checked(_select([*DAILY_KEYS, *CLOSING_NAMES], f"({DAILY_SQL})"))
+@checked(
+    "latest_per_day",
+    _select([*DAILY_KEYS, *CLOSING_NAMES], f"({DAILY_SQL})"),
+)
 def closing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(latest_per_day(_enriched_frame(spark, sf_dir)))
 
 
-@checked(_select(DAILY_NAMES, f"({DAILY_SQL})"))
+@checked(
+    "daily_join_form",
+    _select(DAILY_NAMES, f"({DAILY_SQL})"),
+)
 def daily_join_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(daily_prices_joined(_enriched_frame(spark, sf_dir)))
 
 
-@checked(_select(DAILY_NAMES, f"({DAILY_SQL})"))
+@checked(
+    "daily_one_pass",
+    _select(DAILY_NAMES, f"({DAILY_SQL})"),
+)
 def daily_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(_daily_frame(spark, sf_dir))
 
 
-@checked(_select(DAILY_NAMES, f"({DAILY_SQL})"))
+@checked(
+    "daily_hot_pages",
+    _select(DAILY_NAMES, f"({DAILY_SQL})"),
+)
 def daily_hot_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily rows after the piecewise fill of crowded pages."""
     enriched = enrich(_priced(spark, sf_dir), hot_rows=FEW_ROWS)
@@ -398,31 +434,44 @@ def daily_hot_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- signals and alerts
 
 
-@checked(_select([*DAILY_KEYS, "closing_price", "avg_price_7d"], f"({_signals(DAILY_SQL)})"))
+@checked(
+    "trailing_avg",
+    _select([*DAILY_KEYS, "closing_price", "avg_price_7d"], f"({_signals(DAILY_SQL)})"),
+)
 def trailing_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     averaged = trailing_avg(_daily_frame(spark, sf_dir))
     return comparable(averaged.select(*DAILY_KEYS, "closing_price", "avg_price_7d"))
 
 
-@checked(_select(ALERT_NAMES, f"({_signals(DAILY_SQL)})"))
+@checked(
+    "signals",
+    _select(ALERT_NAMES, f"({_signals(DAILY_SQL)})"),
+)
 def all_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(signals(_daily_frame(spark, sf_dir)))
 
 
-@checked(_select(ALERT_NAMES, f"({_buys(DAILY_SQL)})"))
+@checked(
+    "buy_alerts",
+    _select(ALERT_NAMES, f"({_buys(DAILY_SQL)})"),
+)
 def day_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(buy_alerts(signals(_daily_frame(spark, sf_dir)), LAST_DAY))
 
 
-@checked(_select(ALERT_NAMES, f"({_buys(DAILY_SQL)})"))
+@checked(
+    "signals_pruned",
+    _select(ALERT_NAMES, f"({_buys(DAILY_SQL)})"),
+)
 def day_alerts_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(signals_on(_daily_frame(spark, sf_dir), LAST_DAY))
 
 
 @checked(
+    "alert_payload",
     f"""SELECT {", ".join(n if n != "avg_discount_day" else _shown(n) for n in PAYLOAD_FIELDS
                            if n != "date")}, CAST(date AS VARCHAR) AS date
-        FROM ({_signals(DAILY_SQL)}) WHERE signal = 'BUY'"""
+        FROM ({_signals(DAILY_SQL)}) WHERE signal = 'BUY'""",
 )
 def alert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads of every BUY row, read back from their JSON."""
@@ -450,12 +499,14 @@ _SECOND_SQL = _from(
 
 def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Daily rows up to the 20th; then the afternoons from the 15th and all later days."""
+    everything = observations(spark, sf_dir)
     priced, stamp = _priced(spark, sf_dir), F.col("timestamp")
     after_overlap = F.to_date(stamp) > F.lit(OVERLAP_TO).cast("date")
     afternoon = (F.to_date(stamp) >= F.lit(OVERLAP_FROM).cast("date")) & (F.hour(stamp) >= 12)
     first = priced.filter(~after_overlap)
     second = priced.filter(afternoon | after_overlap)
-    return daily_prices(enrich(first)), daily_prices(enrich(second))
+    first, second = (enrich(batch, counted=everything) for batch in (first, second))
+    return daily_prices(first), daily_prices(second)
 
 
 _SAME_KEY = "s.url = t.url AND s.website = t.website AND s.date = t.date"
@@ -466,7 +517,9 @@ _UPSERT_SQL = f"""
     {_select(DAILY_NAMES, "merged")}"""
 
 
-@checked(_UPSERT_SQL)
+@checked(
+    "upsert_all",
+    _UPSERT_SQL)
 def upsert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = layer_path(scratch_path(spark), "processed")
     for batch in _batches(spark, sf_dir):
@@ -474,7 +527,9 @@ def upsert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(read_table(spark, path).select(*DAILY_NAMES))
 
 
-@checked(_UPSERT_SQL)
+@checked(
+    "upsert_twice",
+    _UPSERT_SQL)
 def upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = layer_path(scratch_path(spark), "processed")
     first, second = _batches(spark, sf_dir)
@@ -484,6 +539,7 @@ def upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @checked(
+    "upsert_columns",
     f"""WITH t AS ({_signals(_daily(_FIRST_SQL))}), s AS ({_signals(_daily(_SECOND_SQL))}),
              merged AS (
         SELECT coalesce(t.url, s.url) AS url, coalesce(t.website, s.website) AS website,
@@ -496,7 +552,7 @@ def upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
                    for n in ALERT_NAMES
                    if n not in (*DAILY_KEYS, "brand", "product_name", "mrp_final"))}
         FROM t FULL JOIN s ON {_SAME_KEY})
-        {_select(ALERT_NAMES, "merged")}"""
+        {_select(ALERT_NAMES, "merged")}""",
 )
 def upsert_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts of two runs: a repeated one keeps brand, product name and list price."""
@@ -514,8 +570,9 @@ def _two_loads(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 @checked(
+    "incremental_append",
     f"""SELECT *, CASE WHEN "timestamp" >= '2024-01-16' THEN 'second' END AS batch
-        FROM ({_select(RAW_NAMES, f"({PRICED_SQL})")})"""
+        FROM ({_select(RAW_NAMES, f"({PRICED_SQL})")})""",
 )
 def incremental_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half the month, then everything, which adds the newer half and one column."""
@@ -524,7 +581,10 @@ def incremental_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_loads(first, priced.withColumn("batch", F.lit("second")))
 
 
-@checked(_select(RAW_NAMES, f"({PRICED_SQL}) WHERE \"timestamp\" >= DATE '2024-01-10'"))
+@checked(
+    "incremental_late_row",
+    _select(RAW_NAMES, f"({PRICED_SQL}) WHERE \"timestamp\" >= DATE '2024-01-10'"),
+)
 def incremental_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The later days first: what comes after them but is older stays out."""
     priced = _priced(spark, sf_dir)
@@ -533,8 +593,9 @@ def incremental_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @checked(
+    "raw_roundtrip",
     f"""SELECT *, CAST(1 + (hour(CAST("timestamp" AS TIMESTAMP)) >= 12)::INT AS BIGINT) AS n
-        FROM ({_select(RAW_NAMES, f"({PRICED_SQL})")})"""
+        FROM ({_select(RAW_NAMES, f"({PRICED_SQL})")})""",
 )
 def raw_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw JSON lines written in two appends, the afternoons twice, and read back."""
@@ -561,9 +622,10 @@ def _tag_text(tag: str) -> str:
 
 
 @checked(
+    "page_fields",
     f"""SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1) AS host,
                {_tag_text("h1")} AS heading, {_tag_text("title")} AS title
-        FROM pages"""
+        FROM pages""",
 )
 def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = {
@@ -585,6 +647,7 @@ _PART_TIME = "strftime(TIMESTAMP '2024-01-01' + to_seconds(p_partkey), '%Y-%m-%d
 
 
 @checked(
+    "extract_shop_a",
     f"""SELECT p_name || ' & co' AS product_name,
                CASE layout WHEN 0 THEN NULL WHEN 2 THEN '₹' ELSE {_PART_PRICE} END
                    AS selling_price,
@@ -592,13 +655,14 @@ _PART_TIME = "strftime(TIMESTAMP '2024-01-01' + to_seconds(p_partkey), '%Y-%m-%d
                CASE WHEN layout IN (1, 2) THEN {_PART_LIST} END AS mrp,
                p_brand AS brand, 'Flipkart' AS website, {_PART_TIME} AS "timestamp",
                'https://shop/p/' || p_partkey AS url
-        FROM (SELECT *, p_partkey % 6 AS layout FROM part) WHERE layout < 4"""
+        FROM (SELECT *, p_partkey % 6 AS layout FROM part) WHERE layout < 4""",
 )
 def shop_a_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_shop_a(shop_a_pages(spark, sf_dir))
 
 
 @checked(
+    "extract_shop_b",
     f"""SELECT CASE WHEN layout < 6 THEN p_name || ' & co' END AS product_name,
                CASE WHEN layout = 2 THEN {_PART_LIST}
                     WHEN layout < 6 THEN {_PART_PRICE} END AS selling_price,
@@ -610,7 +674,7 @@ def shop_a_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
                CASE WHEN layout < 6 THEN 'ajio' END AS website,
                CASE WHEN layout < 6 THEN {_PART_TIME} END AS "timestamp",
                'https://shop/p/' || p_partkey AS url
-        FROM (SELECT *, p_partkey % 7 AS layout FROM part)"""
+        FROM (SELECT *, p_partkey % 7 AS layout FROM part)""",
 )
 def shop_b_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_shop_b(shop_b_pages(spark, sf_dir))
@@ -620,8 +684,9 @@ def shop_b_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @checked(
+    "grain_duplicates",
     f"""SELECT url, CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS date, count(*) AS count
-        FROM ({PRICED_SQL}) GROUP BY ALL HAVING count(*) > 1"""
+        FROM ({PRICED_SQL}) GROUP BY ALL HAVING count(*) > 1""",
 )
 def grain_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages scraped more than once a day: duplicates of the grain (url, date)."""
@@ -630,10 +695,11 @@ def grain_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @checked(
+    "schema_report",
     f"""SELECT {", ".join(f"lower(typeof({n})) AS {n}" for n in
                           ("mrp", "selling_price", "timestamp", "mrp_final", "final_price",
                            "Discount_Percentage"))}, count(*) AS n
-        FROM ({_enriched(CLEAN_SQL)}) GROUP BY ALL"""
+        FROM ({_enriched(CLEAN_SQL)}) GROUP BY ALL""",
 )
 def column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Types of the cleaned and derived columns, with the number of rows that have them."""
@@ -645,7 +711,10 @@ def column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@checked(_select(ALERT_NAMES, f"({_buys(DAILY_SQL)})"))
+@checked(
+    "full_run",
+    _select(ALERT_NAMES, f"({_buys(DAILY_SQL)})"),
+)
 def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both shops through every layer in one batch; the alert table of the last day."""
     everything, root = observations(spark, sf_dir), scratch_path(spark)
@@ -660,7 +729,8 @@ _TODAY_SQL = _daily(_from(PRICED_SQL, f"\"timestamp\" >= DATE '{LAST_DAY}'"))
 
 
 @checked(
-    _select(ALERT_NAMES, f"({_buys(f'{_BEFORE_SQL} UNION ALL {_TODAY_SQL}')})")
+    "full_run_with_history",
+    _select(ALERT_NAMES, f"({_buys(f'{_BEFORE_SQL} UNION ALL {_TODAY_SQL}')})"),
 )
 def full_run_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The month up to the last day, then the last day alone judged by the stored history."""

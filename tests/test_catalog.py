@@ -1,0 +1,39 @@
+"""Every registered query against its SQL twin on the smallest test tables."""
+
+import glob
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as spec
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in glob.glob(f"{SF_DIR}/*.parquet"):
+        table = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def test_every_query_has_sql():
+    assert set(spec.queries()) == set(spec.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(spec.queries()))
+def test_query_matches_sql(spark, duck, name):
+    df = spec.queries()[name](spark, SF_DIR)
+    names = sorted(df.columns)
+    got = sorted(map(str, (tuple(r) for r in df.select(*names).collect())))
+    columns = ", ".join(f'"{n}"' for n in names)
+    cursor = duck.execute(f"SELECT {columns} FROM ({spec.oracle_sql()[name]})")
+    assert got == sorted(map(str, cursor.fetchall()))
+    assert got
+
+
+def test_entry(spark):
+    assert spec.entry(spark).count() > 0

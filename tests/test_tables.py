@@ -1,0 +1,292 @@
+import datetime
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from pricetide.operators.daily import daily_prices
+from pricetide.operators.quality import duplicate_keys
+from pricetide.schema import ALERT, DAILY, DAILY_KEYS, RAW
+from pricetide.sources.paths import layer_path, scratch_path, stage, table_exists
+from pricetide.sources.tables import (
+    append_raw,
+    high_water_mark,
+    incremental_append,
+    merge_into,
+    raw_frame,
+    read_raw,
+    read_table,
+    upsert,
+    write_alerts,
+    write_daily,
+)
+from tests.test_daily import DAY, SCHEMA
+
+
+def rows(df, names=None):
+    return sorted(map(str, df.select(*(names or sorted(df.columns))).collect()))
+
+
+def day_rows(spark, *values, schema=DAILY):
+    full = []
+    for given in values:
+        row = dict.fromkeys(schema.names) | given
+        if isinstance(row["date"], str):
+            row["date"] = datetime.date.fromisoformat(row["date"])
+        full.append(tuple(row[n] for n in schema.names))
+    return spark.createDataFrame(full, schema)
+
+
+def test_layer_paths():
+    assert layer_path("s3a://b/x/", "raw") == "s3a://b/x/Data/raw/"
+    assert layer_path("/r", "gold_alerts", {"gold_alerts": "/g/"}) == "/r/g/"
+    with pytest.raises(ValueError, match="unknown layer"):
+        layer_path("/r", "bronze")
+    with pytest.raises(ValueError, match="no folder"):
+        layer_path("/r", "raw", {"raw": ""})
+
+
+def test_table_exists(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert not table_exists(spark, path)
+    (tmp_path / "empty").mkdir()
+    assert not table_exists(spark, str(tmp_path / "empty"))
+    spark.range(3).write.parquet(path)
+    assert table_exists(spark, path)
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="FOOTER|Parquet|parquet"):
+        table_exists(spark, str(tmp_path / "bad"))
+
+
+def test_stage_uses_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    path = scratch_path(spark)
+    assert path != scratch_path(spark)
+    if shared:
+        assert path.startswith(shared)
+    df = spark.range(5).withColumn("x", F.lit(None).cast("double"))
+    assert rows(stage(df)) == rows(df)
+
+
+def test_silver_idempotency(spark, frame, tmp_path):
+    path, daily = str(tmp_path / "silver"), daily_prices(frame(DAY, SCHEMA))
+    write_daily(daily, path)
+    once = rows(read_table(spark, path))
+    write_daily(daily, path)
+    assert rows(read_table(spark, path)) == once
+    assert duplicate_keys(read_table(spark, path), DAILY_KEYS).count() == 0
+
+
+def test_second_batch_replaces_the_day(spark, frame, tmp_path):
+    path = str(tmp_path / "silver")
+    write_daily(daily_prices(frame(DAY, SCHEMA)), path)
+    later = ("2025-01-10 18:00:00", "url1", "Nike", "Shoe", 80.0, 120.0, 33.33, "In Stock", "siteA")
+    write_daily(daily_prices(frame([later], SCHEMA)), path)
+    (row,) = read_table(spark, path).collect()
+    assert (row.num_scrapes_day, row.min_price_day, row.max_price_day) == (1, 80.0, 80.0)
+
+
+def test_upsert_touches_only_the_days_of_the_batch(spark, tmp_path):
+    path = str(tmp_path / "t")
+    base = {"website": "s", "closing_price": 1.0}
+    upsert(
+        day_rows(
+            spark,
+            base | {"url": "a", "date": "2025-01-01"},
+            base | {"url": "a", "date": "2025-01-02"},
+            base | {"url": "b", "date": "2025-01-02"},
+        ),
+        path,
+    )
+    first_day = sorted((tmp_path / "t" / "date=2025-01-01").iterdir())
+    new = {"website": "s", "closing_price": 9.0}
+    upsert(
+        day_rows(
+            spark,
+            new | {"url": "a", "date": "2025-01-02"},
+            new | {"url": "c", "date": "2025-01-03"},
+        ),
+        path,
+    )
+    assert sorted((tmp_path / "t" / "date=2025-01-01").iterdir()) == first_day
+    stored = {(r.url, str(r.date)): r.closing_price for r in read_table(spark, path).collect()}
+    assert stored == {
+        ("a", "2025-01-01"): 1.0,
+        ("a", "2025-01-02"): 9.0,
+        ("b", "2025-01-02"): 1.0,
+        ("c", "2025-01-03"): 9.0,
+    }
+
+
+def test_many_days_are_found_by_range(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("pricetide.sources.tables.MAX_LISTED_DAYS", 1)
+    path = str(tmp_path / "t")
+    days = [{"url": "a", "website": "s", "date": f"2025-01-0{d}"} for d in range(1, 6)]
+    upsert(day_rows(spark, *days), path)
+    changed = [d | {"status": "new"} for d in days[1:4:2]]
+    upsert(day_rows(spark, *changed), path)
+    stored = {str(r.date): r.status for r in read_table(spark, path).collect()}
+    assert stored == {
+        "2025-01-01": None,
+        "2025-01-02": "new",
+        "2025-01-03": None,
+        "2025-01-04": "new",
+        "2025-01-05": None,
+    }
+
+
+def test_null_keys_never_match_and_null_dates_are_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    stray = day_rows(spark, {"url": None, "website": "s", "date": "2025-01-01"})
+    upsert(stray, path)
+    upsert(stray, path)
+    assert read_table(spark, path).count() == 2
+    with pytest.raises(ValueError, match="NULL date"):
+        upsert(day_rows(spark, {"url": "a", "website": "s", "date": None}), path)
+
+
+def test_duplicate_keys_in_a_batch_are_found_on_request(spark, tmp_path):
+    twice = [{"url": "a", "website": "s", "date": "2025-01-01"}] * 2
+    with pytest.raises(ValueError, match="duplicate key"):
+        upsert(day_rows(spark, *twice), str(tmp_path / "t"), check_unique=True)
+
+
+def test_empty_batch_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    empty = day_rows(spark, {"url": "x", "website": "s", "date": "2025-01-01"}).filter("false")
+    upsert(empty, path)
+    assert not table_exists(spark, path)
+    upsert(day_rows(spark, {"url": "a", "website": "s", "date": "2025-01-01"}), path)
+    upsert(empty, path)
+    assert read_table(spark, path).count() == 1
+
+
+ALERT_ROW = {
+    "url": "url1",
+    "website": "siteA",
+    "date": "2025-01-10",
+    "brand": "Nike",
+    "product_name": "Shoe",
+    "mrp_final": 120.0,
+    "closing_price": 90.0,
+    "min_price_day": 88.0,
+    "num_scrapes_day": 2,
+    "signal": "BUY",
+}
+
+
+def test_alert_upsert_keeps_product_fields(spark, tmp_path):
+    path = str(tmp_path / "gold")
+    write_alerts(day_rows(spark, ALERT_ROW, schema=ALERT), path)
+    changed = ALERT_ROW | {
+        "brand": "NIKE",
+        "product_name": "SHOE",
+        "mrp_final": 130.0,
+        "closing_price": 85.0,
+        "min_price_day": None,
+    }
+    fresh = changed | {"url": "url2"}
+    write_alerts(day_rows(spark, changed, fresh, schema=ALERT), path)
+    stored = {r.url: r for r in read_table(spark, path).collect()}
+    old, new = stored["url1"], stored["url2"]
+    assert (old.brand, old.product_name, old.mrp_final) == ("Nike", "Shoe", 120.0)
+    assert (old.closing_price, old.min_price_day) == (85.0, None)
+    assert (new.brand, new.product_name, new.mrp_final, new.closing_price) == (
+        "NIKE",
+        "SHOE",
+        130.0,
+        85.0,
+    )
+
+
+def test_first_alert_batch_defaults_the_count(spark, tmp_path):
+    path = str(tmp_path / "gold")
+    missing = ALERT_ROW | {"num_scrapes_day": None}
+    write_alerts(day_rows(spark, missing, schema=ALERT), path)
+    assert read_table(spark, path).first().num_scrapes_day == 1
+    write_alerts(day_rows(spark, missing | {"url": "url2"}, schema=ALERT), path)
+    counts = {r.url: r.num_scrapes_day for r in read_table(spark, path).collect()}
+    assert counts == {"url1": 1, "url2": None}
+
+
+def test_repeated_alert_in_one_batch_is_stored_once(spark, tmp_path):
+    path = str(tmp_path / "gold")
+    late = ALERT_ROW | {"last_scrape_time": datetime.datetime(2025, 1, 10, 9), "signal": "LATE"}
+    early = ALERT_ROW | {"last_scrape_time": datetime.datetime(2025, 1, 10, 8)}
+    write_alerts(day_rows(spark, early, late, schema=ALERT), path)
+    assert [r.signal for r in read_table(spark, path).collect()] == ["LATE"]
+
+
+def test_raw_round_trip_and_repeated_append(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    df = raw_frame(spark, [{"url": "u", "mrp": "₹5", "timestamp": "2025-01-01 10:00:00"}])
+    append_raw(df, path)
+    append_raw(df, path)
+    again = read_raw(spark, path)
+    assert again.schema == RAW
+    assert rows(again) == rows(df.union(df))
+
+
+def loads(spark, *values):
+    stamps = [(i, n, datetime.datetime.fromisoformat(t)) for i, n, t in values]
+    return spark.createDataFrame(stamps, "id bigint, name string, timestamp timestamp")
+
+
+def test_incremental_loads(spark, tmp_path):
+    path = str(tmp_path / "target")
+
+    def state():
+        table = read_table(spark, path)
+        newest = table.agg(F.max("timestamp")).first()[0]
+        return table.count(), str(newest)
+
+    source = loads(spark, (1, "a1", "2025-01-01 10:00:00"), (2, "b1", "2025-01-01 10:00:00"))
+    assert incremental_append(source, path) == 2
+    assert state() == (2, "2025-01-01 10:00:00")
+    source = source.union(
+        loads(spark, (1, "a2", "2025-01-02 11:00:00"), (2, "b2", "2025-01-02 11:00:00"))
+    )
+    assert incremental_append(source, path) == 2
+    assert state() == (4, "2025-01-02 11:00:00")
+    source = source.union(
+        loads(spark, (1, "a3", "2025-01-01 10:30:00"), (2, "b3", "2025-01-01 10:30:00"))
+    )
+    assert incremental_append(source, path) == 0
+    assert state() == (4, "2025-01-02 11:00:00")
+
+
+def test_new_columns_arrive_with_later_loads(spark, tmp_path):
+    path = str(tmp_path / "target")
+    incremental_append(loads(spark, (1, "a", "2025-01-01 10:00:00")), path)
+    wider = loads(spark, (2, "b", "2025-01-02 10:00:00")).withColumn("extra", F.lit(7))
+    incremental_append(wider, path)
+    table = read_table(spark, path, merge_schema=True)
+    assert {(r.id, r.extra) for r in table.collect()} == {(1, None), (2, 7)}
+
+
+def test_table_without_watermark_takes_everything(spark, tmp_path):
+    path = str(tmp_path / "target")
+    empty = loads(spark, (1, "a", "2025-01-01 10:00:00"))
+    empty.withColumn("timestamp", F.lit(None).cast("timestamp")).write.parquet(path)
+    assert high_water_mark(spark.read.parquet(path)) is None
+    assert incremental_append(loads(spark, (2, "b", "2020-01-01 10:00:00")), path) == 1
+
+
+def test_watermark_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "source")
+    loads(spark, (1, "a", "2025-01-01 10:00:00.123456")).write.parquet(path)
+    source = spark.read.parquet(path)
+    mark = high_water_mark(source)
+    plan = source.filter(F.col("timestamp") > mark)._jdf.queryExecution().executedPlan()
+    assert "GreaterThan(timestamp,2025-01-01" in plan.toString()
+    assert source.filter(F.col("timestamp") > mark).count() == 0
+    assert source.filter(F.col("timestamp") >= mark).count() == 1
+
+
+def test_merge_needs_a_table_format_with_merge(spark, tmp_path):
+    df = day_rows(spark, {"url": "a", "website": "s", "date": "2025-01-01"})
+    df.createOrReplaceTempView("no_merge_here")
+    for update_cols in (None, ["status"]):
+        with pytest.raises(AnalysisException, match="MERGE"):
+            merge_into(df, "no_merge_here", update_cols=update_cols)
