@@ -71,7 +71,7 @@ def checked(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Dates and timestamps as text, averages to six decimals: the same in every engine."""
+    """Dates and timestamps as text, averages to nine decimals: the same in every engine."""
 
     def shown(field: T.StructField) -> F.Column:
         column = F.col(field.name)
@@ -80,7 +80,7 @@ def comparable(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, T.DateType):
             column = column.cast("string")
         elif field.name.startswith("avg_"):
-            column = F.round(column, 6)
+            column = F.round(column, 9)
         return column.alias(field.name)
 
     return df.select(*[shown(field) for field in df.schema])
@@ -89,13 +89,19 @@ def comparable(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- SQL building blocks
 
 
+def _rounded(expression: str, places: int) -> str:
+    """Spark's ``round`` of a double: half up on its shortest decimal text."""
+    text = f"CAST(CAST({expression} AS VARCHAR) AS DECIMAL(38, 18))"
+    return f"CAST(round({text}, {places}) AS DOUBLE)"
+
+
 def _shown(name: str) -> str:
     if name in ("timestamp", "last_scrape_time"):
         return f"strftime({name}, '%Y-%m-%d %H:%M:%S.%f') AS {name}"
     if name == "date":
         return f"CAST({name} AS VARCHAR) AS {name}"
     if name.startswith("avg_"):
-        return f"round({name}, 6) AS {name}"
+        return f"{_rounded(name, 9)} AS {name}"
     return name
 
 
@@ -134,7 +140,7 @@ PRICED_SQL = f"SELECT * FROM ({CLEAN_SQL}) WHERE selling_price IS NOT NULL"
 
 def _enriched(source: str) -> str:
     return f"""
-    SELECT *, round((mrp_final - final_price) / nullif(mrp_final, 0) * 100, 2)
+    SELECT *, {_rounded("(mrp_final - final_price) / nullif(mrp_final, 0) * 100", 2)}
                   AS Discount_Percentage
     FROM (SELECT *, mrp_ffill AS mrp_final, coalesce(selling_price, mrp_ffill) AS final_price
           FROM (SELECT *, last_value(mrp IGNORE NULLS) OVER (
@@ -164,10 +170,11 @@ def _signals(daily: str) -> str:
     return f"""
     SELECT *, CASE WHEN closing_price <= avg_price_7d * 0.9::DOUBLE OR avg_discount_day >= 10
                    THEN 'BUY' ELSE 'NO_BUY' END AS signal
-    FROM (SELECT *, round(avg(closing_price) OVER (
+    FROM (SELECT *, {_rounded("previous_mean", 2)} AS avg_price_7d
+          FROM (SELECT *, avg(closing_price) OVER (
                               PARTITION BY url, website ORDER BY date
-                              ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 2) AS avg_price_7d
-          FROM ({daily}))"""
+                              ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS previous_mean
+                FROM ({daily})))"""
 
 
 def _buys(daily: str, day: str = LAST_DAY) -> str:
@@ -353,7 +360,7 @@ def final_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 @checked(
     "discount",
     f"""SELECT {", ".join(_shown(n) for n in _key())}, list_price, selling_price,
-               round((list_price - selling_price) / nullif(list_price, 0) * 100, 2)
+               {_rounded("(list_price - selling_price) / nullif(list_price, 0) * 100", 2)}
                    AS Discount_Percentage
         FROM (SELECT *, CASE WHEN status = 'In Stock' THEN mrp ELSE 0 END AS list_price
               FROM ({CLEAN_SQL}))""",

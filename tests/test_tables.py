@@ -1,7 +1,7 @@
 import datetime
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pricetide.operators.daily import daily_prices
@@ -119,6 +119,30 @@ def test_upsert_touches_only_the_days_of_the_batch(spark, tmp_path):
     }
 
 
+def test_crowded_day_is_written_by_several_tasks(spark, tmp_path):
+    """A day that outgrows one task is cut up, and thin days are not scattered over files."""
+    path, size = str(tmp_path / "t"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    crowded = spark.range(40_000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("url"),
+        F.lit("s").alias("website"),
+        F.when(F.col("id") % 10 == 0, F.lit("2025-01-02"))
+        .otherwise("2025-01-01")
+        .cast("date")
+        .alias("date"),
+    )
+    normal = spark.conf.get(size)
+    try:
+        spark.conf.set(size, "256k")
+        upsert(crowded, path)
+        upsert(crowded, path)
+    finally:
+        spark.conf.set(size, normal)
+    files = {d: len(list((tmp_path / "t" / f"date={d}").glob("*.parquet"))) for d in
+             ("2025-01-01", "2025-01-02")}
+    assert files["2025-01-01"] > 2 >= files["2025-01-02"]
+    assert read_table(spark, path).count() == 40_000
+
+
 def test_many_days_are_found_by_range(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("pricetide.sources.tables.MAX_LISTED_DAYS", 1)
     path = str(tmp_path / "t")
@@ -288,5 +312,5 @@ def test_merge_needs_a_table_format_with_merge(spark, tmp_path):
     df = day_rows(spark, {"url": "a", "website": "s", "date": "2025-01-01"})
     df.createOrReplaceTempView("no_merge_here")
     for update_cols in (None, ["status"]):
-        with pytest.raises(AnalysisException, match="MERGE"):
+        with pytest.raises(PySparkException, match="MERGE"):
             merge_into(df, "no_merge_here", update_cols=update_cols)
