@@ -11,7 +11,7 @@ from pricetide.operators.signals import (
     signals_on,
     trailing_avg,
 )
-from pricetide.plans.run import run_pipeline
+from pricetide.plans.run import run_from_pages, run_pipeline
 from pricetide.sources.pages import extract_fields, extract_shop_a, extract_shop_b
 from pricetide.sources.tables import incremental_append, upsert, write_alerts, write_daily
 
@@ -34,6 +34,7 @@ __all__ = [
     "latest_per_day",
     "process",
     "recent_days",
+    "run_from_pages",
     "run_pipeline",
     "signals",
     "signals_on",

@@ -29,7 +29,7 @@ from pricetide.operators.signals import (
     signals_on,
     trailing_avg,
 )
-from pricetide.plans.run import run_pipeline
+from pricetide.plans.run import run_from_pages, run_pipeline
 from pricetide.schema import ALERT, DAILY, DAILY_KEYS, ENRICHED, PAYLOAD_FIELDS, RAW
 from pricetide.sources.observations import observations, shop_a_pages, shop_b_pages
 from pricetide.sources.pages import (
@@ -653,36 +653,36 @@ _PART_LIST = _RUPEES.format("floor(p_retailprice) + 500")
 _PART_TIME = "strftime(TIMESTAMP '2024-01-01' + to_seconds(p_partkey), '%Y-%m-%d %H:%M:%S')"
 
 
-@checked(
-    "extract_shop_a",
-    f"""SELECT p_name || ' & co' AS product_name,
-               CASE layout WHEN 0 THEN NULL WHEN 2 THEN '₹' ELSE {_PART_PRICE} END
-                   AS selling_price,
-               CASE layout WHEN 0 THEN 'Out of Stock' ELSE 'In Stock' END AS status,
-               CASE WHEN layout IN (1, 2) THEN {_PART_LIST} END AS mrp,
-               p_brand AS brand, 'Flipkart' AS website, {_PART_TIME} AS "timestamp",
-               'https://shop/p/' || p_partkey AS url
-        FROM (SELECT *, p_partkey % 6 AS layout FROM part) WHERE layout < 4""",
-)
+SHOP_A_SQL = f"""
+    SELECT p_name || ' & co' AS product_name,
+           CASE layout WHEN 0 THEN NULL WHEN 2 THEN '₹' ELSE {_PART_PRICE} END AS selling_price,
+           CASE layout WHEN 0 THEN 'Out of Stock' ELSE 'In Stock' END AS status,
+           CASE WHEN layout IN (1, 2) THEN {_PART_LIST} END AS mrp,
+           p_brand AS brand, 'Flipkart' AS website, {_PART_TIME} AS "timestamp",
+           'https://shop-a/p/' || p_partkey AS url
+    FROM (SELECT *, p_partkey % 6 AS layout FROM part) WHERE layout < 4"""
+
+SHOP_B_SQL = f"""
+    SELECT CASE WHEN layout < 6 THEN p_name || ' & co' END AS product_name,
+           CASE WHEN layout = 2 THEN {_PART_LIST}
+                WHEN layout < 6 THEN {_PART_PRICE} END AS selling_price,
+           CASE WHEN layout < 4 THEN 'In Stock'
+                WHEN layout < 6 THEN 'Out of Stock' END AS status,
+           CASE WHEN layout IN (0, 2, 4, 5) THEN {_PART_LIST}
+                WHEN layout = 3 THEN {_PART_PRICE} END AS mrp,
+           CASE WHEN layout < 6 THEN p_brand END AS brand,
+           CASE WHEN layout < 6 THEN 'ajio' END AS website,
+           CASE WHEN layout < 6 THEN {_PART_TIME} END AS "timestamp",
+           'https://shop-b/p/' || p_partkey AS url
+    FROM (SELECT *, p_partkey % 7 AS layout FROM part)"""
+
+
+@checked("extract_shop_a", SHOP_A_SQL)
 def shop_a_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_shop_a(shop_a_pages(spark, sf_dir))
 
 
-@checked(
-    "extract_shop_b",
-    f"""SELECT CASE WHEN layout < 6 THEN p_name || ' & co' END AS product_name,
-               CASE WHEN layout = 2 THEN {_PART_LIST}
-                    WHEN layout < 6 THEN {_PART_PRICE} END AS selling_price,
-               CASE WHEN layout < 4 THEN 'In Stock'
-                    WHEN layout < 6 THEN 'Out of Stock' END AS status,
-               CASE WHEN layout IN (0, 2, 4, 5) THEN {_PART_LIST}
-                    WHEN layout = 3 THEN {_PART_PRICE} END AS mrp,
-               CASE WHEN layout < 6 THEN p_brand END AS brand,
-               CASE WHEN layout < 6 THEN 'ajio' END AS website,
-               CASE WHEN layout < 6 THEN {_PART_TIME} END AS "timestamp",
-               'https://shop/p/' || p_partkey AS url
-        FROM (SELECT *, p_partkey % 7 AS layout FROM part)""",
-)
+@checked("extract_shop_b", SHOP_B_SQL)
 def shop_b_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_shop_b(shop_b_pages(spark, sf_dir))
 
@@ -746,3 +746,24 @@ def full_run_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_pipeline(spark, [everything.filter(~last)], root, as_of="2024-01-29", history=True)
     report = run_pipeline(spark, [everything.filter(last)], root, LAST_DAY, history=True)
     return comparable(report.buys.select(*ALERT_NAMES))
+
+
+_SCRAPED_SQL = f"""
+    SELECT product_name, {_parsed("selling_price")} AS selling_price, status,
+           {_parsed("mrp")} AS mrp, brand, website,
+           CAST("timestamp" AS TIMESTAMP) AS "timestamp", url
+    FROM ({SHOP_A_SQL} UNION ALL {SHOP_B_SQL})"""
+_SCRAPED_DAILY_SQL = _daily(_from(_SCRAPED_SQL, "selling_price IS NOT NULL"))
+
+
+@checked(
+    "full_run_from_pages",
+    _select(ALERT_NAMES, f"({_buys(_SCRAPED_DAILY_SQL, '2024-01-01')})"),
+)
+def full_run_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of both shops through extraction and every layer to the alert table."""
+    pages = shop_a_pages(spark, sf_dir), shop_b_pages(spark, sf_dir)
+    root = scratch_path(spark)
+    run_from_pages(spark, *pages, root, as_of="2024-01-01")
+    path = layer_path(root, "gold_alerts")
+    return comparable(read_table(spark, path).select(*ALERT_NAMES))

@@ -15,6 +15,7 @@ from pricetide.operators.clean import (
 from pricetide.operators.daily import daily_prices
 from pricetide.operators.enrich import enrich
 from pricetide.operators.signals import alert_payload, signals_on
+from pricetide.sources.pages import extract_shop_a, extract_shop_b
 from pricetide.sources.paths import layer_path, stage
 from pricetide.sources.tables import append_raw, read_table, write_alerts, write_daily
 
@@ -78,3 +79,20 @@ def run_pipeline(
         buys=buys,
         payloads=payloads,
     )
+
+
+def run_from_pages(
+    spark: SparkSession,
+    shop_a: DataFrame | None,
+    shop_b: DataFrame | None,
+    root: str,
+    as_of: datetime.date | str | None = None,
+    history: bool = False,
+    outbox: str | None = None,
+) -> RunReport:
+    """`run_pipeline` on fetched pages (``url, html, fetched_at``); a missing shop is ``None``."""
+    sources = [
+        None if shop_a is None else extract_shop_a(shop_a),
+        None if shop_b is None else extract_shop_b(shop_b),
+    ]
+    return run_pipeline(spark, sources, root, as_of, history, outbox)

@@ -33,7 +33,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(*[columns[name].alias(name) for name in RAW.names])
 
 
-def _part_pages(spark: SparkSession, sf_dir: str, markup: Column) -> DataFrame:
+def _part_pages(spark: SparkSession, sf_dir: str, site: str, markup: Column) -> DataFrame:
     fetched = F.to_timestamp(F.lit("2024-01-01 00:00:00")) + F.make_dt_interval(
         secs=F.col("p_partkey").cast("decimal(18,6)")
     )
@@ -42,7 +42,7 @@ def _part_pages(spark: SparkSession, sf_dir: str, markup: Column) -> DataFrame:
         spark.read.parquet(f"{sf_dir}/part.parquet")
         .withColumns({"price": _rupees(price), "list": _rupees(price + 500)})
         .select(
-            F.concat(F.lit("https://shop/p/"), F.col("p_partkey")).alias("url"),
+            F.concat(F.lit(f"https://{site}/p/"), F.col("p_partkey")).alias("url"),
             markup.alias("html"),
             fetched.alias("fetched_at"),
         )
@@ -75,6 +75,7 @@ def shop_a_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _part_pages(
         spark,
         sf_dir,
+        "shop-a",
         F.when(layout == 0, _page(sold_out, name, brand, by_class))
         .when(layout == 1, _page(name, brand, old_price, by_class))
         .when(layout == 2, _page(brand, nested, name))
@@ -97,6 +98,7 @@ def shop_b_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _part_pages(
         spark,
         sf_dir,
+        "shop-b",
         F.when(layout == 0, _page(name, sp, block, button))
         .when(layout == 1, _page(name, button, empty, sp))
         .when(layout == 2, _page(name, plain, button))
