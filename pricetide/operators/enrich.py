@@ -54,10 +54,12 @@ def _fill_hot(df: DataFrame) -> DataFrame:
         .orderBy("timestamp")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    newest = F.max(F.when(F.col("_seen").isNotNull(), F.struct("timestamp", "_seen")))
+    # Rows without a timestamp come first; minutes without a price have no newest one.
+    position = F.coalesce(F.unix_micros("timestamp"), F.lit(-(2**63)))
+    newest = F.max_by("_seen", F.when(F.col("_seen").isNotNull(), position))
     carried = (
         points.groupBy(F.col("url").alias("_c_url"), F.col("_minute").alias("_c_minute"))
-        .agg(newest["_seen"].alias("_newest"))
+        .agg(newest.alias("_newest"))
         .withColumn(
             "_carried",
             F.last("_newest", ignorenulls=True).over(

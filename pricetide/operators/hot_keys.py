@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 # A window partition up to this size is an ordinary task.
 HOT_ROWS = 1_000_000
-# At most this many keys are listed on the driver and broadcast; beyond it they are joined.
-MAX_LISTED = 10_000
+# So many keys at most are set apart; a key below the largest 10,000 holds less than a
+# ten-thousandth of all rows.
+MAX_HOT_KEYS = 10_000
 
 
 @dataclass(frozen=True)
@@ -18,29 +19,30 @@ class HotKeys:
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(rows of ordinary keys, rows of hot keys); a NULL key counts as a key."""
+        keys = F.broadcast(self.keys)
         match = df[self.key].eqNullSafe(self.keys["_hot"])
-        return df.join(self.keys, match, "left_anti"), df.join(self.keys, match, "left_semi")
+        return df.join(keys, match, "left_anti"), df.join(keys, match, "left_semi")
 
 
 def find_hot_keys(
-    df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_listed: int = MAX_LISTED
+    df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS
 ) -> HotKeys | None:
-    """Keys with more than ``hot_rows`` rows, or ``None`` if there are none (the usual case).
+    """The largest keys with more than ``hot_rows`` rows, or ``None`` if there are none.
 
-    The count reads the key column only and is combined map-side. N rows hold fewer
-    than N / hot_rows hot keys; up to ``max_listed`` of them come to the driver, so that
-    every branch sees the same set, and go out as a broadcast. A longer list stays a
-    DataFrame and is joined by shuffle, where AQE splits the skewed side.
+    None is the usual case. The count reads the key column only and is combined map-side.
+    The keys come to the driver once, so that every later branch splits by the same set;
+    ``max_keys`` bounds them, and with them the broadcast. Keys beyond it stay ordinary:
+    they are treated the usual way, and by their rank they are small against the whole.
     """
-    hot = (
+    largest = (
         df.groupBy(F.col(key).alias("_hot"))
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > hot_rows)
+        .orderBy(F.col("_rows").desc())
+        .limit(max_keys)
         .select("_hot")
     )
-    listed = hot.limit(max_listed + 1).collect()
+    listed = largest.collect()
     if not listed:
         return None
-    if len(listed) <= max_listed:
-        hot = F.broadcast(df.sparkSession.createDataFrame(listed, hot.schema))
-    return HotKeys(key, hot)
+    return HotKeys(key, df.sparkSession.createDataFrame(listed, largest.schema))

@@ -3,7 +3,6 @@
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # Layer names and their folders below the storage root.
@@ -23,18 +22,11 @@ def layer_path(root: str, layer: str, layers: dict[str, str] = LAYERS) -> str:
     return f"{root.rstrip('/')}/{layers[layer].strip('/')}/"
 
 
-def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
-    """False when the path is missing or holds no data file; other errors surface."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return False
-    try:
-        spark.read.format(fmt).load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            return False
-        raise
-    return True
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds anything but markers and leftovers of unfinished writes."""
+    entries = spark._jvm.org.apache.hadoop.fs.Path(path, "[^_.]*")
+    found = entries.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(entries)
+    return found is not None and len(found) > 0
 
 
 def scratch_path(spark: SparkSession) -> str:

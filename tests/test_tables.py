@@ -53,10 +53,12 @@ def test_table_exists(spark, tmp_path):
     assert not table_exists(spark, str(tmp_path / "empty"))
     spark.range(3).write.parquet(path)
     assert table_exists(spark, path)
-    (tmp_path / "bad").mkdir()
-    (tmp_path / "bad" / "x.parquet").write_text("no parquet")
-    with pytest.raises(Exception, match="FOOTER|Parquet|parquet"):
-        table_exists(spark, str(tmp_path / "bad"))
+    days = str(tmp_path / "days")
+    dated = spark.range(3).withColumn("date", F.lit("2025-01-01"))
+    dated.filter("false").write.partitionBy("date").parquet(days)
+    assert not table_exists(spark, days)
+    dated.write.partitionBy("date").mode("append").parquet(days)
+    assert table_exists(spark, days)
 
 
 def test_stage_uses_the_shared_folder(spark):
