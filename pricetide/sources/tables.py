@@ -162,8 +162,18 @@ def write_alerts(alerts: DataFrame, path: str) -> DataFrame:
     return upsert(unique, path, update_cols=ALERT_UPDATES)
 
 
-def high_water_mark(df: DataFrame, ts_col: str = "timestamp") -> Column | None:
-    """``max(ts_col)`` as a literal, or ``None`` for a table without any."""
+def high_water_mark(
+    df: DataFrame, ts_col: str = "timestamp", day: str | None = None
+) -> Column | None:
+    """``max(ts_col)`` as a literal, or ``None`` for a table without any.
+
+    ``day`` names a partition column that never falls while ``ts_col`` rises: then only the
+    newest partition is read.
+    """
+    if day is not None:
+        newest_day = df.agg(F.max(day).alias("day")).first()["day"]
+        if newest_day is not None:
+            df = df.filter(F.col(day) == newest_day)
     is_instant = isinstance(df.schema[ts_col].dataType, T.TimestampType)
     # Microseconds cross the driver exactly; Python datetimes would pass its own time zone.
     newest = F.max(F.unix_micros(ts_col) if is_instant else F.col(ts_col))
@@ -173,23 +183,26 @@ def high_water_mark(df: DataFrame, ts_col: str = "timestamp") -> Column | None:
     return F.timestamp_micros(F.lit(mark)) if is_instant else F.lit(mark)
 
 
-def incremental_append(source: DataFrame, path: str, ts_col: str = "timestamp") -> int:
+def incremental_append(
+    source: DataFrame, path: str, ts_col: str = "timestamp", day: str | None = None
+) -> int:
     """Append the rows newer than everything at ``path``; returns how many.
 
     A missing or empty target takes all rows. The comparison is strict, so late rows stay
     out, and as a literal it reaches the source's Parquet scan. Nothing new, no write.
+    With ``day`` (see `high_water_mark`) the target is partitioned by that column, which
+    keeps the search for the newest row off the older history.
     """
     spark = source.sparkSession
     mark = None
     if table_exists(spark, path):
-        mark = high_water_mark(spark.read.parquet(path), ts_col)
+        mark = high_water_mark(spark.read.parquet(path), ts_col, day)
     fresh = source if mark is None else source.filter(F.col(ts_col) > mark)
     if fresh.isEmpty():
         return 0
     seen = Observation("incremental_append")
-    (
-        fresh.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.mode("append")
-        .parquet(path)
-    )
+    writer = fresh.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append")
+    if day is not None:
+        writer = writer.partitionBy(day)
+    writer.parquet(path)
     return seen.get["rows"]

@@ -299,6 +299,22 @@ def test_table_without_watermark_takes_everything(spark, tmp_path):
     assert incremental_append(loads(spark, (2, "b", "2020-01-01 10:00:00")), path) == 1
 
 
+def test_target_partitioned_by_day(spark, tmp_path):
+    path = str(tmp_path / "target")
+
+    def dated(*values):
+        return loads(spark, *values).withColumn("date", F.to_date("timestamp"))
+
+    first = dated((1, "a", "2025-01-01 10:00:00"), (2, "b", "2025-01-02 09:00:00"))
+    assert incremental_append(first, path, day="date") == 2
+    later = dated((3, "c", "2025-01-02 08:00:00"), (4, "d", "2025-01-02 09:00:01"))
+    assert incremental_append(first.union(later), path, day="date") == 1
+    table = read_table(spark, path)
+    assert sorted(r.id for r in table.collect()) == [1, 2, 4]
+    mark = high_water_mark(table, day="date")
+    assert str(spark.range(1).select(mark).first()[0]) == "2025-01-02 09:00:01"
+
+
 def test_watermark_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "source")
     loads(spark, (1, "a", "2025-01-01 10:00:00.123456")).write.parquet(path)
