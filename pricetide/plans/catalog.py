@@ -731,6 +731,24 @@ def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(read_table(spark, path).select(*ALERT_NAMES))
 
 
+@checked(
+    "stage_counts",
+    f"""SELECT (SELECT count(*) FROM events) AS scraped,
+               (SELECT count(*) FROM ({CLEAN_SQL}) WHERE selling_price IS NULL) AS rejected,
+               (SELECT count(*) FROM ({_enriched(PRICED_SQL)})) AS usable,
+               (SELECT count(*) FROM ({_buys(DAILY_SQL)})) AS alerts""",
+)
+def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows at the borders of a run, as observed while it wrote its tables."""
+    report = run_pipeline(
+        spark, [observations(spark, sf_dir)], scratch_path(spark), as_of=LAST_DAY
+    )
+    counts = (report.scraped, report.rejected, report.usable, report.alerts)
+    return spark.createDataFrame(
+        [counts], "scraped bigint, rejected bigint, usable bigint, alerts bigint"
+    )
+
+
 _BEFORE_SQL = _daily(_from(PRICED_SQL, f"\"timestamp\" < DATE '{LAST_DAY}'"))
 _TODAY_SQL = _daily(_from(PRICED_SQL, f"\"timestamp\" >= DATE '{LAST_DAY}'"))
 
