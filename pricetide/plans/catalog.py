@@ -1,4 +1,4 @@
-"""Checked queries: each runs on the test tables and, but for a few, has a SQL twin."""
+"""Checked queries: each runs on the whole test tables and has a SQL twin."""
 
 from collections.abc import Callable
 

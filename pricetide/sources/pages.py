@@ -67,8 +67,7 @@ def extract_fields(pages: DataFrame, rules: dict[str, FieldRule]) -> DataFrame:
 
     def fields(html: Column) -> Column:
         texts = clean_texts(*[rule.text(html) for rule in rules.values()])
-        named = enumerate(rules)
-        return let(texts, lambda t: F.struct(*[t[i].alias(name) for i, name in named]))
+        return let(texts, lambda t: F.struct(*[t[i].alias(n) for i, n in enumerate(rules)]))
 
     return pages.select("*", F.inline(F.array(let(visible(F.col("html")), fields))))
 

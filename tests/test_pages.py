@@ -162,9 +162,13 @@ def test_long_pages_do_not_exhaust_the_stack(pages):
     assert row.brand == "NIKE"
 
 
-def test_extraction_needs_no_shuffle_and_no_python(pages):
+def test_extraction_needs_no_shuffle_no_python_and_one_pass(pages):
+    """A filter on the result stays above the generator and repeats none of its searches."""
     for extract in (extract_shop_a, extract_shop_b):
-        plan = extract(pages(NAME_B))._jdf.queryExecution().executedPlan().toString()
+        priced = extract(pages(NAME_B)).filter("selling_price IS NOT NULL")
+        plan = priced._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("Filter") < plan.index("Generate")
+        assert plan.count("Filter ") == 1
         assert "Exchange" not in plan
         assert "Python" not in plan
 
