@@ -78,13 +78,14 @@ def find_element(html: Column, tag: str, *classes: str) -> Column:
     closed runs to the end of the page.
     """
     start = _start_tag(tag, classes)
-    to_first_end = first_match(html, rf"(?s){start}.*?(?:</(?i:{tag})\s*>|\z)")
-    to_page_end = first_match(html, rf"(?s){start}.*\z")
+    to_first_end = F.regexp_extract(html, rf"(?s){start}.*?(?:</(?i:{tag})\s*>|\z)", 0)
+    to_page_end = F.regexp_extract(html, rf"(?s){start}.*\z", 0)
+    holds_same_tag = rf"(?is)^<[^>]*>.*?<{tag}[\s>/]"
     return let(
         to_first_end,
-        lambda short: F.when(
-            short.rlike(rf"(?is)^<[^>]*>.*?<{tag}[\s>/]"), _up_to_own_end(to_page_end, tag)
-        ).otherwise(F.regexp_replace(short, rf"(?is)</{tag}\s*>\z", "")),
+        lambda short: F.when(short == "", F.lit(None).cast("string"))
+        .when(short.rlike(holds_same_tag), _up_to_own_end(to_page_end, tag))
+        .otherwise(F.regexp_replace(short, rf"(?is)</{tag}\s*>\z", "")),
     )
 
 
