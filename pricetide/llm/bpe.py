@@ -18,6 +18,8 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricetide.llm.words import small_batches
+
 NONE = np.iinfo(np.int64).max
 # Ids of short strings are remembered per Python worker, up to so many; then the memory
 # starts afresh. Longer ones are merged each time.
@@ -248,6 +250,7 @@ def encode(
     broadcast; a vocabulary has a fixed size. Rows and other columns stay as they are; an
     existing column ``out`` is replaced.
     """
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(rank_file)
 
     @F.pandas_udf("binary")
@@ -263,6 +266,7 @@ def encode(
 
 def decode(df: DataFrame, rank_file: bytes, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Add ``out``: the bytes of ``ids`` as binary (null ids: none); unknown ids raise."""
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(rank_file)
 
     @F.pandas_udf("binary")

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricetide.llm.words import ALPHANUMERIC, hash_words
+from pricetide.llm.words import ALPHANUMERIC, hash_words, small_batches
 from pricetide.sources.paths import stage
 
 # A segment ends with the document that brings it to so many bytes of text.
@@ -149,6 +149,7 @@ def contamination(
     of bounded size; other columns are not read.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     index = build_index(docs, length + slop, doc_id, text)
     index = index.withColumn("found", F.array().cast("array<binary>"))
     schema = f"{_INDEX}, found array<binary>"

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricetide.llm.words import small_batches
+
 UNKNOWN = "und"
 # Hashed n-grams of one to three characters; log-probabilities per bucket and label.
 BUCKETS, LONGEST = 1 << 15, 3
@@ -55,7 +57,7 @@ def grams(codes: np.ndarray) -> Iterator[np.ndarray]:
 
 
 def _pieces(codes: np.ndarray) -> Iterator[np.ndarray]:
-    """A long text in pieces; each n-gram that crosses a border is left to neither... side twice."""
+    """A long text in pieces; n-grams over a border of pieces are left out."""
     for begin in range(0, len(codes), PIECE_CHARS):
         yield codes[begin : begin + PIECE_CHARS]
 
@@ -88,6 +90,7 @@ def fit(docs: DataFrame, label: str = "lang", text: str = "text", key: str = "do
     texts per label (all of a rarer one), taken by hash of ``key`` and text. The counts are summed in
     Spark; the driver gets ``BUCKETS`` numbers per label at most.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col(f"`{label}`").cast("string").alias("label"),
         F.col(f"`{text}`").alias("text"),
@@ -140,6 +143,7 @@ def predict(
     A text that is null, empty or without a letter is ``und`` with score 0. The model is
     broadcast: ``BUCKETS`` numbers per label.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("label string, score double")

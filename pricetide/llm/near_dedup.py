@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricetide.llm.components import components, thin_out
-from pricetide.llm.words import MinHash, U64, mix, shingle_sets
+from pricetide.llm.words import BATCH_ROWS, MinHash, U64, mix, shingle_sets, small_batches
 from pricetide.sources.paths import stage
 
 SHINGLE_WORDS = 5
@@ -39,12 +39,13 @@ def odd_sketches(samples: np.ndarray) -> np.ndarray:
 
 def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: size of its shingle set, 128 bits that name the set, band keys, odd sketch."""
+    small_batches(docs.sparkSession)
     minhash = MinHash(SAMPLES)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for begin in range(0, len(batch), 1000):
-                part = batch.iloc[begin : begin + 1000]
+            for begin in range(0, len(batch), BATCH_ROWS):
+                part = batch.iloc[begin : begin + BATCH_ROWS]
                 hashes, starts = shingle_sets([t or b"" for t in part["text"]], SHINGLE_WORDS)
                 samples = minhash.signatures(hashes, starts)
                 named = []

@@ -8,11 +8,23 @@ chance of about 2**-64 per compared pair.
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark.sql import SparkSession
+
+# Rows of one Arrow batch at most: texts of a few kB then come to a few MB.
+BATCH_ROWS = 1_000
 
 U64 = np.uint64
 # Text is hashed in pieces of about this many bytes, cut between words, so that memory does
 # not follow the length of a text.
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hold the session's Arrow batches to ``BATCH_ROWS`` rows: whole texts are wide, and a
+    batch is held several times between the JVM and its Python worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
