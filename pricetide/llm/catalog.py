@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from pricetide.llm import bpe, language
 from pricetide.llm.decontamination import contamination
+from pricetide.llm.fingerprints import edited_texts
 from pricetide.llm.near_dedup import near_duplicates
 from pricetide.llm.sharding import shard_documents
+from pricetide.llm.substring_dedup import remove_repeats
 from pricetide.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,17 +76,30 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_texts(table(spark, sf_dir, "documents"))
+
+
 def op8_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_contamination": op2_contamination,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_url_filter": op4_url_filter,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_language": op6_language,
+    "op7_fingerprints": op7_fingerprints,
     "op8_hash_tree": op8_hash_tree,
+    "op10_substrings": op10_substrings,
 }
 
 SQL: dict[str, str] = {}
