@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pricetide.llm import bpe, language
 from pricetide.llm.decontamination import contamination
 from pricetide.llm.fingerprints import edited_texts
+from pricetide.llm.line_dedup import remove_repeated_lines
 from pricetide.llm.near_dedup import near_duplicates
 from pricetide.llm.sharding import shard_documents
 from pricetide.llm.substring_dedup import remove_repeats
+from pricetide.llm.token_counts import count_tokens, write_token_files
 from pricetide.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,12 +28,22 @@ URL_RULES = [
 ]
 SHARDS = 24
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+# The id after each document of a token file; the vocabulary leaves it free.
+SEPARATOR = 50_256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as flat 16-bit token files, and the documents found in these."""
+    ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
+    docs = table(spark, sf_dir, "documents").select("text")
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    return count_tokens(spark, write_token_files(encoded, SEPARATOR), SEPARATOR)
+
+
 def op2_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -84,6 +96,13 @@ def op8_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeated_lines(docs).select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = remove_repeats(table(spark, sf_dir, "documents"))
     return cleaned.select(
@@ -92,6 +111,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_token_counts": op1_token_counts,
     "op2_contamination": op2_contamination,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_url_filter": op4_url_filter,
@@ -99,6 +119,7 @@ QUERIES: dict[str, Query] = {
     "op6_language": op6_language,
     "op7_fingerprints": op7_fingerprints,
     "op8_hash_tree": op8_hash_tree,
+    "op9_line_dedup": op9_line_dedup,
     "op10_substrings": op10_substrings,
 }
 
