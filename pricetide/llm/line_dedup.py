@@ -20,48 +20,62 @@ from pricetide.llm.components import components, thin_out
 from pricetide.sources.paths import stage
 
 MAX_EDITS = 1
+# White space of Unicode: lines of nothing else are blank.
+WHITE = "".join(filter(str.isspace, map(chr, range(0x3001))))
 # Shorter lines are compared for equality alone.
 MIN_CHARS = 20
 # Up to so many lines under one key are paired with each other; beyond, the key is refined.
-CROWDED = 40
+CROWDED = 8
 
 
-def segment_keys(text: Column, prefix: Column, edits: int) -> Column:
+def segment_keys(text: str, chars: str, prefix: str, edits: int) -> Column:
     """Array of (key, own, start, size): own segments to be found by, and probes.
 
-    The probes are chosen by the multi-match rule: of the shared segments of a similar pair
-    one has at most i - 1 edits before it and k + 1 - i after it. A probe for the own
-    length equals the own segment, so it is listed once.
+    The arguments name columns: a text, its number of characters, and what its keys depend
+    on besides. The probes are chosen by the multi-match rule: of the shared segments of a
+    similar pair one has at most i - 1 edits before it and k + 1 - i after it. A probe for
+    the own length equals the own segment, so it is listed once; one that a very short text
+    has no room for is null.
     """
-    n, found = F.char_length(text), []
+    found = []
     for shorter in range(edits + 1):
-        length = n - shorter
-        base, longer = (length / (edits + 1)).cast("int"), length % (edits + 1)
+        length = f"({chars} - {shorter})"
         for i in range(1, edits + 2):
             # the last ``longer`` segments have one character more
-            extra = F.greatest(F.lit(0), i - 1 - (edits + 1 - longer))
-            begin = 1 + (i - 1) * base + extra
-            size = base + F.when(F.lit(i) > edits + 1 - longer, 1).otherwise(0)
+            base, longer = f"{length} div {edits + 1}", f"{length} % {edits + 1}"
+            begin = f"(1 + {i - 1} * ({base}) + greatest(0, {longer} - {edits + 2 - i}))"
+            size = f"(({base}) + if({longer} > {edits + 1 - i}, 1, 0))"
             low = max(-(i - 1), shorter - (edits + 1 - i))
             high = min(i - 1, shorter + (edits + 1 - i))
             for shift in range(low, high + 1):
-                start = begin + shift
-                fits = (length >= 0) & (start >= 1) & (start + size <= n + 1)
-                piece = F.substring(text, start, size)
-                key = F.xxhash64(prefix, length, F.lit(i), piece)
-                own = F.lit(shorter == 0 and shift == 0)
-                entry = F.struct(key.alias("key"), own.alias("own"), start.alias("start"), size.alias("size"))
-                found.append(F.when(fits, entry))
-    return F.array_compact(F.array(*found))
+                start = f"int({begin} + {shift})"
+                key = f"xxhash64({prefix}, {length}, {i}, substring({text}, {start}, int({size})))"
+                own = str(shorter == 0 and shift == 0).lower()
+                entry = f"struct({key} AS key, {own} AS own, {start} AS start, int({size}) AS size)"
+                fits = f"{length} >= 0 AND {start} >= 1 AND {start} + {size} <= {chars} + 1"
+                found.append(f"if({fits}, {entry}, NULL)")
+    return F.expr(f"array({', '.join(found)})")
 
 
-def within(a: str, b: str, edits: int) -> Column:
-    """Whether two texts of more than ``edits`` characters are within ``edits`` edits.
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def within(a: Column, b: Column, edits: int) -> Column:
+    """Whether two texts of more than ``edits`` characters are within ``edits`` edits, ``a``
+    being at least as long as ``b``.
 
     Bit vectors hold the vertical differences of the edit matrix in a band around its diagonal; one
     step per character of the shorter text moves the band down the diagonal, then along the last row.
-    ``a`` and ``b`` name columns with arrays of characters, ``a`` at least as long as ``b``.
     """
+    characters = lambda text: F.split(text, "")
+    return _let(
+        characters(a), lambda x: _let(characters(b), lambda y: _banded(x, y, edits))
+    )
+
+
+def _banded(a: Column, b: Column, edits: int) -> Column:
     width = 2 * edits + 2
     mask = F.lit((1 << width) - 1).cast("long")
     size_a, size_b = F.size(a), F.size(b)
@@ -71,7 +85,7 @@ def within(a: str, b: str, edits: int) -> Column:
 
     def step(state: Column, j: Column) -> Column:
         equal = [
-            F.when(F.get(F.col(a), j + (edits - width + k)) == F.get(F.col(b), j - 1), F.lit(1 << k))
+            F.when(F.get(a, j + (edits - width + k)) == F.get(b, j - 1), F.lit(1 << k))
             .otherwise(F.lit(0)).cast("long")
             for k in range(width)
         ]
@@ -105,10 +119,6 @@ def within(a: str, b: str, edits: int) -> Column:
             (s["distance"] + F.when(j <= size_a - edits, down).otherwise(right)).cast("int").alias("distance"),
         )
 
-    def let(value: Column, use) -> Column:
-        """``use`` of a value that is computed once."""
-        return F.element_at(F.transform(F.array(value), use), 1)
-
     start = F.struct(
         F.lit(((1 << width) - 1) ^ ((1 << (width - 1 - edits)) - 1)).cast("long").alias("vp"),
         F.lit(0).cast("long").alias("vn"),
@@ -117,7 +127,7 @@ def within(a: str, b: str, edits: int) -> Column:
     end = F.aggregate(
         F.sequence(F.lit(1), size_b),
         start,
-        lambda s, j: let(let(let(step(s, j), move), across), settle),
+        lambda s, j: _let(_let(_let(step(s, j), move), across), settle),
     )
     return (size_a - size_b <= edits) & (end["distance"] <= edits)
 
@@ -140,10 +150,14 @@ def near_lines(lines: DataFrame, edits: int = MAX_EDITS, crowded: int = CROWDED)
     hashed = lines.select(F.xxhash64("text").alias("line"), F.col("text").alias("rest"))
     frontier, texts, found = hashed.withColumn("prefix", F.lit(0).cast("long")), None, []
     while True:
-        entries = frontier.select(
-            "prefix", "line", F.explode(segment_keys(F.col("rest"), F.col("prefix"), edits)).alias("e"),
-            F.char_length("rest").alias("chars"),
-        ).select("prefix", "line", "e.*", "chars")
+        entries = (
+            frontier.withColumn("chars", F.char_length("rest"))
+            .select(
+                "prefix", "line", "chars", F.explode(segment_keys("rest", "chars", "prefix", edits)).alias("e")
+            )
+            .filter("e IS NOT NULL")
+            .select("prefix", "line", "e.*", "chars")
+        )
         keys = stage(
             entries.groupBy("key")
             .agg(F.min("line").alias("low"), F.max("line").alias("high"), F.max("own").alias("own"))
@@ -180,13 +194,9 @@ def near_lines(lines: DataFrame, edits: int = MAX_EDITS, crowded: int = CROWDED)
     right = texts.select(F.col("line").alias("b"), F.col("rest").alias("text_b"))
     both = candidates.join(left, "a").join(right, "b")
     longer = F.char_length("text_a") >= F.char_length("text_b")
-    characters = both.select(
-        "a",
-        "b",
-        F.split(F.when(longer, F.col("text_a")).otherwise(F.col("text_b")), "").alias("chars_a"),
-        F.split(F.when(longer, F.col("text_b")).otherwise(F.col("text_a")), "").alias("chars_b"),
-    )
-    return characters.filter(within("chars_a", "chars_b", edits)).select("a", "b").distinct()
+    first = F.when(longer, F.col("text_a")).otherwise(F.col("text_b"))
+    second = F.when(longer, F.col("text_b")).otherwise(F.col("text_a"))
+    return both.filter(within(first, second, edits)).select("a", "b").distinct()
 
 
 def remove_repeated_lines(
@@ -212,7 +222,7 @@ def remove_repeated_lines(
     kept_columns = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
     content, identity = F.col(f"`{text}`"), F.col(f"`{doc_id}`").cast("string")
     name = F.concat_ws(":", identity, F.hex(F.xxhash64(content)))
-    blank = lambda line: F.length(F.regexp_replace(line, r"[\s\u0085  -   　]+", "")) == 0
+    blank = lambda line: F.btrim(line, F.lit(WHITE)) == ""
     lines = docs.select(
         F.col(f"`{doc_id}`").alias("id"), name.alias("row"), F.posexplode(F.split(content, "\n")).alias("at", "text")
     ).filter(~blank(F.col("text")))

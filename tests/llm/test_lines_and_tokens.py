@@ -46,8 +46,8 @@ def test_bit_parallel_distance(spark, edits):
         if len(pair[1]) > edits:
             rows.append(tuple(pair))
     df = spark.createDataFrame(rows, "a string, b string")
-    chars = df.select("a", "b", F.split("a", "").alias("x"), F.split("b", "").alias("y"))
-    for r in chars.select("a", "b", within("x", "y", edits).alias("near")).collect():
+    near = within(F.col("a"), F.col("b"), edits).alias("near")
+    for r in df.select("a", "b", near).collect():
         assert r["near"] == (distance(r["a"], r["b"]) <= edits)
 
 
