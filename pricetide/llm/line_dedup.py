@@ -28,33 +28,46 @@ MIN_CHARS = 20
 CROWDED = 8
 
 
-def segment_keys(text: str, chars: str, prefix: str, edits: int) -> Column:
-    """Array of (key, own, start, size): own segments to be found by, and probes.
+def _segments(chars: str, edits: int) -> list[tuple[str, int, str, str]]:
+    """SQL of (indexed length, segment number, start, size) of a line's own segments, then of
+    its probes, where column ``chars`` has its length.
 
-    The arguments name columns: a text, its number of characters, and what its keys depend
-    on besides. The probes are chosen by the multi-match rule: of the shared segments of a
-    similar pair one has at most i - 1 edits before it and k + 1 - i after it. A probe for
-    the own length equals the own segment, so it is listed once; one that a very short text
-    has no room for is null.
+    The probes are chosen by the multi-match rule: of the shared segments of a similar pair
+    one has at most i - 1 edits before it and k + 1 - i after it. A probe for the own
+    length that stands at its own segment equals it and is left out.
     """
-    found = []
+    own, probes = [], []
     for shorter in range(edits + 1):
         length = f"({chars} - {shorter})"
         for i in range(1, edits + 2):
             # the last ``longer`` segments have one character more
             base, longer = f"{length} div {edits + 1}", f"{length} % {edits + 1}"
-            begin = f"(1 + {i - 1} * ({base}) + greatest(0, {longer} - {edits + 2 - i}))"
-            size = f"(({base}) + if({longer} > {edits + 1 - i}, 1, 0))"
+            begin = f"1 + {i - 1} * ({base}) + greatest(0, {longer} - {edits + 2 - i})"
+            size = f"int(({base}) + if({longer} > {edits + 1 - i}, 1, 0))"
             low = max(-(i - 1), shorter - (edits + 1 - i))
             high = min(i - 1, shorter + (edits + 1 - i))
             for shift in range(low, high + 1):
-                start = f"int({begin} + {shift})"
-                key = f"xxhash64({prefix}, {length}, {i}, substring({text}, {start}, int({size})))"
-                own = str(shorter == 0 and shift == 0).lower()
-                entry = f"struct({key} AS key, {own} AS own, {start} AS start, int({size}) AS size)"
-                fits = f"{length} >= 0 AND {start} >= 1 AND {start} + {size} <= {chars} + 1"
-                found.append(f"if({fits}, {entry}, NULL)")
-    return F.expr(f"array({', '.join(found)})")
+                chosen = own if shorter == shift == 0 else probes
+                chosen.append((length, i, f"int({begin} + {shift})", size))
+    return own + probes
+
+
+def segment_keys(text: str, chars: str, prefix: str, edits: int) -> Column:
+    """Array of the keys of a text (given by column names), those of its own segments first;
+    null where a very short text has no room for a probe."""
+    keys = (
+        f"if({length} >= 0 AND {start} >= 1 AND {start} + {size} <= {chars} + 1, "
+        f"xxhash64({prefix}, {length}, {i}, substring({text}, {start}, {size})), NULL)"
+        for length, i, start, size in _segments(chars, edits)
+    )
+    return F.expr(f"array({', '.join(keys)})")
+
+
+def segment_place(at: str, chars: str, edits: int) -> tuple[Column, Column]:
+    """Start and size of the key at a place of `segment_keys`."""
+    segments = _segments(chars, edits)
+    pick = lambda parts: F.expr(f"element_at(array({', '.join(parts)}), {at} + 1)")
+    return pick([start for *_, start, _ in segments]), pick([size for *_, size in segments])
 
 
 def _let(value: Column, use) -> Column:
@@ -149,22 +162,27 @@ def near_lines(lines: DataFrame, edits: int = MAX_EDITS, crowded: int = CROWDED)
     """
     hashed = lines.select(F.xxhash64("text").alias("line"), F.col("text").alias("rest"))
     frontier, texts, found = hashed.withColumn("prefix", F.lit(0).cast("long")), None, []
+    start, size = segment_place("at", "chars", edits)
     while True:
         entries = (
             frontier.withColumn("chars", F.char_length("rest"))
-            .select(
-                "prefix", "line", "chars", F.explode(segment_keys("rest", "chars", "prefix", edits)).alias("e")
-            )
-            .filter("e IS NOT NULL")
-            .select("prefix", "line", "e.*", "chars")
+            .select("prefix", "line", "chars", segment_keys("rest", "chars", "prefix", edits).alias("keys"))
+            .select("prefix", "line", "chars", F.posexplode("keys").alias("at", "key"))
+            .filter("key IS NOT NULL")
         )
+        own = F.col("at") <= edits
         keys = stage(
             entries.groupBy("key")
-            .agg(F.min("line").alias("low"), F.max("line").alias("high"), F.max("own").alias("own"))
-            .filter("low < high AND own")
+            .agg(F.min("line").alias("low"), F.max("line").alias("high"), F.min("at").alias("at"))
+            .filter((F.col("low") < F.col("high")) & own)
             .select("key")
         )
-        members = stage(thin_out(entries, "key", keys, "key").join(keys, "key").distinct())
+        members = stage(
+            thin_out(entries, "key", keys, "key")
+            .join(keys, "key")
+            .distinct()
+            .withColumns({"own": own, "start": start, "size": size})
+        )
         sizes = stage(
             members.groupBy("key").agg(
                 ((F.count("*") > crowded) & (F.max(F.col("chars") - F.col("size")) > 2 * edits)).alias("refine")
