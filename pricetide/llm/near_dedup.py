@@ -139,12 +139,11 @@ def near_duplicates(
     a null doc_id are kept and linked with nothing. Other columns are not read.
 
     1. Documents with equal sets collapse to the least doc_id among them.
-    2. Bands give buckets of sets. Every set is compared with the least set of its buckets,
-       the two of a bucket of two with each other.
+    2. Bands give buckets of sets. Every set is compared with the most central set of each of
+       its buckets: the one whose buckets are the largest together.
     3. Components of these links; then pairs of one bucket that are still in different
        components are compared as well, so that no link is lost.
     """
-    percent_of = percent
     rows = docs.select(
         F.col(f"`{doc_id}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("binary").alias("text")
     )
@@ -164,12 +163,16 @@ def near_duplicates(
         .agg(F.count("*").alias("n"), F.min("rep").alias("a"), F.max("rep").alias("b"))
         .filter("a < b")
     )
-    crowded = stage(
-        entries.withColumnRenamed("rep", "b")
-        .join(buckets.filter("n > 2").select("key", "a"), "key")
+    crowded = stage(entries.withColumnRenamed("rep", "b").join(buckets.filter("n > 2").select("key", "n"), "key"))
+    # the original of a family of copies meets more of them than any copy does
+    central = crowded.groupBy(F.col("b").alias("a")).agg(F.sum("n").alias("met"))
+    known = crowded.select("key", F.col("b").alias("a")).join(central, "a")
+    centres = stage(known.groupBy("key").agg(F.max(F.struct("met", "a"))["a"].alias("a")))
+    around = crowded.join(centres, "key").filter("a <> b").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     )
-    stars = buckets.filter("n = 2").select("a", "b").union(crowded.filter("a <> b").select("a", "b"))
-    links = _confirm(stars.distinct(), sets, rows, percent_of)
+    stars = buckets.filter("n = 2").select("a", "b").union(around)
+    links = _confirm(stars.distinct(), sets, rows, percent)
     labels = stage(components(links))
     # what is left to compare: members of one bucket in different components
     placed = stage(
@@ -192,9 +195,9 @@ def near_duplicates(
             right,
             (F.col("key_a") == F.col("key_b"))
             & (F.col("in_a") < F.col("in_b"))
-            & alike("sketch_a", "sketch_b", percent_of),
+            & alike("sketch_a", "sketch_b", percent),
         ).select("a", "b")
-        more = _confirm(across.distinct(), sets, rows, percent_of)
+        more = _confirm(across.distinct(), sets, rows, percent)
         if not more.isEmpty():
             labels = stage(components(links.union(more)))
     named = stage(
