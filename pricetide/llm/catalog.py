@@ -123,4 +123,31 @@ QUERIES: dict[str, Query] = {
     "op10_substrings": op10_substrings,
 }
 
-SQL: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_RULES = ", ".join(
+    f"('{verdict}', '{rule}', '{host}', '/{path}')"
+    for verdict, rule in URL_RULES
+    for host, _, path in [rule.partition("/")]
+)
+
+SQL: dict[str, str] = {
+    "op4_url_filter": f"""
+        WITH cut AS (
+            SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3)
+                            ELSE '' END AS rest
+            FROM pages),
+        parts AS (
+            SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM cut),
+        hosts AS (
+            SELECT page_id, translate(raw, '{_UPPER}', '{_LOWER}') AS host,
+                   regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+            FROM parts),
+        rules(verdict, rule, h, p) AS (VALUES {_RULES}),
+        best AS (
+            SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+            FROM hosts JOIN rules
+              ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+            GROUP BY page_id)
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+        FROM hosts LEFT JOIN best USING (page_id)""",
+}
