@@ -1,7 +1,7 @@
 """Product price histories on Spark: extraction, daily prices, buy alerts."""
 
 from pricetide.operators.clean import clean_prices, combine_sources, filter_valid, split_valid
-from pricetide.operators.daily import daily_prices, daily_prices_joined, latest_per_day
+from pricetide.operators.daily import daily_prices, daily_prices_joined, ranked_closing_rows
 from pricetide.operators.enrich import add_discount, add_final_price, enrich, forward_fill, process
 from pricetide.operators.signals import (
     alert_payload,
@@ -31,7 +31,7 @@ __all__ = [
     "filter_valid",
     "forward_fill",
     "incremental_append",
-    "latest_per_day",
+    "ranked_closing_rows",
     "process",
     "recent_days",
     "run_from_pages",

@@ -5,11 +5,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricetide.sources.paths import stage
+
 # A window partition up to this size is an ordinary task.
 HOT_ROWS = 1_000_000
-# So many keys at most are set apart; a key below the largest 10,000 holds less than a
-# ten-thousandth of all rows.
-MAX_HOT_KEYS = 10_000
 
 
 @dataclass(frozen=True)
@@ -18,31 +17,26 @@ class HotKeys:
     keys: DataFrame
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(rows of ordinary keys, rows of hot keys); a NULL key counts as a key."""
-        keys = F.broadcast(self.keys)
+        """(rows of ordinary keys, rows of hot keys); a NULL key counts as a key.
+
+        The list is a written table of known size: Spark broadcasts a small one by itself
+        and joins a large one by shuffle, where AQE cuts the crowded keys of ``df``.
+        """
         match = df[self.key].eqNullSafe(self.keys["_hot"])
-        return df.join(keys, match, "left_anti"), df.join(keys, match, "left_semi")
+        return df.join(self.keys, match, "left_anti"), df.join(self.keys, match, "left_semi")
 
 
-def find_hot_keys(
-    df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS
-) -> HotKeys | None:
-    """The largest keys with more than ``hot_rows`` rows, or ``None`` if there are none.
+def find_hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> HotKeys | None:
+    """All keys with more than ``hot_rows`` rows, or ``None`` if there are none, the usual case.
 
-    None is the usual case. The count reads the key column only and is combined map-side.
-    The keys come to the driver once, so that every later branch splits by the same set;
-    ``max_keys`` bounds them, and with them the broadcast. Keys beyond it stay ordinary:
-    they are treated the usual way, and by their rank they are small against the whole.
+    The count reads the key column only and is combined map-side; it runs when this is called.
+    At most one key in ``hot_rows`` rows can be hot. The list is written once, so that every later
+    branch splits by the same set, and none of it passes through the driver.
     """
-    largest = (
+    listed = stage(
         df.groupBy(F.col(key).alias("_hot"))
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > hot_rows)
-        .orderBy(F.col("_rows").desc())
-        .limit(max_keys)
         .select("_hot")
     )
-    listed = largest.collect()
-    if not listed:
-        return None
-    return HotKeys(key, df.sparkSession.createDataFrame(listed, largest.schema))
+    return None if listed.isEmpty() else HotKeys(key, listed)

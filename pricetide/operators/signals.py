@@ -57,14 +57,18 @@ def recent_days(
     as_of: datetime.date | str | None = None,
     window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
-    """Each product's newest days up to ``as_of``: all that the signals of that day look at.
+    """The newest days up to ``as_of`` of each product seen on that day: all that its signals look at.
 
-    The date bound prunes partitions, and WindowGroupLimit cuts every map task's output
-    to ``window_rows + 1`` days per product before the shuffle.
+    The date bound prunes later partitions. A product without a row on the day cannot alert, so only
+    rows of the day's products take part; earlier partitions are still read, with no
+    look-back limit, because a product may pause for any time. NULL products belong to no day.
     """
+    day = _day(as_of)
+    seen = daily.filter(F.col("date") == day).select(*_product()).distinct()
     newest_first = Window.partitionBy(*_product()).orderBy(F.col("date").desc())
     return (
-        daily.filter(F.col("date") <= _day(as_of))
+        daily.filter(F.col("date") <= day)
+        .join(seen, _product(), "left_semi")
         .withColumn("_rank", F.row_number().over(newest_first))
         .filter(F.col("_rank") <= window_rows + 1)
         .drop("_rank")

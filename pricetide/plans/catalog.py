@@ -18,7 +18,7 @@ from pricetide.operators.daily import (
     daily_metrics,
     daily_prices,
     daily_prices_joined,
-    latest_per_day,
+    ranked_closing_rows,
 )
 from pricetide.operators.enrich import add_final_price, enrich, forward_fill, process
 from pricetide.operators.quality import duplicate_keys
@@ -409,7 +409,7 @@ def metrics_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     _select([*DAILY_KEYS, *CLOSING_NAMES], f"({DAILY_SQL})"),
 )
 def closing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(latest_per_day(_enriched_frame(spark, sf_dir)))
+    return comparable(ranked_closing_rows(_enriched_frame(spark, sf_dir)))
 
 
 @checked(

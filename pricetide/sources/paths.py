@@ -29,6 +29,14 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def partition_folders(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Folders of the partitions by ``column``, but for that of NULL; their files are not listed."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path, f"{column}=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    folders = [str(status.getPath().toString()) for status in found or []]
+    return [f for f in folders if not f.endswith("=__HIVE_DEFAULT_PARTITION__")]
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A new folder in the shared space named by ``spark.checkpoint.dir``.
 

@@ -5,6 +5,7 @@ rewrites the dates in its batch and leaves the others alone, but the final swap
 folders is no transaction. Catalog tables that support MERGE go through `merge_into`.
 """
 
+import re
 from functools import reduce
 from operator import and_
 
@@ -14,12 +15,12 @@ from pyspark.sql import types as T
 
 from pricetide.operators.quality import assert_unique
 from pricetide.schema import ALERT_UPDATES, DAILY_KEYS, RAW
-from pricetide.sources.paths import stage, table_exists
+from pricetide.sources.paths import partition_folders, stage, table_exists
 
 # JSON text that keeps microseconds and the zone offset.
 JSON_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-# Beyond this many dates in a batch, target partitions are chosen by range and semi-join.
-MAX_LISTED_DAYS = 1_000
+# Characters that Hive-style folder names escape as %XX.
+_ESCAPED = re.compile(r"[\x01-\x1f\x7f\"#%'*/:=?\\{}\[\]^]")
 
 
 def raw_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
@@ -64,37 +65,65 @@ def _days_of(batch: DataFrame, day: str) -> list:
     return days
 
 
-def _touched(target: DataFrame, batch: DataFrame, day: str, days: list) -> DataFrame:
-    """The partitions of ``target`` that the batch will rewrite, pruned at planning time."""
-    if len(days) <= MAX_LISTED_DAYS:
-        return target.filter(F.col(day).isin(days))
-    span = target.filter(F.col(day).between(min(days), max(days)))
-    return span.join(F.broadcast(batch.select(day).distinct()), day, "left_semi")
+def _touched(batch: DataFrame, path: str, day: str, days: list) -> DataFrame | None:
+    """The stored rows of the batch's days, with every column that any of their files has.
 
+    Only these days' folders are listed, so the cost follows the batch, not the table. The
+    day keeps the batch's type instead of one guessed from folder names.
+    """
+    spark = batch.sparkSession
+    folders = [
+        f"{path.rstrip('/')}/{day}={_ESCAPED.sub(lambda c: f'%{ord(c[0]):02X}', str(value))}"
+        for value in days
+    ]
+    stored = [folder for folder in folders if table_exists(spark, folder)]
+    if not stored:
+        return None
+    reader = spark.read.option("basePath", path)
+    found = reader.option("mergeSchema", True).parquet(*stored).schema
+    fields = [batch.schema[day] if field.name == day else field for field in found]
+    return spark.read.option("basePath", path).schema(T.StructType(fields)).parquet(*stored)
 
-def _replace_rows(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    untouched = target.join(batch.select(*keys), keys, "left_anti")
-    return untouched.unionByName(batch)
+
+def _merged(
+    target: DataFrame, batch: DataFrame, keys: list[str], update_cols: list[str] | None
+) -> DataFrame:
+    """All columns of both sides; see `upsert`. Rows with a NULL key pass around the join."""
+    known = reduce(and_, [F.col(key).isNotNull() for key in keys])
+    keyless = target.filter(~known).unionByName(batch.filter(~known), allowMissingColumns=True)
+    target, batch = target.filter(known), batch.filter(known)
+    updates = set(batch.columns if update_cols is None else update_cols) | set(keys)
+    if updates.issuperset(target.columns):
+        untouched = target.join(batch.select(*keys), keys, "left_anti")
+        merged = untouched.unionByName(batch, allowMissingColumns=True)
+    else:
+        merged = _update_columns(target, batch, keys, updates)
+    return merged.unionByName(keyless)
 
 
 def _update_columns(
-    target: DataFrame, batch: DataFrame, keys: list[str], update_cols: list[str]
+    target: DataFrame, batch: DataFrame, keys: list[str], updates: set[str]
 ) -> DataFrame:
-    """Matched rows take ``update_cols`` from the batch, NULLs included, and keep the rest."""
+    """Matched rows take ``updates`` from the batch, NULLs included, and keep the rest."""
+    types = {field.name: field.dataType for side in (batch, target) for field in side.schema}
     old = target.select(F.struct(*target.columns).alias("old"))
-    new = batch.select(F.struct(*target.columns).alias("new"))
+    new = batch.select(F.struct(*batch.columns).alias("new"))
     same = reduce(and_, [F.col(f"old.{key}") == F.col(f"new.{key}") for key in keys])
     both = old.join(new, same, "full_outer")
+    columns = {"old": target.columns, "new": batch.columns}
+
+    def side(name: str, of: str) -> Column:
+        missing = F.lit(None).cast(types[name])
+        return F.col(f"{of}.`{name}`") if name in columns[of] else missing
 
     def pick(name: str) -> Column:
-        first, second = ("new", "old") if name in update_cols else ("old", "new")
-        return (
-            F.when(F.col(first).isNotNull(), F.col(f"{first}.{name}"))
-            .otherwise(F.col(f"{second}.{name}"))
-            .alias(name)
-        )
+        updated = name in updates and name in columns["new"]
+        first, second = ("new", "old") if updated else ("old", "new")
+        chosen = F.when(F.col(first).isNotNull(), side(name, first))
+        return chosen.otherwise(side(name, second)).alias(name)
 
-    return both.select(*[pick(name) for name in target.columns])
+    added = [name for name in batch.columns if name not in target.columns]
+    return both.select(*[pick(name) for name in [*target.columns, *added]])
 
 
 def upsert(
@@ -110,22 +139,22 @@ def upsert(
     Keys must be unique in the batch (``check_unique`` verifies it). A NULL key matches
     nothing, so such a row is inserted every time. Only partitions of days in the batch
     are read and rewritten, and running the same batch twice changes nothing.
+
+    No stored column is lost: a known row keeps its values in columns that the batch lacks, an
+    inserted one has NULL there. A column new to the table is NULL in rows that the batch
+    does not set; days outside the batch show it under ``read_table(merge_schema=True)``.
     """
     spark = df.sparkSession
     batch = stage(df)
     if check_unique:
         assert_unique(batch, keys)
     days = _days_of(batch, day)
-    if not table_exists(spark, path):
-        _write_days(batch, path, day)
-    elif days:
-        target = spark.read.parquet(path).select(*df.columns)
-        touched = _touched(target, batch, day, days)
-        if update_cols is None:
-            merged = _replace_rows(touched, batch, keys)
-        else:
-            merged = _update_columns(touched, batch, keys, update_cols)
+    if days:
+        target = _touched(batch, path, day, days)
+        merged = batch if target is None else _merged(target, batch, keys, update_cols)
         _write_days(merged, path, day)
+    elif not table_exists(spark, path):
+        _write_days(batch, path, day)
     return batch
 
 
@@ -162,18 +191,8 @@ def write_alerts(alerts: DataFrame, path: str) -> DataFrame:
     return upsert(unique, path, update_cols=ALERT_UPDATES)
 
 
-def high_water_mark(
-    df: DataFrame, ts_col: str = "timestamp", day: str | None = None
-) -> Column | None:
-    """``max(ts_col)`` as a literal, or ``None`` for a table without any.
-
-    ``day`` names a partition column that never falls while ``ts_col`` rises: then only the
-    newest partition is read.
-    """
-    if day is not None:
-        newest_day = df.agg(F.max(day).alias("day")).first()["day"]
-        if newest_day is not None:
-            df = df.filter(F.col(day) == newest_day)
+def high_water_mark(df: DataFrame, ts_col: str = "timestamp") -> Column | None:
+    """``max(ts_col)`` as a literal, or ``None`` for a table without any."""
     is_instant = isinstance(df.schema[ts_col].dataType, T.TimestampType)
     # Microseconds cross the driver exactly; Python datetimes would pass its own time zone.
     newest = F.max(F.unix_micros(ts_col) if is_instant else F.col(ts_col))
@@ -183,6 +202,20 @@ def high_water_mark(
     return F.timestamp_micros(F.lit(mark)) if is_instant else F.lit(mark)
 
 
+def _stored_mark(spark: SparkSession, path: str, ts_col: str, day: str | None) -> Column | None:
+    """`high_water_mark` of a stored table; with ``day``, from the newest folder that has one.
+
+    The folders are listed, not their files read; folders without any timestamp are passed.
+    """
+    if day is None:
+        return high_water_mark(spark.read.parquet(path), ts_col)
+    for folder in sorted(partition_folders(spark, path, day), reverse=True):
+        mark = high_water_mark(spark.read.parquet(folder), ts_col)
+        if mark is not None:
+            return mark
+    return None
+
+
 def incremental_append(
     source: DataFrame, path: str, ts_col: str = "timestamp", day: str | None = None
 ) -> int:
@@ -190,13 +223,13 @@ def incremental_append(
 
     A missing or empty target takes all rows. The comparison is strict, so late rows stay
     out, and as a literal it reaches the source's Parquet scan. Nothing new, no write.
-    With ``day`` (see `high_water_mark`) the target is partitioned by that column, which
-    keeps the search for the newest row off the older history.
+    With ``day``, a date column that never falls while ``ts_col`` rises, the target is partitioned
+    by it, and only the newest partition is read in search of the newest row.
     """
     spark = source.sparkSession
     mark = None
     if table_exists(spark, path):
-        mark = high_water_mark(spark.read.parquet(path), ts_col, day)
+        mark = _stored_mark(spark, path, ts_col, day)
     fresh = source if mark is None else source.filter(F.col(ts_col) > mark)
     if fresh.isEmpty():
         return 0

@@ -71,7 +71,7 @@ def test_stage_uses_the_shared_folder(spark):
     assert rows(stage(df)) == rows(df)
 
 
-def test_silver_idempotency(spark, frame, tmp_path):
+def test_a_repeated_batch_changes_nothing(spark, frame, tmp_path):
     path, daily = str(tmp_path / "silver"), daily_prices(frame(DAY, SCHEMA))
     write_daily(daily, path)
     once = rows(read_table(spark, path))
@@ -83,7 +83,7 @@ def test_silver_idempotency(spark, frame, tmp_path):
 def test_second_batch_replaces_the_day(spark, frame, tmp_path):
     path = str(tmp_path / "silver")
     write_daily(daily_prices(frame(DAY, SCHEMA)), path)
-    later = ("2025-01-10 18:00:00", "url1", "Nike", "Shoe", 80.0, 120.0, 33.33, "In Stock", "siteA")
+    later = ("2024-06-03 21:00:00", *DAY[0][1:4], 80.0, 120.0, 33.33, "In Stock", "north")
     write_daily(daily_prices(frame([later], SCHEMA)), path)
     (row,) = read_table(spark, path).collect()
     assert (row.num_scrapes_day, row.min_price_day, row.max_price_day) == (1, 80.0, 80.0)
@@ -145,8 +145,7 @@ def test_crowded_day_is_written_by_several_tasks(spark, tmp_path):
     assert read_table(spark, path).count() == 40_000
 
 
-def test_many_days_are_found_by_range(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("pricetide.sources.tables.MAX_LISTED_DAYS", 1)
+def test_several_days_in_a_batch(spark, tmp_path):
     path = str(tmp_path / "t")
     days = [{"url": "a", "website": "s", "date": f"2025-01-0{d}"} for d in range(1, 6)]
     upsert(day_rows(spark, *days), path)
@@ -172,6 +171,28 @@ def test_null_keys_never_match_and_null_dates_are_refused(spark, tmp_path):
         upsert(day_rows(spark, {"url": "a", "website": "s", "date": None}), path)
 
 
+def test_columns_of_either_side_survive(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = day_rows(spark, *({"url": u, "website": "s", "date": "2025-01-01", "status": "old"} for u in "ab"))
+    upsert(rows.withColumn("note", F.concat(F.lit("keep "), "url")), path)
+    upsert(day_rows(spark, {"url": "a", "website": "s", "date": "2025-01-01", "status": "new"},
+                    {"url": "c", "website": "s", "date": "2025-01-01"}), path)
+    stored = {r.url: (r.status, r.note) for r in read_table(spark, path).collect()}
+    assert stored == {"a": ("new", "keep a"), "b": ("old", "keep b"), "c": (None, None)}
+    wider = day_rows(spark, {"url": "b", "website": "s", "date": "2025-01-01"}).withColumn("extra", F.lit(7))
+    upsert(wider, path)
+    stored = {r.url: (r.note, r.extra) for r in read_table(spark, path).collect()}
+    assert stored == {"a": ("keep a", None), "b": ("keep b", 7), "c": (None, None)}
+
+
+def test_the_day_keeps_its_type(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", "2025-01-01"), ("b", "a/b c")], "url string, day string")
+    for _ in range(2):
+        upsert(rows, path, keys=["url"], day="day")
+    assert sorted(map(tuple, read_table(spark, path).collect())) == sorted(map(tuple, rows.collect()))
+
+
 def test_duplicate_keys_in_a_batch_are_found_on_request(spark, tmp_path):
     twice = [{"url": "a", "website": "s", "date": "2025-01-01"}] * 2
     with pytest.raises(ValueError, match="duplicate key"):
@@ -311,8 +332,19 @@ def test_target_partitioned_by_day(spark, tmp_path):
     assert incremental_append(first.union(later), path, day="date") == 1
     table = read_table(spark, path)
     assert sorted(r.id for r in table.collect()) == [1, 2, 4]
-    mark = high_water_mark(table, day="date")
-    assert str(spark.range(1).select(mark).first()[0]) == "2025-01-02 09:00:01"
+    undated = table.filter("id = 1").withColumns({"timestamp": F.lit(None).cast("timestamp"), "date": F.lit("2025-01-09")})
+    undated.write.mode("append").partitionBy("date").parquet(path)
+    assert incremental_append(later, path, day="date") == 0
+
+
+def test_only_the_newest_day_is_searched(spark, tmp_path):
+    path = tmp_path / "target"
+    for day in ("2025-01-01", "2025-01-02"):
+        rows = loads(spark, (1, "a", f"{day} 10:00:00")).withColumn("date", F.to_date("timestamp"))
+        incremental_append(rows, str(path), day="date")
+    (path / "date=2025-01-01" / "broken.parquet").write_text("no Parquet")
+    newer = loads(spark, (2, "b", "2025-01-02 11:00:00")).withColumn("date", F.to_date("timestamp"))
+    assert incremental_append(newer, str(path), day="date") == 1
 
 
 def test_watermark_reaches_the_scan(spark, tmp_path):
