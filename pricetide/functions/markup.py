@@ -2,46 +2,27 @@
 
 An element is found by tag name and class token, cut out with its nested elements, and
 turned into text. Comments, scripts and styles are to be dropped first (`visible`).
-Known limits: a start tag whose attributes hold ``>`` before the class is not seen, and
-of the named character references only those in `NAMED_CHARACTERS` are decoded.
 """
 
+import json
 import re
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Named character references (``&amp;`` is decoded last).
-NAMED_CHARACTERS = {
-    "&nbsp;": " ",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&lsquo;": "‘",
-    "&rsquo;": "’",
-    "&ldquo;": "“",
-    "&rdquo;": "”",
-    "&ndash;": "–",
-    "&mdash;": "—",
-    "&hellip;": "…",
-    "&middot;": "·",
-    "&bull;": "•",
-    "&copy;": "©",
-    "&reg;": "®",
-    "&trade;": "™",
-    "&deg;": "°",
-    "&times;": "×",
-    "&pound;": "£",
-    "&euro;": "€",
-    "&eacute;": "é",
-}
-
 _HIDDEN = (
     r"(?s)<(?:!--.*?--|(?i:script)\b.*?</(?i:script)\s*|(?i:style)\b.*?</(?i:style)\s*)>"
 )
-_TAG = r"(?s)<[^>]*>"
+# The rest of a start tag: quoted values may hold ``>``.
+_TO_TAG_END = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>"""
+_TAG = f"(?s)<{_TO_TAG_END}"
+# One attribute other than ``class``, with its value.
+_ATTRIBUTE = (
+    r"(?!(?i:class)\s*=)[^\s>][^\s=>]*+"
+    r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+\s*+"""
+)
 _EDGES = r"(?U)^\s+|\s+$"
 _BREAK = "\u0001"
 
@@ -53,12 +34,13 @@ def visible(html: Column) -> Column:
 def _start_tag(tag: str, classes: tuple[str, ...]) -> str:
     name = f"<(?i:{tag})"
     if not classes:
-        return rf"{name}(?:\s[^>]*)?>"
+        return rf"{name}(?=[\s>]){_TO_TAG_END}"
     token = "(?:" + "|".join(re.escape(c) for c in classes) + ")"
     quoted = "|".join(
         rf"{quote}(?:[^{quote}]*\s)?{token}(?:\s[^{quote}]*)?{quote}" for quote in "\"'"
     )
-    return rf"{name}\s(?:[^>]*?\s)?(?i:class)\s*=\s*(?:{quoted}|{token}(?=[\s>]))[^>]*>"
+    own = rf"(?i:class)\s*=\s*(?:{quoted}|{token}(?=[\s>]))"
+    return rf"{name}\s++(?:{_ATTRIBUTE})*+{own}{_TO_TAG_END}"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -80,7 +62,7 @@ def find_element(html: Column, tag: str, *classes: str) -> Column:
     start = _start_tag(tag, classes)
     to_first_end = F.regexp_extract(html, rf"(?s){start}.*?(?:</(?i:{tag})\s*>|\z)", 0)
     to_page_end = F.regexp_extract(html, rf"(?s){start}.*\z", 0)
-    holds_same_tag = rf"(?is)^<[^>]*>.*?<{tag}[\s>/]"
+    holds_same_tag = rf"(?is)^<{_TO_TAG_END}.*?<{tag}[\s>/]"
     return let(
         to_first_end,
         lambda short: F.when(short == "", F.lit(None).cast("string"))
@@ -114,35 +96,58 @@ def _up_to_own_end(markup: Column, tag: str) -> Column:
     return let(pieces, kept)
 
 
+def _characters() -> dict[str, str]:
+    """Text of each named reference, and of the numbers that stand for windows-1252 bytes."""
+    named = {f"&{name}": text for name, text in html5.items()}
+    bytes_ = {n: bytes([n]).decode("cp1252", "ignore") for n in range(128, 160)}
+    return named | {f"#{n}": text for n, text in bytes_.items() if text}
+
+
+def _reference() -> str:
+    """Pattern of a character reference; old names need no semicolon, the longest wins."""
+    old = sorted((name for name in html5 if not name.endswith(";")), key=lambda n: (-len(n), n))
+    return "&(?:#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[A-Za-z][A-Za-z0-9]*+;|(?:" + "|".join(old) + "))"
+
+
 def unescape(text: Column) -> Column:
-    """Decode numeric character references and the named ones listed above."""
+    """Decode character references as HTML does, each once; unknown names stay as they are."""
+    known = F.from_json(F.lit(json.dumps(_characters())), "map<string,string>")
+    pattern = _reference()
+    old = pattern[pattern.rindex("(?:") :].removesuffix(")")
 
     def character(code: Column) -> Column:
         is_scalar = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
         utf32 = F.unhex(F.lpad(F.hex(code), 8, "0"))
-        return F.when(is_scalar, F.decode(utf32, "UTF-32")).otherwise("�")
-
-    def code_of(ref: Column, pattern: str, base: int) -> Column:
-        return F.conv(F.regexp_extract(ref, pattern, 1), base, 10).cast("bigint")
-
-    def numbered(text: Column, pattern: str, base: int) -> Column:
-        return let(
-            text,
-            lambda raw: F.aggregate(
-                F.array_distinct(F.regexp_extract_all(raw, F.lit(pattern), F.lit(0))),
-                raw,
-                lambda done, ref: F.replace(
-                    done, ref, let(code_of(ref, pattern, base), character)
-                ),
-            ),
+        by_number = F.when(is_scalar, F.decode(utf32, "UTF-32")).otherwise("\ufffd")
+        listed = F.element_at(known, F.concat(F.lit("#"), code.cast("string")))
+        return F.when(code.between(128, 159), F.coalesce(listed, by_number)).otherwise(by_number)
+
+    def numbered(reference: Column, digits: str, base: int) -> Column:
+        # leading zeros say nothing, and eight further digits are beyond all characters
+        significant = F.regexp_extract(reference, rf"^&#[xX]?0*({digits}*)", 1)
+        code = F.conv(F.when(F.length(significant) < 8, significant), base, 10).cast("bigint")
+        return let(F.coalesce(code, F.lit(0)), character)
+
+    def named(reference: Column) -> Column:
+        def beginning(name: Column) -> Column:
+            rest = F.substring(reference, F.length(name) + 1, F.length(reference))
+            return F.when(name != "", F.concat(F.element_at(known, name), rest))
+
+        start = F.regexp_extract(reference, f"^&{old}", 0)
+        return F.coalesce(F.element_at(known, reference), let(start, beginning), reference)
+
+    def decode(reference: Column) -> Column:
+        return (
+            F.when(reference.rlike("^&#[0-9]"), numbered(reference, "[0-9]", 10))
+            .when(reference.startswith("&#"), numbered(reference, "[0-9a-fA-F]", 16))
+            .otherwise(named(reference))
         )
 
-    def decoded(text: Column) -> Column:
-        text = numbered(text, r"&#([0-9]{1,7});", 10)
-        text = numbered(text, r"&#[xX]([0-9a-fA-F]{1,6});", 16)
-        for reference, char in NAMED_CHARACTERS.items():
-            text = F.replace(text, F.lit(reference), F.lit(char))
-        return F.replace(text, F.lit("&amp;"), F.lit("&"))
+    def decoded(raw: Column) -> Column:
+        references = F.transform(F.regexp_extract_all(raw, F.lit(pattern), F.lit(0)), decode)
+        between = F.split(raw, pattern, -1)
+        pairs = F.zip_with(between, references, lambda t, c: F.concat(t, F.coalesce(c, F.lit(""))))
+        return F.array_join(pairs, "")
 
     return let(text, lambda raw: F.when(raw.contains("&"), decoded(raw)).otherwise(raw))
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricetide.functions.markup import NAMED_CHARACTERS
 from pricetide.functions.prices import discount_percentage, parse_price, parse_timestamp
 from pricetide.operators.clean import (
     clean_prices,
@@ -569,6 +568,47 @@ def upsert_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(read_table(spark, path).select(*ALERT_NAMES))
 
 
+@checked(
+    "upsert_new_columns",
+    f"""WITH t AS ({_daily(_FIRST_SQL)}), s AS ({_daily(_SECOND_SQL)}),
+             merged AS (
+        SELECT s.*, CASE WHEN t.url IS NOT NULL THEN 'first' END AS note, 'again' AS extra
+        FROM s LEFT JOIN t ON {_SAME_KEY}
+        UNION ALL
+        SELECT t.*, 'first' AS note, NULL AS extra
+        FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE {_SAME_KEY}))
+        {_select([*DAILY_NAMES, "note", "extra"], "merged")}""",
+)
+def upsert_new_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A narrower batch after a wide one, then one with a column of its own."""
+    path = layer_path(scratch_path(spark), "processed")
+    first, second = _batches(spark, sf_dir)
+    upsert(first.withColumn("note", F.lit("first")), path)
+    upsert(second, path)
+    upsert(second.withColumn("extra", F.lit("again")), path)
+    stored = read_table(spark, path, merge_schema=True)
+    return comparable(stored.select(*DAILY_NAMES, "note", "extra"))
+
+
+@checked(
+    "alerts_first_write",
+    _select(ALERT_NAMES, f"({_signals(_daily(_FIRST_SQL))})"),
+)
+def alerts_first_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first batch with an older copy of every alert and without counts of single scrapes."""
+    path = layer_path(scratch_path(spark), "gold_alerts")
+    alerts = signals(_batches(spark, sf_dir)[0])
+    older = alerts.withColumns(
+        {
+            "last_scrape_time": F.col("last_scrape_time") - F.expr("INTERVAL 1 HOUR"),
+            "closing_price": F.lit(0.0),
+        }
+    )
+    counts = F.when(F.col("num_scrapes_day") > 1, F.col("num_scrapes_day"))
+    write_alerts(alerts.withColumn("num_scrapes_day", counts).union(older), path)
+    return comparable(read_table(spark, path).select(*ALERT_NAMES))
+
+
 def _two_loads(first: DataFrame, second: DataFrame) -> DataFrame:
     spark, path = first.sparkSession, scratch_path(first.sparkSession)
     for source in (first, second, second):
@@ -616,9 +656,12 @@ def raw_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- pages
 
 
+# The named references that the test pages hold in headings and titles.
+PAGE_REFERENCES = {"&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&copy;": "©", "&middot;": "·"}
+
+
 def _unescaped(expression: str) -> str:
-    for reference, char in NAMED_CHARACTERS.items():
-        char = char.replace("'", "''")
+    for reference, char in PAGE_REFERENCES.items():
         expression = f"replace({expression}, '{reference}', '{char}')"
     return f"replace({expression}, '&amp;', '&')"
 
@@ -655,12 +698,14 @@ _PART_TIME = "strftime(TIMESTAMP '2024-01-01' + to_seconds(p_partkey), '%Y-%m-%d
 
 SHOP_A_SQL = f"""
     SELECT p_name || ' & co' AS product_name,
-           CASE layout WHEN 0 THEN NULL WHEN 2 THEN '₹' ELSE {_PART_PRICE} END AS selling_price,
-           CASE layout WHEN 0 THEN 'Out of Stock' ELSE 'In Stock' END AS status,
-           CASE WHEN layout IN (1, 2) THEN {_PART_LIST} END AS mrp,
+           CASE WHEN layout IN (0, 6) THEN NULL WHEN layout = 2 THEN '₹' ELSE {_PART_PRICE} END
+               AS selling_price,
+           CASE WHEN layout IN (0, 6) THEN 'Out of Stock' ELSE 'In Stock' END AS status,
+           CASE WHEN layout IN (1, 2) THEN {_PART_LIST}
+                WHEN layout = 7 THEN replace({_PART_LIST}, '₹', '₹ ') END AS mrp,
            p_brand AS brand, 'Flipkart' AS website, {_PART_TIME} AS "timestamp",
            'https://shop-a/p/' || p_partkey AS url
-    FROM (SELECT *, p_partkey % 6 AS layout FROM part) WHERE layout < 4"""
+    FROM (SELECT *, p_partkey % 8 AS layout FROM part) WHERE layout NOT IN (4, 5)"""
 
 SHOP_B_SQL = f"""
     SELECT CASE WHEN layout < 6 THEN p_name || ' & co' END AS product_name,

@@ -40,7 +40,14 @@ def _part_pages(spark: SparkSession, sf_dir: str, site: str, markup: Column) ->
     price = F.floor("p_retailprice")
     return (
         spark.read.parquet(f"{sf_dir}/part.parquet")
-        .withColumns({"price": _rupees(price), "list": _rupees(price + 500)})
+        .withColumns(
+            {
+                "price": _rupees(price),
+                "list": _rupees(price + 500),
+                # behind an escaped sign without semicolon
+                "amount": F.concat(F.lit(" "), F.format_number(price + 500, 0)),
+            }
+        )
         .select(
             F.concat(F.lit(f"https://{site}/p/"), F.col("p_partkey")).alias("url"),
             markup.alias("html"),
@@ -55,23 +62,25 @@ def _page(*body: str) -> Column:
     text = head + "".join(body) + "<footer>&copy; shop</footer></body></html>"
     pieces = []
     for part in text.replace("}", "{").split("{"):
-        known = ("p_name", "p_brand", "price", "list")
+        known = ("p_name", "p_brand", "price", "list", "amount")
         pieces.append(F.col(part) if part in known else F.lit(part))
     return F.concat(*pieces)
 
 
 def shop_a_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One page per ``part``, in six layouts of shop A."""
+    """One page per ``part``, in eight layouts of shop A."""
     name = '<span class="x LMizgS"> {p_name} &amp; <b>co</b>&nbsp;</span>'
     brand = "<span data-k='1' class='qbKhdn'>{p_brand}</span>"
     sold_out = '<div class="VkYRUs"><span>Sold Out</span></div>'
+    split_notice = '<div data-x="a>b" class="VkYRUs">Sold <b>Out</b></div>'
     old_price = '<!-- <div class="hZ3P6w">₹1</div> -->'
     by_class = '<div class="hZ3P6w c1">{price}</div><div class="kRYCnD">{list}</div>'
     nested = (
         '<div class="bnqy13"><div>₹</div><div><i> </i></div></div>'
         '<div class="c2 yHYOcc"><span>{list}</span></div>'
     )
-    layout = F.col("p_partkey") % 6
+    by_attribute = '<div data-x="a>b" class="hZ3P6w">{price}</div><div class="kRYCnD">&#0008377{amount}</div>'
+    layout = F.col("p_partkey") % 8
     return _part_pages(
         spark,
         sf_dir,
@@ -79,9 +88,11 @@ def shop_a_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(layout == 0, _page(sold_out, name, brand, by_class))
         .when(layout == 1, _page(name, brand, old_price, by_class))
         .when(layout == 2, _page(brand, nested, name))
-        .when(layout == 3, _page(name, brand, "<p>{price}</p>"))
+        .when(layout == 3, _page(name, brand, "<p>\n {price}&nbsp;</p>"))
         .when(layout == 4, _page(name, by_class))
-        .otherwise(_page(sold_out, brand, by_class)),
+        .when(layout == 5, _page(sold_out, brand, by_class))
+        .when(layout == 6, _page(split_notice, name, brand, by_class))
+        .otherwise(_page(name, brand, "<p>₹1</p>", by_attribute)),
     )
 
 

@@ -36,7 +36,7 @@ SHOP_B_LIST_PRICE_ELSE = ("span", "prod-mrp")
 SHOP_B_BAG_BUTTON = ("div", "pdp-addtocart-button")
 SHOP_B_SOLD_OUT_TEXT = "out of stock|sold out"
 RUPEE = "₹"
-RUPEE_ESCAPED = "&#8377;|&#[xX]20[bB]9;"
+RUPEE_ESCAPED = "&#0*8377(?![0-9]);?|&#[xX]0*20[bB]9(?![0-9a-fA-F]);?"
 RUPEE_AMOUNT = r"₹\s?[\d,]+"
 IN_STOCK = "In Stock"
 OUT_OF_STOCK = "Out of Stock"
@@ -106,7 +106,7 @@ def extract_shop_a(pages: DataFrame) -> DataFrame:
 
     def row(html: Column) -> Column:
         texts = clean_texts(
-            by_node(find_element(html, *SHOP_A_SOLD_OUT)),
+            plain(find_element(html, *SHOP_A_SOLD_OUT)),
             plain(find_element(html, *SHOP_A_NAME)),
             plain(find_element(html, *SHOP_A_BRAND)),
             by_node(find_element(html, *SHOP_A_PRICE)),
@@ -115,13 +115,10 @@ def extract_shop_a(pages: DataFrame) -> DataFrame:
         return let(texts, lambda t: observed(t[0], t[1], t[2], t[3], t[4]))
 
     def price_in_text(page: Column) -> Column:
-        return F.when(
-            page.contains(RUPEE),
-            F.coalesce(
-                F.trim(text_node_with(page, RUPEE)),
-                first_match(plain(visible(page)), RUPEE_AMOUNT),
-            ),
+        found = F.coalesce(
+            text_node_with(page, RUPEE), first_match(plain(visible(page)), RUPEE_AMOUNT)
         )
+        return F.when(page.contains(RUPEE), clean_texts(found)[0])
 
     def observed(
         notice: Column, name: Column, brand: Column, price: Column, mrp: Column

@@ -176,3 +176,41 @@ def test_extraction_needs_no_shuffle_no_python_and_one_pass(pages):
 def test_read_pages(spark, pages, tmp_path):
     pages("<p>").write.parquet(str(tmp_path / "p"))
     assert read_pages(spark, str(tmp_path / "p")).collect() == pages("<p>").collect()
+
+
+@pytest.mark.parametrize(
+    ("markup", "text"),
+    [
+        ("&rarr;&ntilde;&#146;", "→ñ’"),
+        ("&#00000065;&#x00041", "AA"),
+        ("a &amp b &copy2 &notit;", "a & b ©2 ¬it;"),
+        ("&amp;lt; &lt;", "&lt; <"),
+        ("&#99999999999999999999; &#x110000; &bogus; & &;", "� � &bogus; & &;"),
+    ],
+)
+def test_character_references(spark, markup, text):
+    df = spark.createDataFrame([(f"<h1>{markup}</h1>",)], "html string")
+    assert extract_fields(df, {"h": FieldRule("h1", join_nodes=False)}).first().h == text
+
+
+@pytest.mark.parametrize(
+    ("start", "found"),
+    [
+        ('<div data-x="a>b" class="c">', "₹5"),
+        ("<div a='>' b=x/y class=c d='>'>", "₹5"),
+        ("<div hidden class = 'x c y'>", "₹5"),
+        ('<div data-x="class=c">', None),
+        ('<div data-class="c">', None),
+        ("<div title=it's class=\"c\">", "₹5"),
+    ],
+)
+def test_start_tags(spark, start, found):
+    df = spark.createDataFrame([(f"<p>₹1</p>{start}₹<i t='>'>5</i></div>",)], "html string")
+    assert extract_fields(df, {"p": FieldRule("div", ("c",))}).first().p == found
+
+
+def test_long_tags_do_not_exhaust_the_stack(spark):
+    many = " ".join(f'data-{n}="{n}>"' for n in range(500))
+    html = f"<div {many} style='{'x' * 500_000}' class='c'>₹5</div>"
+    df = spark.createDataFrame([(html,)], "html string")
+    assert extract_fields(df, {"p": FieldRule("div", ("c",))}).first().p == "₹5"
