@@ -167,7 +167,8 @@ def near_lines(lines: DataFrame, edits: int = MAX_EDITS, crowded: int = CROWDED)
         entries = (
             frontier.withColumn("chars", F.char_length("rest"))
             .select("prefix", "line", "chars", segment_keys("rest", "chars", "prefix", edits).alias("keys"))
-            .select("prefix", "line", "chars", F.posexplode("keys").alias("at", "key"))
+            # the outer form: a plain one has Spark compute the array a second time, to filter by its size
+            .select("prefix", "line", "chars", F.posexplode_outer("keys").alias("at", "key"))
             .filter("key IS NOT NULL")
         )
         own = F.col("at") <= edits
@@ -242,7 +243,7 @@ def remove_repeated_lines(
     name = F.concat_ws(":", identity, F.hex(F.xxhash64(content)))
     blank = lambda line: F.btrim(line, F.lit(WHITE)) == ""
     lines = docs.select(
-        F.col(f"`{doc_id}`").alias("id"), name.alias("row"), F.posexplode(F.split(content, "\n")).alias("at", "text")
+        F.col(f"`{doc_id}`").alias("id"), name.alias("row"), F.posexplode_outer(F.split(content, "\n")).alias("at", "text")
     ).filter(~blank(F.col("text")))
     links = stage(near_lines(lines.filter(F.char_length("text") >= min_chars).select("text"), edits, crowded))
     labels = stage(components(links))
