@@ -11,7 +11,9 @@ its lines without the shared segment must still be within k edits, so the join i
 on these rests inside the key, until few lines meet or at most 2k characters are left.
 """
 
+from collections.abc import Callable
 from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,8 @@ from pricetide.sources.paths import stage
 MAX_EDITS = 1
 # White space of Unicode: lines of nothing else are blank.
 WHITE = "".join(filter(str.isspace, map(chr, range(0x3001))))
+# Characters whose counts are compared before the distance is computed.
+COUNTED = "0123456789abcdefghijklmnopqrstuvwxyz"
 # Shorter lines are compared for equality alone.
 MIN_CHARS = 20
 # Up to so many lines under one key are paired with each other; beyond, the key is refined.
@@ -145,6 +149,16 @@ def _banded(a: Column, b: Column, edits: int) -> Column:
     return (size_a - size_b <= edits) & (end["distance"] <= edits)
 
 
+def like_counts(a: Column, b: Column, edits: int) -> Column:
+    """Whether the counts of some characters allow ``edits`` edits: each edit changes at most
+    two counts by one. No similar pair fails this."""
+    without = lambda text, c: F.octet_length(F.replace(text, F.lit(c), F.lit("")))
+    apart = [
+        F.abs(F.octet_length(a) - without(a, c) - F.octet_length(b) + without(b, c)) for c in COUNTED
+    ]
+    return reduce(add, apart) <= 2 * edits
+
+
 def _pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
     few = members.join(sizes.filter("NOT refine").select("key"), "key")
     left = few.select(F.col("key").alias("key_a"), F.col("line").alias("a"), F.col("own").alias("own_a"))
@@ -155,20 +169,39 @@ def _pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
     ).select("a", "b")
 
 
-def near_lines(lines: DataFrame, edits: int = MAX_EDITS, crowded: int = CROWDED) -> DataFrame:
+def with_keys(lines: DataFrame, text: str, edits: int, min_chars: int = 0) -> DataFrame:
+    """``lines`` with chars, the length of ``text``, and keys, null for lines below ``min_chars``;
+    a column ``prefix`` goes into the keys."""
+    keys = segment_keys(text, "chars", "prefix", edits)
+    return lines.withColumn("chars", F.char_length(text)).withColumn(
+        "keys", F.when(F.col("chars") >= min_chars, keys) if min_chars else keys
+    )
+
+
+def near_lines(
+    lines: DataFrame,
+    edits: int = MAX_EDITS,
+    crowded: int = CROWDED,
+    index: DataFrame | None = None,
+    holding: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Links (a, b) between the 64-bit hashes of different lines within ``edits`` edits.
 
     ``lines`` has a column ``text``; repeated lines are fine. Lines need more than ``edits`` characters.
+    ``index`` may give (prefix, line, chars, keys) of the lines where they are known, and
+    ``holding`` lines among which all of some hashes (line) are found.
     """
-    hashed = lines.select(F.xxhash64("text").alias("line"), F.col("text").alias("rest"))
-    frontier, texts, found = hashed.withColumn("prefix", F.lit(0).cast("long")), None, []
+    hashed = lambda some: some.select(F.xxhash64("text").alias("line"), F.col("text").alias("rest"))
+    zero = F.lit(0).cast("long")
+    if index is None:
+        index = with_keys(hashed(lines).withColumn("prefix", zero), "rest", edits)
+    frontier, texts, found = None, None, []
     start, size = segment_place("at", "chars", edits)
     while True:
+        keyed = index if frontier is None else with_keys(frontier, "rest", edits)
         entries = (
-            frontier.withColumn("chars", F.char_length("rest"))
-            .select("prefix", "line", "chars", segment_keys("rest", "chars", "prefix", edits).alias("keys"))
             # the outer form: a plain one has Spark compute the array a second time, to filter by its size
-            .select("prefix", "line", "chars", F.posexplode_outer("keys").alias("at", "key"))
+            keyed.select("prefix", "line", "chars", F.posexplode_outer("keys").alias("at", "key"))
             .filter("key IS NOT NULL")
         )
         own = F.col("at") <= edits
@@ -192,10 +225,9 @@ def near_lines(lines: DataFrame, edits: int = MAX_EDITS, crowded: int = CROWDED)
         found.append(stage(_pairs(members, sizes).distinct()))
         if texts is None:
             wanted = stage(members.select("line").distinct())
-            texts = stage(
-                thin_out(hashed, "line", wanted, "line").join(wanted, "line", "left_semi").distinct()
-            )
-            frontier = texts.withColumn("prefix", F.lit(0).cast("long"))
+            some = hashed(lines if holding is None else holding(wanted))
+            texts = stage(thin_out(some, "line", wanted, "line").join(wanted, "line", "left_semi").distinct())
+            frontier = texts.withColumn("prefix", zero)
         hot = members.join(sizes.filter("refine").select("key"), "key")
         if hot.isEmpty():
             break
@@ -215,7 +247,8 @@ def near_lines(lines: DataFrame, edits: int = MAX_EDITS, crowded: int = CROWDED)
     longer = F.char_length("text_a") >= F.char_length("text_b")
     first = F.when(longer, F.col("text_a")).otherwise(F.col("text_b"))
     second = F.when(longer, F.col("text_b")).otherwise(F.col("text_a"))
-    return both.filter(within(first, second, edits)).select("a", "b").distinct()
+    possible = like_counts(F.col("text_a"), F.col("text_b"), edits)
+    return both.filter(possible & within(first, second, edits)).select("a", "b").distinct()
 
 
 def remove_repeated_lines(
@@ -234,57 +267,86 @@ def remove_repeated_lines(
     alone always stay. A null text stays null (0 lines). Rows that repeat an id and a text
     share their fate. Existing columns n_lines and n_removed are replaced.
 
-    Equality is by 96 bits of hash and the length. Texts are shuffled once, to meet their kept line numbers.
+    Equality is by 96 bits of hash and the length. Lines are split and hashed once, into an
+    index without texts. Only lines that occur again, or are near others, are grouped with
+    their places, and the places that go are joined to the texts, which are shuffled once.
     """
     if min_chars <= edits:
         raise ValueError("min_chars must exceed edits")
     kept_columns = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
-    content, identity = F.col(f"`{text}`"), F.col(f"`{doc_id}`").cast("string")
-    name = F.concat_ws(":", identity, F.hex(F.xxhash64(content)))
-    blank = lambda line: F.btrim(line, F.lit(WHITE)) == ""
-    lines = docs.select(
-        F.col(f"`{doc_id}`").alias("id"), name.alias("row"), F.posexplode_outer(F.split(content, "\n")).alias("at", "text")
-    ).filter(~blank(F.col("text")))
-    links = stage(near_lines(lines.filter(F.char_length("text") >= min_chars).select("text"), edits, crowded))
+    content = F.col(f"`{text}`")
+    rows = docs.select(
+        F.col(f"`{doc_id}`").alias("id"), F.xxhash64(content).alias("row"), content.alias("content")
+    )
+    cut_up = lambda some: some.select("id", "row", F.posexplode_outer(F.split("content", "\n")).alias("at", "text"))
+    lines = cut_up(rows).filter(F.ltrim("text", F.lit(WHITE)) != "")
+    index = stage(
+        with_keys(lines.withColumn("prefix", F.lit(0).cast("long")), "text", edits, min_chars).select(
+            "id", "row", "at", "prefix", "chars", "keys",
+            F.xxhash64("text").alias("line"), F.hash("text").alias("more"), F.octet_length("text").alias("bytes"),
+        )
+    )
+
+    def holding(wanted: DataFrame) -> DataFrame:
+        """Lines of documents that hold all wanted lines between them."""
+        found = thin_out(index, "line", wanted, "line").join(wanted, "line", "left_semi")
+        held = stage(found.groupBy("line").agg(F.min("row").alias("row")).select("row").distinct())
+        return cut_up(thin_out(rows, "row", held, "row")).filter(F.char_length("text") >= min_chars)
+
+    links = stage(near_lines(lines, edits, crowded, index.filter("keys IS NOT NULL"), holding))
     labels = stage(components(links))
-    place = F.struct(F.col("id").isNull().alias("late"), "id", "row", "at")
-    equal = lines.groupBy(
-        F.xxhash64("text").alias("line"), F.hash("text").alias("more"), F.octet_length("text").alias("bytes")
-    ).agg(F.min(place).alias("first"))
+    repeated = index.groupBy("line", "more", "bytes").count().filter("count > 1").select("line")
+    again = stage(repeated.union(labels.select("node")))
+    place = F.struct(F.col("id").isNull().alias("late"), "id", F.hex("row").alias("row"), "at").alias("place")
+    alone = F.col("component").isNull()
+    # a class without links is named by all that makes lines equal
+    names = [
+        F.coalesce("component", "line").alias("class"),
+        F.when(alone, F.col("more")).otherwise(0).alias("more"),
+        F.when(alone, F.col("bytes")).otherwise(-1).alias("bytes"),
+    ]
+    placed = stage(
+        thin_out(index, "line", again, "line")
+        .join(labels, F.col("line") == F.col("node"), "left")
+        .select(*names, "id", "row", "at")
+    )
     firsts = (
-        equal.join(labels, F.col("line") == F.col("node"), "left")
-        # a class of its own is named by all that makes lines equal
-        .groupBy(
-            F.coalesce("component", "line").alias("class"),
-            F.when(F.col("component").isNull(), F.col("more")).alias("more"),
-            F.when(F.col("component").isNull(), F.col("bytes")).alias("bytes"),
-        )
-        .agg(F.min("first").alias("first"))
-        .select("first.row", "first.at")
+        placed.groupBy("class", "more", "bytes")
+        .agg(F.min(place).alias("first"), F.count("*").alias("n"))
+        .filter("n > 1")
+        .drop("n")
     )
-    words = firsts.groupBy("row", F.floor(F.col("at") / 64).cast("int").alias("word")).agg(
+    gone = placed.join(firsts, ["class", "more", "bytes"]).filter(place != F.col("first"))
+    words = gone.groupBy("id", "row", F.floor(F.col("at") / 64).cast("int").alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at") % 64)).alias("bits")
     )
-    kept = words.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("kept"))
-    joined = docs.select(*(F.col(f"`{c}`") for c in kept_columns), name.alias("_row")).join(
-        kept, F.col("_row") == F.col("row"), "left"
+    cuts = words.groupBy(F.col("id").alias("_id"), F.col("row").alias("_row")).agg(
+        F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("_gone"),
+        F.sum(F.bit_count("bits")).alias("_n_gone"),
     )
-    split = joined.withColumn("_lines", F.split(content, "\n")).withColumn(
+    named = docs.select(*(F.col(f"`{c}`") for c in kept_columns), F.xxhash64(content).alias("_of"))
+    joined = named.join(
+        cuts, (F.col("_of") == F.col("_row")) & F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")), "left"
+    )
+    n_lines = F.octet_length(content) - F.octet_length(F.replace(content, F.lit("\n"), F.lit(""))) + 1
+    bits = joined.withColumn("_n_lines", F.coalesce(n_lines, F.lit(0)).cast("long")).withColumn(
         "_bits",
-        F.transform(
-            F.sequence(F.lit(0), F.floor(F.size("_lines") / 64).cast("int")),
-            lambda w: F.coalesce(F.element_at("kept", w), F.lit(0).cast("long")),
+        F.when(
+            F.col("_gone").isNotNull(),
+            F.transform(
+                F.sequence(F.lit(0), F.floor(F.col("_n_lines") / 64).cast("int")),
+                lambda w: F.coalesce(F.element_at("_gone", w), F.lit(0).cast("long")),
+            ),
         ),
     )
-    stays = lambda line, i: blank(line) | (
-        F.call_function(
-            "shiftright", F.coalesce(F.get("_bits", F.floor(i / 64).cast("int")), F.lit(0).cast("long")), i % 64
-        ).bitwiseAND(F.lit(1)) == 1
-    )
-    cut = split.withColumn("_left", F.when(F.size("_bits") >= 0, F.filter("_lines", stays)))
-    own = lambda c: F.array_join("_left", "\n").alias(c) if c == text else F.col(f"`{c}`")
-    return cut.select(
-        *(own(c) for c in kept_columns),
-        F.greatest(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.greatest(F.size("_lines") - F.size("_left"), F.lit(0)).cast("long").alias("n_removed"),
+    stays = lambda line, i: F.call_function(
+        "shiftright", F.get("_bits", F.floor(i / 64).cast("int")), i % 64
+    ).bitwiseAND(F.lit(1)) == 0
+    left = F.when(
+        F.col("_bits").isNotNull(), F.array_join(F.filter(F.split(content, "\n"), stays), "\n")
+    ).otherwise(content)
+    return bits.select(
+        *(left.alias(c) if c == text else F.col(f"`{c}`") for c in kept_columns),
+        F.col("_n_lines").alias("n_lines"),
+        F.coalesce("_n_gone", F.lit(0)).cast("long").alias("n_removed"),
     )
