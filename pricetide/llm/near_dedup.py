@@ -1,5 +1,5 @@
-"""Near-duplicate documents: MinHash bands for candidates, odd sketches to check them, full
-sets to confirm."""
+"""Near-duplicate documents: MinHash bands for candidates, odd sketches (of the samples, and of
+the whole sets) to check them, full sets to confirm."""
 
 from collections.abc import Iterator
 from functools import reduce
@@ -20,11 +20,13 @@ BANDS, BAND_ROWS = 40, 4
 SAMPLES = BANDS * BAND_ROWS
 SKETCH_WORDS = 8
 SKETCH_BITS = 64 * SKETCH_WORDS
+# Bits of the parity bitmap of the whole set.
+PARITY_WORDS = 16
 # Five standard deviations of the estimate from ``SAMPLES`` samples; so much below the
 # threshold a pair is still confirmed on full sets.
 MARGIN = 5 * (0.75 * 0.25 / SAMPLES) ** 0.5 + 0.02
 
-_SIGNATURE = "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, bands array<bigint>, sketch array<bigint>"
+_SIGNATURE = "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, bands array<bigint>, sketch array<bigint>, parity array<bigint>"
 
 
 def odd_sketches(samples: np.ndarray) -> np.ndarray:
@@ -37,8 +39,16 @@ def odd_sketches(samples: np.ndarray) -> np.ndarray:
     return sketch
 
 
+def set_parities(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Parity bitmaps of whole sets: each shingle flips one bit."""
+    rows, bits = len(starts) - 1, 64 * PARITY_WORDS
+    place = np.repeat(np.arange(rows), np.diff(starts)) * bits + (mix(hashes, 300) % U64(bits)).astype(np.int64)
+    odd = (np.bincount(place, minlength=rows * bits) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(rows, bits), axis=1, bitorder="little").view("<i8")
+
+
 def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: size of its shingle set, 128 bits that name the set, band keys, odd sketch."""
+    """Per document: size of its shingle set, 128 bits that name the set, band keys, odd sketch, set parity."""
     small_batches(docs.sparkSession)
     minhash = MinHash(SAMPLES)
 
@@ -67,6 +77,7 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
                         "s2": named[1],
                         "bands": list(keys.view(np.int64)),
                         "sketch": list(odd_sketches(samples).view(np.int64)),
+                        "parity": list(set_parities(hashes, starts)),
                     }
                 )
 
@@ -90,6 +101,13 @@ def alike(a: str, b: str, percent: int) -> Column:
     return reduce(add, bits) <= int(most)
 
 
+def close_enough(percent: int) -> Column:
+    """Whether two sets (parity_a, n_a; parity_b, n_b) may be alike: their bitmaps differ in no
+    more bits than the sets do in shingles, so no link fails this."""
+    bits = [F.bit_count(F.col("parity_a")[i].bitwiseXOR(F.col("parity_b")[i])) for i in range(PARITY_WORDS)]
+    return reduce(add, bits) * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+
+
 def similar(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, text_a, text_b: binary) whose full shingle sets are alike enough."""
 
@@ -110,12 +128,24 @@ def similar(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.filter(confirmed("text_a", "text_b")).select("a", "b")
 
 
+def _side(sets: DataFrame, side: str, *more: Column) -> DataFrame:
+    """What is compared of a set, under the names of one side of a pair."""
+    return sets.select(
+        F.col("rep").alias(side),
+        F.col("sketch").alias(f"sketch_{side}"),
+        F.col("parity").alias(f"parity_{side}"),
+        F.col("n_shingles").alias(f"n_{side}"),
+        *more,
+    )
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are links: odd sketches first, then whole texts."""
-    left = sets.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a"))
-    right = sets.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b"))
     likely = stage(
-        pairs.join(left, "a").join(right, "b").filter(alike("sketch_a", "sketch_b", percent)).select("a", "b")
+        pairs.join(_side(sets, "a"), "a")
+        .join(_side(sets, "b"), "b")
+        .filter(close_enough(percent) & alike("sketch_a", "sketch_b", percent))
+        .select("a", "b")
     )
     ends = likely.select(F.col("a").alias("end")).union(likely.select("b"))
     wanted = stage(ends.distinct())
@@ -155,7 +185,7 @@ def near_duplicates(
     sets = stage(
         signed.join(classes.withColumnRenamed("rep", "doc_id"), [*name, "doc_id"])
         .dropDuplicates([*name, "doc_id"])
-        .select(F.col("doc_id").alias("rep"), "bands", "sketch")
+        .select(F.col("doc_id").alias("rep"), "n_shingles", "bands", "sketch", "parity")
     )
     entries = sets.select("rep", F.explode("bands").alias("key"))
     buckets = stage(
@@ -186,15 +216,15 @@ def near_duplicates(
         .filter("low < high")
         .select("key")
     )
-    split = stage(placed.join(open_keys, "key").join(sets.select("rep", "sketch"), "rep"))
+    split = stage(placed.join(open_keys, "key").join(sets.drop("bands"), "rep"))
     if not split.isEmpty():
-        left = split.select("key", F.col("rep").alias("a"), F.col("component").alias("in_a"), F.col("sketch").alias("sketch_a"))
-        right = split.select("key", F.col("rep").alias("b"), F.col("component").alias("in_b"), F.col("sketch").alias("sketch_b"))
-        left, right = left.withColumnRenamed("key", "key_a"), right.withColumnRenamed("key", "key_b")
+        left = _side(split, "a", F.col("key").alias("key_a"), F.col("component").alias("in_a"))
+        right = _side(split, "b", F.col("key").alias("key_b"), F.col("component").alias("in_b"))
         across = left.join(
             right,
             (F.col("key_a") == F.col("key_b"))
             & (F.col("in_a") < F.col("in_b"))
+            & close_enough(percent)
             & alike("sketch_a", "sketch_b", percent),
         ).select("a", "b")
         more = _confirm(across.distinct(), sets, rows, percent)
