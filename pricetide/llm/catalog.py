@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pricetide.llm import bpe, language
 from pricetide.llm.decontamination import contamination
-from pricetide.llm.fingerprints import edited_texts
+from pricetide.llm.fingerprints import classified_edits
 from pricetide.llm.line_dedup import remove_repeated_lines
 from pricetide.llm.near_dedup import near_duplicates
 from pricetide.llm.sharding import shard_documents
@@ -89,7 +89,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edited_texts(table(spark, sf_dir, "documents"))
+    return classified_edits(table(spark, sf_dir, "documents"))
 
 
 def op8_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

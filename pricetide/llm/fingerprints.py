@@ -1,4 +1,5 @@
-"""Document fingerprints: MinHash signatures of 5-word shingles, banded joins, next documents."""
+"""Document fingerprints: MinHash signatures of 5-word shingles, next documents, banded joins
+whose pairs are verified on full sets."""
 
 from collections.abc import Iterator
 
@@ -7,15 +8,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetide.llm.components import thin_out
-from pricetide.llm.near_dedup import similar
-from pricetide.llm.words import BATCH_ROWS, MinHash, U64, mix, shingle_sets, small_batches
+from pricetide.llm.near_dedup import linked, odd_sketches, set_names, set_parities
+from pricetide.llm.words import MinHash, mix, shingle_sets, small_batches
 from pricetide.sources.paths import stage
 
 SHINGLE_WORDS = 5
 # 128 permutations, of each 16 bits of the least value: 512 hex digits.
 PERMUTATIONS = 128
+# A pair of similarity 0.75 shares none of 32 bands of 4 with a chance of 5e-6.
 BAND_ROWS = 4
+# What `near_sets` needs of a document beside its fingerprint: the hash of its text, and its shingle set.
+_SIGNATURE = "tie bigint, n_shingles bigint, s1 bigint, s2 bigint, sketch array<bigint>, parity array<bigint>"
 # Documents of one ordered part; the parts follow the size of the table.
 PART_ROWS = 5_000
 
@@ -27,6 +30,21 @@ def fingerprint(docs: list[bytes], minhash: MinHash) -> list[str]:
     return [row.tobytes().hex() for row in digits]
 
 
+def signed(docs: list[bytes], minhash: MinHash) -> tuple[list[str], dict[str, list]]:
+    """Fingerprints as by `fingerprint`, and the columns of ``_SIGNATURE`` but for tie."""
+    hashes, starts = shingle_sets(docs, SHINGLE_WORDS)
+    samples = minhash.signatures(hashes, starts)
+    s1, s2 = set_names(hashes, starts)
+    more = {
+        "n_shingles": np.diff(starts).tolist(),
+        "s1": s1.tolist(),
+        "s2": s2.tolist(),
+        "sketch": list(odd_sketches(samples).view(np.int64)),
+        "parity": list(set_parities(hashes, starts)),
+    }
+    return [row.tobytes().hex() for row in mix(samples, 3).astype("<u2")], more
+
+
 def likeness(a: list[str], b: list[str]) -> list[float]:
     """Share of equal values, corrected for chance agreement of 16 bits."""
     x = np.frombuffer(bytes.fromhex("".join(a)), dtype="<u2").reshape(len(a), -1)
@@ -99,15 +117,19 @@ def edited_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     last. Equal ids are ordered by their texts' hashes, null ids come last; a null text counts
     as empty. A table of one document is its own next. Other columns are not read.
     """
+    return _edited(docs, doc_id, text).drop("tie", "n_shingles", "s1", "s2", "sketch", "parity")
+
+
+def _edited(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """`edited_texts` with the columns of ``_SIGNATURE``."""
     small_batches(docs.sparkSession)
     rows = docs.select(
         F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     )
     minhash = MinHash(PERMUTATIONS)
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
-    def finish(ids: list, texts: list[str], following: list[str]) -> pd.DataFrame:
+    def finish(ids: list, texts: list[str], ties: list[int], following: list[str]) -> pd.DataFrame:
         import hashlib
 
         edited = []
@@ -115,7 +137,8 @@ def edited_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             half = len(own) // 2
             edited.append((own[: len(own) - half] + after[:half]).encode())
         plain = [t.encode() for t in [*texts, following[-1]]]
-        prints, changed = fingerprint(plain, minhash), fingerprint(edited, minhash)
+        prints, more = signed(plain, minhash)
+        changed = fingerprint(edited, minhash)
         return pd.DataFrame(
             {
                 "doc_id": pd.array(ids, dtype="Int64"),
@@ -125,8 +148,10 @@ def edited_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 "edited_fingerprint": changed,
                 "near_edited": likeness(prints[:-1], changed),
                 "near_next": likeness(prints[:-1], prints[1:]),
+                "tie": ties,
+                **{name: values[:-1] for name, values in more.items()},
             }
-        )[names]
+        )
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come part by part, in order, the row ahead at the end of its part."""
@@ -134,17 +159,18 @@ def edited_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         for batch in batches:
             for at in range(0, len(batch), 500):
                 piece = batch.iloc[at : at + 500]
-                ids, texts, follow = [], [], []
-                for i, t, p, ahead in zip(piece["id"], piece["text"], piece["part"], piece["ahead"]):
+                ids, texts, ties, follow = [], [], [], []
+                for i, t, p, ahead, tie in zip(*(piece[c] for c in ["id", "text", "part", "ahead", "tie"])):
                     if held is not None and p == part:
-                        ids.append(held[0]), texts.append(held[1]), follow.append(t)
-                    held = None if ahead else (None if i is None else int(i), t)
+                        ids.append(held[0]), texts.append(held[1]), ties.append(held[2]), follow.append(t)
+                    held = None if ahead else (None if i is None else int(i), t, tie)
                     part = p
                 # consecutive runs only: a row's follower is the next row of the list or the last
                 begin = 0
                 for k in range(len(ids)):
                     if k + 1 == len(ids) or follow[k] is not texts[k + 1]:
-                        yield finish(ids[begin : k + 1], texts[begin : k + 1], follow[begin : k + 1])
+                        run = slice(begin, k + 1)
+                        yield finish(ids[run], texts[run], ties[run], follow[run])
                         begin = k + 1
 
     placed = with_next(rows)
@@ -155,9 +181,9 @@ def edited_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
     schema = (
         "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
-        "edited_fingerprint string, near_edited double, near_next double"
+        "edited_fingerprint string, near_edited double, near_next double, " + _SIGNATURE
     )
-    return ordered.select(F.col("doc_id").cast("string").alias("id"), "text", "part", "ahead").mapInPandas(walk, schema)
+    return ordered.select(F.col("doc_id").cast("string").alias("id"), "text", "part", "ahead", "tie").mapInPandas(walk, schema)
 
 
 def bands(print_: str, rows: int = BAND_ROWS) -> Column:
@@ -169,27 +195,81 @@ def bands(print_: str, rows: int = BAND_ROWS) -> Column:
     )
 
 
+def near_sets(prints: DataFrame, docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sets, links and components of written rows (doc_id, fingerprint, columns of ``_SIGNATURE``).
+
+    ``docs`` has the texts (binary) under ``id``, their tie. A set is named by n_shingles, s1,
+    s2 and represented by ``rep``, the least tie of its texts; texts without words have none. Texts
+    are taken for equal by 128 bits of their sets, not by fingerprint: those of one fingerprint share
+    all bands and are verified like others. So rows of null or repeated ids count each by its text.
+    """
+    sets = stage(
+        prints.filter("n_shingles > 0")
+        .groupBy("n_shingles", "s1", "s2")
+        .agg(
+            F.min("tie").alias("rep"),
+            F.min("doc_id").alias("least"),
+            # equal in all rows of a set
+            *(F.first(c).alias(c) for c in ["fingerprint", "sketch", "parity"]),
+        )
+        .withColumn("bands", bands("fingerprint"))
+        .drop("fingerprint")
+    )
+    links, labels = linked(sets.drop("s1", "s2", "least"), docs, percent, PERMUTATIONS, copies=True)
+    return sets, links, labels
+
+
+def _texts(docs: DataFrame, text: str) -> DataFrame:
+    content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    return docs.select(F.xxhash64(content).alias("id"), content.cast("binary").alias("text"))
+
+
+def classified_edits(
+    docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """`edited_texts` with class_id: rows have the same if a chain of texts leads from one to the
+    other, each of which has a Jaccard similarity of ``percent`` or more with the next.
+
+    Chains run over pairs that share a band; similarity is that of the full shingle sets. A
+    class is named by the hash of one of its texts, so rows of null or repeated ids have classes like others;
+    a text without words has none.
+    """
+    prints = stage(_edited(docs, doc_id, text))
+    sets, _, labels = near_sets(prints, _texts(docs, text), percent)
+    name = ["n_shingles", "s1", "s2"]
+    named = stage(
+        sets.join(labels, F.col("rep") == F.col("node"), "left").select(
+            *name, F.coalesce("component", "rep").alias("class_id")
+        )
+    )
+    return prints.join(named, name, "left").drop(*name, "tie", "sketch", "parity")
+
+
 def near_pairs(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(a, b): every fingerprint class paired with the least document of each band bucket it shares,
-    where the Jaccard similarity of the full shingle sets is ``percent`` or more.
+    """(a, b), a < b: links that connect all documents of one class (see `classified_edits`), each
+    of Jaccard similarity ``percent`` or more of the full shingle sets.
 
-    Texts of equal fingerprint are represented by their least doc_id.
+    Texts of equal sets are represented by their least doc_id; sets of null ids alone have no pairs.
     """
     small_batches(docs.sparkSession)
     minhash = MinHash(PERMUTATIONS)
 
-    @F.pandas_udf("string")
-    def printed(texts: pd.Series) -> pd.Series:
-        return pd.Series(fingerprint([t or b"" for t in texts], minhash), dtype=object)
-
-    rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("binary").alias("text"))
-    marked = stage(rows.filter("id IS NOT NULL").select("id", printed("text").alias("print")))
-    one = marked.groupBy("print").agg(F.min("id").alias("id"))
-    entries = stage(one.select("id", F.explode(bands("print")).alias("key")))
-    least = stage(entries.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z").select("key", "a"))
-    pairs = stage(entries.join(least, "key").filter("a < id").select("a", F.col("id").alias("b")).distinct())
-    ends = stage(pairs.select(F.col("a").alias("end")).union(pairs.select("b")).distinct())
-    texts = stage(thin_out(rows, "id", ends, "end").join(ends, F.col("id") == F.col("end"), "left_semi"))
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    return similar(pairs.join(left, "a").join(right, "b"), percent).distinct()
+    @F.pandas_udf(f"fingerprint string, {_SIGNATURE.partition(', ')[2]}")
+    def printed(texts: pd.Series) -> pd.DataFrame:
+        prints, more = signed([t or b"" for t in texts], minhash)
+        return pd.DataFrame({"fingerprint": prints, **more})
+
+    texts = _texts(docs, text)
+    rows = docs.select(
+        F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"),
+        F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("tie"),
+        printed(F.col(f"`{text}`").cast("binary")).alias("signed"),
+    )
+    sets, links, _ = near_sets(stage(rows.select("doc_id", "tie", "signed.*")), texts, percent)
+    left = sets.select(F.col("rep").alias("a"), F.col("least").alias("id_a"))
+    right = sets.select(F.col("rep").alias("b"), F.col("least").alias("id_b"))
+    return (
+        links.join(left, "a").join(right, "b").filter("id_a <> id_b")
+        .select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
+        .distinct()
+    )

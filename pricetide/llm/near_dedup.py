@@ -22,10 +22,6 @@ SKETCH_WORDS = 8
 SKETCH_BITS = 64 * SKETCH_WORDS
 # Bits of the parity bitmap of the whole set.
 PARITY_WORDS = 16
-# Five standard deviations of the estimate from ``SAMPLES`` samples; so much below the
-# threshold a pair is still confirmed on full sets.
-MARGIN = 5 * (0.75 * 0.25 / SAMPLES) ** 0.5 + 0.02
-
 _SIGNATURE = "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, bands array<bigint>, sketch array<bigint>, parity array<bigint>"
 
 
@@ -47,6 +43,16 @@ def set_parities(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(rows, bits), axis=1, bitorder="little").view("<i8")
 
 
+def set_names(hashes: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """Two sums of 64 bits that name each set."""
+    named = []
+    for salt in (11, 12):
+        total = np.zeros(len(hashes) + 1, dtype=U64)
+        np.cumsum(mix(hashes, salt), out=total[1:])
+        named.append((total[starts[1:]] - total[starts[:-1]]).view(np.int64))
+    return named
+
+
 def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: size of its shingle set, 128 bits that name the set, band keys, odd sketch, set parity."""
     small_batches(docs.sparkSession)
@@ -58,11 +64,7 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
                 part = batch.iloc[begin : begin + BATCH_ROWS]
                 hashes, starts = shingle_sets([t or b"" for t in part["text"]], SHINGLE_WORDS)
                 samples = minhash.signatures(hashes, starts)
-                named = []
-                for salt in (11, 12):
-                    total = np.zeros(len(hashes) + 1, dtype=U64)
-                    np.cumsum(mix(hashes, salt), out=total[1:])
-                    named.append((total[starts[1:]] - total[starts[:-1]]).view(np.int64))
+                named = set_names(hashes, starts)
                 keys = np.empty((len(part), BANDS), dtype=U64)
                 for band in range(BANDS):
                     key = np.full(len(part), band, dtype=U64)
@@ -88,14 +90,18 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     return rows.mapInPandas(sign, _SIGNATURE)
 
 
-def alike(a: str, b: str, percent: int) -> Column:
-    """Whether two odd sketches leave a similarity of ``percent`` possible.
+def alike(a: str, b: str, percent: int, samples: int = SAMPLES) -> Column:
+    """Whether two odd sketches of so many samples leave a similarity of ``percent`` possible.
+
+    Five standard deviations of the estimate below the threshold, a pair is still confirmed
+    on full sets.
 
     Of n bits, z differ when about ``-n/2 * ln(1 - 2z/n)`` samples do, twice the samples
     times (1 - similarity).
     """
-    lowest = max(0.0, percent / 100 - MARGIN)
-    differing = 2 * SAMPLES * (1 - lowest)
+    margin = 5 * (0.75 * 0.25 / samples) ** 0.5 + 0.02
+    lowest = max(0.0, percent / 100 - margin)
+    differing = 2 * samples * (1 - lowest)
     most = SKETCH_BITS / 2 * (1 - np.exp(-2 * differing / SKETCH_BITS)) + 5 * SKETCH_BITS**0.5 / 4
     bits = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(SKETCH_WORDS)]
     return reduce(add, bits) <= int(most)
@@ -139,54 +145,36 @@ def _side(sets: DataFrame, side: str, *more: Column) -> DataFrame:
     )
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _confirm(
+    pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int, samples: int, copies: bool
+) -> DataFrame:
     """The pairs (a, b) that are links: odd sketches first, then whole texts."""
     likely = stage(
         pairs.join(_side(sets, "a"), "a")
         .join(_side(sets, "b"), "b")
-        .filter(close_enough(percent) & alike("sketch_a", "sketch_b", percent))
+        .filter(close_enough(percent) & alike("sketch_a", "sketch_b", percent, samples))
         .select("a", "b")
     )
     ends = likely.select(F.col("a").alias("end")).union(likely.select("b"))
     wanted = stage(ends.distinct())
+    some = thin_out(docs, "id", wanted, "end")
     texts = stage(
-        thin_out(docs, "id", wanted, "end").join(wanted, F.col("id") == F.col("end"), "left_semi")
+        (some.distinct() if copies else some).join(wanted, F.col("id") == F.col("end"), "left_semi")
     )
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     return stage(similar(likely.join(left, "a").join(right, "b"), percent).distinct())
 
 
-def near_duplicates(
-    docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+def linked(
+    sets: DataFrame, docs: DataFrame, percent: int, samples: int = SAMPLES, copies: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Confirmed links (a, b) between sets that share a band, and (node, component) of what they connect.
 
-    Documents are linked if ``100 * common >= percent * union`` of their distinct 5-word
-    shingles (a shorter text is one shingle). ``component_id`` is the least doc_id that can
-    be reached, ``kept`` says that it is the document's own. A text that is null, empty or without words is linked
-    with nothing. Rows with equal doc_id count as one document and share its fate; rows with
-    a null doc_id are kept and linked with nothing. Other columns are not read.
-
-    1. Documents with equal sets collapse to the least doc_id among them.
-    2. Bands give buckets of sets. Every set is compared with the most central set of each of
-       its buckets: the one whose buckets are the largest together.
-    3. Components of these links; then pairs of one bucket that are still in different
-       components are compared as well, so that no link is lost.
+    ``sets`` (written) has one row per set: rep, n_shingles, bands, sketch of ``samples``
+    samples, parity. ``docs`` has the text of each rep under ``id``; with ``copies``, several rows
+    of an id hold one text. Steps 2 and 3 of `near_duplicates`.
     """
-    rows = docs.select(
-        F.col(f"`{doc_id}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("binary").alias("text")
-    )
-    signed = stage(signatures(docs, doc_id, text))
-    name = ["n_shingles", "s1", "s2"]
-    classes = stage(
-        signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*name).agg(F.min("doc_id").alias("rep"))
-    )
-    sets = stage(
-        signed.join(classes.withColumnRenamed("rep", "doc_id"), [*name, "doc_id"])
-        .dropDuplicates([*name, "doc_id"])
-        .select(F.col("doc_id").alias("rep"), "n_shingles", "bands", "sketch", "parity")
-    )
     entries = sets.select("rep", F.explode("bands").alias("key"))
     buckets = stage(
         entries.groupBy("key")
@@ -202,7 +190,7 @@ def near_duplicates(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     )
     stars = buckets.filter("n = 2").select("a", "b").union(around)
-    links = _confirm(stars.distinct(), sets, rows, percent)
+    links = _confirm(stars.distinct(), sets, docs, percent, samples, copies)
     labels = stage(components(links))
     # what is left to compare: members of one bucket in different components
     placed = stage(
@@ -225,11 +213,46 @@ def near_duplicates(
             (F.col("key_a") == F.col("key_b"))
             & (F.col("in_a") < F.col("in_b"))
             & close_enough(percent)
-            & alike("sketch_a", "sketch_b", percent),
+            & alike("sketch_a", "sketch_b", percent, samples),
         ).select("a", "b")
-        more = _confirm(across.distinct(), sets, rows, percent)
+        more = _confirm(across.distinct(), sets, docs, percent, samples, copies)
         if not more.isEmpty():
-            labels = stage(components(links.union(more)))
+            links = links.union(more)
+            labels = stage(components(links))
+    return links, labels
+
+
+def near_duplicates(
+    docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept.
+
+    Documents are linked if ``100 * common >= percent * union`` of their distinct 5-word
+    shingles (a shorter text is one shingle). ``component_id`` is the least doc_id that can
+    be reached, ``kept`` says that it is the document's own. A text that is null, empty or without words is linked
+    with nothing. Rows with equal doc_id count as one document and share its fate; rows with
+    a null doc_id are kept and linked with nothing. Other columns are not read.
+
+    1. Documents with equal sets collapse to the least doc_id among them.
+    2. Bands give buckets of sets. Every set is compared with the most central set of each of
+       its buckets: the one whose buckets are the largest together.
+    3. Components of these links; then pairs of one bucket that are still in different
+       components are compared as well, so that no link is lost.
+    """
+    rows = docs.select(
+        F.col(f"`{doc_id}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("binary").alias("text")
+    )
+    signed = stage(signatures(docs, doc_id, text))
+    name = ["n_shingles", "s1", "s2"]
+    classes = stage(
+        signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*name).agg(F.min("doc_id").alias("rep"))
+    )
+    sets = stage(
+        signed.join(classes.withColumnRenamed("rep", "doc_id"), [*name, "doc_id"])
+        .dropDuplicates([*name, "doc_id"])
+        .select(F.col("doc_id").alias("rep"), "n_shingles", "bands", "sketch", "parity")
+    )
+    _, labels = linked(sets, rows, percent)
     named = stage(
         classes.join(labels, F.col("rep") == F.col("node"), "left").select(
             *name, F.coalesce("component", "rep").alias("component")

@@ -11,6 +11,7 @@ from pricetide.llm import catalog, fingerprints, substring_dedup
 from pricetide.llm.fingerprints import edited_texts, near_pairs
 from pricetide.llm.substring_dedup import remove_repeats
 from tests.llm.conftest import SF_DIR
+from tests.llm.test_near_dedup import brute as brute_near
 
 
 def sha(text):
@@ -104,3 +105,56 @@ def test_near_pairs(spark):
     docs = [(1, " ".join(words)), (2, " ".join(words[:98] + ["x", "y"])), (3, " ".join(words)), (4, "z " * 30), (5, None)]
     df = spark.createDataFrame(docs, "doc_id bigint, text string")
     assert [tuple(r) for r in near_pairs(df).collect()] == [(1, 2)]
+
+
+def near_words(draw, families, members):
+    """Families of texts around a common one, some below the threshold among themselves."""
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(5))
+    texts = []
+    for _ in range(families):
+        base = [word() for _ in range(80)]
+        for _ in range(members):
+            copy = list(base)
+            for _ in range(draw.randrange(6)):
+                copy[draw.randrange(80)] = word()
+            texts.append(" ".join(copy))
+    return texts
+
+
+def test_fingerprint_classes_match_brute_force(spark, documents):
+    texts = near_words(random.Random(4), 5, 14)
+    rows = [(i if i % 9 else None, t) for i, t in enumerate([*texts, *texts[:20]])] + [(3, texts[-1])]
+    found = [(r["doc_id"], r["edited_sha256"], r["fingerprint"], r["class_id"]) for r in
+             fingerprints.classified_edits(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()]
+    assert len(found) == len(rows)
+    # brute force numbers rows; a class is then the multiset of its documents' ids
+    rooted = brute_near([(n, t) for n, (_, t) in enumerate(rows)])
+    expected, got = {}, {}
+    for (i, _), (_, _, root, _) in zip(rows, rooted):
+        expected.setdefault(root, []).append(str(i))
+    for i, _, _, name in found:
+        got.setdefault(name, []).append(str(i))
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, expected.values()))
+
+
+def test_fingerprint_query_has_classes(spark, documents):
+    by = {}
+    for r in catalog.op7_fingerprints(spark, SF_DIR).collect():
+        by.setdefault(("alone", r["doc_id"]) if r["class_id"] is None else r["class_id"], []).append(r["doc_id"])
+    expected = {}
+    for i, _, root, _ in brute_near(documents):
+        expected.setdefault(root, []).append(i)
+    assert sorted(map(sorted, by.values())) == sorted(map(sorted, expected.values()))
+
+
+def test_near_pairs_connect_all_of_a_class(spark):
+    rows = list(enumerate(near_words(random.Random(4), 5, 14)))
+    pairs = near_pairs(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    parent = dict.fromkeys(range(len(rows)))
+    root = lambda i: i if parent[i] is None else root(parent[i])
+    for a, b in map(tuple, pairs):
+        if root(a) != root(b):
+            parent[max(root(a), root(b))] = min(root(a), root(b))
+    # equal texts are one set, represented by the least id
+    first = {t: i for i, t in reversed(rows)}
+    assert [root(first[t]) for _, t in rows] == [r[2] for r in brute_near(rows)]
