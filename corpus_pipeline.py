@@ -15,10 +15,17 @@ ORACLE_SQL = None
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language; those without any letter go."""
+    """Documents whose text has a letter, with the predicted language where lang is null.
+
+    A lang that is there stays as it is. Without any label to learn from, a null lang stays too.
+    """
     model = language.fit(docs.filter(~language.held_out("doc_id") & F.col("doc_id").isNotNull()))
+    if not model.labels:
+        return docs.filter(language.has_letter("text"))
     judged = language.predict(docs, model, label="_predicted", score="_score")
-    return judged.filter(F.col("_predicted") != language.UNKNOWN).select(*docs.columns)
+    return judged.filter(F.col("_predicted") != language.UNKNOWN).select(
+        *(F.coalesce(F.col(f"`{c}`").cast("string"), "_predicted").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns)
+    )
 
 
 def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

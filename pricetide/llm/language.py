@@ -158,6 +158,16 @@ def predict(
     )
 
 
+def has_letter(text: str = "text") -> Column:
+    """Whether a text has a letter, by the same table as the classifier."""
+
+    @F.pandas_udf("boolean")
+    def judged(texts: pd.Series) -> pd.Series:
+        return pd.Series([isinstance(t, str) and bool((_characters(t) != 32).any()) for t in texts], dtype=bool)
+
+    return judged(F.col(f"`{text}`"))
+
+
 def held_out(key: str = "doc_id") -> Column:
     """Whether a document is kept from learning: crc32 of its id as text leaves 2 modulo 4."""
     return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))

@@ -200,3 +200,21 @@ def test_stages_on_odd_rows(spark, odd_rows):
         assert step(spark, docs.limit(0), SF_DIR).collect() == []
         docs = out
     assert docs.count() > 0
+
+
+def test_language_stage_fills_null_labels(spark):
+    english, german = "the cat sat on the mat and the dog was there", "der hund und die katze sind nicht auf dem dach"
+    rows = [(i, (english, german)[i % 2], ("en", "de")[i % 2]) for i in range(40)]
+    rows += [(100, english, None), (101, german, None), (None, german, None), (102, english, "de"), (103, "123 --", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    out = corpus_pipeline.known_language(spark, docs, SF_DIR)
+    expected = [(100, english, "en"), (101, german, "de"), (None, german, "de"), (102, english, "de")]
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(rows[:40] + expected, key=str)
+
+
+def test_language_stage_without_labels(spark):
+    rows = [(1, "some words", None), (2, "日本", None), (None, "x", None), (3, "1 2", None), (4, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    out = corpus_pipeline.known_language(spark, docs, SF_DIR)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(rows[:3], key=str)
