@@ -37,17 +37,31 @@ def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` written with a number per row, so that rows of null or repeated ids are told apart."""
+    return stage(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates; null ids stay."""
-    gone = near_duplicates(docs).filter("NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near-duplicates, the least by doc_id (nulls last), then by row."""
+    rows = numbered(docs)
+    grouped = stage(near_duplicates(rows, doc_id="_row").select(F.col("doc_id").alias("_row"), "component_id"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    kept = (
+        grouped.join(rows.select("_row", "doc_id"), "_row")
+        .groupBy("component_id")
+        .agg(F.min(order)["_row"].alias("_row"))
+        .select("_row")
+    )
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item; rows of one id, null included, share their fate."""
-    judged = contamination(docs, catalog.table(spark, sf_dir, "benchmark"))
-    gone = judged.filter("contaminated").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti").select(*docs.columns)
+    """Documents that hold no window of a benchmark item; each row is judged by its own text."""
+    rows = numbered(docs)
+    judged = contamination(rows, catalog.table(spark, sf_dir, "benchmark"), doc_id="_row")
+    gone = judged.filter("contaminated").select(F.col("doc_id").alias("_row"))
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -218,3 +218,15 @@ def test_language_stage_without_labels(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     out = corpus_pipeline.known_language(spark, docs, SF_DIR)
     assert sorted(map(tuple, out.collect()), key=str) == sorted(rows[:3], key=str)
+
+
+def test_stages_judge_each_row(spark):
+    item = catalog.table(spark, SF_DIR, "benchmark").filter("length(text) > 80").first()["text"]
+    clean = [f"{word} text that no benchmark holds" for word in ("first", "second", "third")]
+    rows = [(None, item), (None, clean[0]), (7, item + " x"), (7, clean[1]), (8, clean[2])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = corpus_pipeline.without_benchmark(spark, docs, SF_DIR).collect()
+    assert sorted(map(tuple, left), key=str) == sorted([rows[1], *rows[3:]], key=str)
+    copies = [(None, clean[0]), (None, clean[0]), (None, clean[1]), (7, clean[1]), (7, clean[1]), (7, clean[2]), (None, None), (None, None)]
+    one = corpus_pipeline.one_of_each(spark, spark.createDataFrame(copies, "doc_id bigint, text string"), SF_DIR).collect()
+    assert sorted(map(tuple, one), key=str) == sorted([copies[0], copies[3], *copies[5:]], key=str)
