@@ -3,7 +3,7 @@
 Of two lines within k edits, cut one into k + 1 segments: at least one segment stands
 unchanged in the other, near its own place. So every line indexes its segments by (length,
 segment number, text) and probes with those of its substrings that a line up to k shorter could have as a
-segment there (4 keys a line for k = 1). Lines that meet under a key are candidates,
+segment there (4 keys a line for k = 1, 15 for k = 2). Lines that meet under a key are candidates,
 which a banded bit-parallel edit distance verifies.
 
 A key under which many lines meet (a common beginning) is not paired out. What is left of
@@ -22,6 +22,8 @@ from pricetide.llm.components import components, thin_out
 from pricetide.sources.paths import stage
 
 MAX_EDITS = 1
+# Lines of so many characters or more are compared with so many edits.
+LONG_CHARS, LONG_EDITS = 200, 2
 # White space of Unicode: lines of nothing else are blank.
 WHITE = "".join(filter(str.isspace, map(chr, range(0x3001))))
 # Characters whose counts are compared before the distance is computed.
@@ -169,13 +171,10 @@ def _pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
     ).select("a", "b")
 
 
-def with_keys(lines: DataFrame, text: str, edits: int, min_chars: int = 0) -> DataFrame:
-    """``lines`` with chars, the length of ``text``, and keys, null for lines below ``min_chars``;
-    a column ``prefix`` goes into the keys."""
+def with_keys(lines: DataFrame, text: str, edits: int) -> DataFrame:
+    """``lines`` with chars, the length of ``text``, and keys; a column ``prefix`` goes into the keys."""
     keys = segment_keys(text, "chars", "prefix", edits)
-    return lines.withColumn("chars", F.char_length(text)).withColumn(
-        "keys", F.when(F.col("chars") >= min_chars, keys) if min_chars else keys
-    )
+    return lines.withColumn("chars", F.char_length(text)).withColumn("keys", keys)
 
 
 def near_lines(
@@ -258,11 +257,14 @@ def remove_repeated_lines(
     crowded: int = CROWDED,
     doc_id: str = "doc_id",
     text: str = "text",
+    long_chars: int = LONG_CHARS,
+    long_edits: int = LONG_EDITS,
 ) -> DataFrame:
     """All columns of ``docs`` with the text cut to first lines, and n_lines, n_removed.
 
     Lines end at ``\\n``. Equal lines form a class, and so do lines of ``min_chars``
-    characters or more that are linked by steps of at most ``edits`` edits. The first line of
+    characters or more that are linked by steps of at most ``edits`` edits, or ``long_edits`` where
+    both lines of a step have ``long_chars`` characters or more. The first line of
     each class stays, by doc_id (nulls last), then place; the others go. Lines of white space
     alone always stay. A null text stays null (0 lines). Rows that repeat an id and a text
     share their fate. Existing columns n_lines and n_removed are replaced.
@@ -271,8 +273,8 @@ def remove_repeated_lines(
     index without texts. Only lines that occur again, or are near others, are grouped with
     their places, and the places that go are joined to the texts, which are shuffled once.
     """
-    if min_chars <= edits:
-        raise ValueError("min_chars must exceed edits")
+    if min_chars <= edits or long_chars <= max(min_chars, long_edits) or long_edits < edits:
+        raise ValueError("min_chars must exceed edits, long_chars min_chars, and long_edits must not be less than edits")
     kept_columns = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
     content = F.col(f"`{text}`")
     rows = docs.select(
@@ -280,9 +282,14 @@ def remove_repeated_lines(
     )
     cut_up = lambda some: some.select("id", "row", F.posexplode_outer(F.split("content", "\n")).alias("at", "text"))
     lines = cut_up(rows).filter(F.ltrim("text", F.lit(WHITE)) != "")
+    prefixed = lines.withColumns({"prefix": F.lit(0).cast("long"), "chars": F.char_length("text")})
+    # a pair of both kinds is within ``edits`` only if the longer line just reaches ``long_chars``
+    reach = F.col("chars").between(min_chars, long_chars - 1 + edits)
     index = stage(
-        with_keys(lines.withColumn("prefix", F.lit(0).cast("long")), "text", edits, min_chars).select(
-            "id", "row", "at", "prefix", "chars", "keys",
+        prefixed.select(
+            "id", "row", "at", "prefix", "chars",
+            F.when(reach, segment_keys("text", "chars", "prefix", edits)).alias("keys"),
+            F.when(F.col("chars") >= long_chars, segment_keys("text", "chars", "prefix", long_edits)).alias("long_keys"),
             F.xxhash64("text").alias("line"), F.hash("text").alias("more"), F.octet_length("text").alias("bytes"),
         )
     )
@@ -293,7 +300,9 @@ def remove_repeated_lines(
         held = stage(found.groupBy("line").agg(F.min("row").alias("row")).select("row").distinct())
         return cut_up(thin_out(rows, "row", held, "row")).filter(F.char_length("text") >= min_chars)
 
-    links = stage(near_lines(lines, edits, crowded, index.filter("keys IS NOT NULL"), holding))
+    short = near_lines(lines, edits, crowded, index.filter("keys IS NOT NULL"), holding)
+    long = index.filter("long_keys IS NOT NULL").drop("keys").withColumnRenamed("long_keys", "keys")
+    links = stage(short.union(near_lines(lines, long_edits, crowded, long, holding)).distinct())
     labels = stage(components(links))
     repeated = index.groupBy("line", "more", "bytes").count().filter("count > 1").select("line")
     again = stage(repeated.union(labels.select("node")))

@@ -230,3 +230,24 @@ def test_stages_judge_each_row(spark):
     copies = [(None, clean[0]), (None, clean[0]), (None, clean[1]), (7, clean[1]), (7, clean[1]), (7, clean[2]), (None, None), (None, None)]
     one = corpus_pipeline.one_of_each(spark, spark.createDataFrame(copies, "doc_id bigint, text string"), SF_DIR).collect()
     assert sorted(map(tuple, one), key=str) == sorted([copies[0], copies[3], *copies[5:]], key=str)
+
+
+def test_long_lines_differ_in_two_characters(spark):
+    draw = random.Random(8)
+    lines = []
+    for size in (60, 197, 198, 199, 200, 201, 300, 600):
+        base = "".join(draw.choice("abcde fghij") for _ in range(size))
+        for edits in (0, 1, 2, 2, 3, 4):
+            lines.append(edited(draw, base, edits, "xyzé"))
+    lines += ["In the year 1980" + " x" * 120, "In the year 1975" + " x" * 120]
+    allowed = lambda a, b: 2 if min(len(a), len(b)) >= 200 else 1
+    root = list(range(len(lines)))
+    for i, j in itertools.combinations(range(len(lines)), 2):
+        a, b = lines[i], lines[j]
+        if abs(len(a) - len(b)) <= 2 and distance(a, b) <= allowed(a, b):
+            low, high = sorted((root[i], root[j]))
+            root = [low if x == high else x for x in root]
+    assert root[-1] == root[-2]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    gone = {r["doc_id"]: r["n_removed"] for r in remove_repeated_lines(df).collect()}
+    assert gone == {i: int(root[i] != i) for i in range(len(lines))}
