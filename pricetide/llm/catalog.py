@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide.llm import bpe, language
+from pricetide.llm.conversations import Repair, damaged, gaps, text_hashes
 from pricetide.llm.decontamination import contamination
 from pricetide.llm.fingerprints import classified_edits
 from pricetide.llm.line_dedup import remove_repeated_lines
@@ -110,6 +111,28 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    hurt = damaged(given)
+    repair = Repair(hurt)
+    found = (
+        repair.summary.join(repair.audits, "chat")
+        .join(text_hashes(repair.turns), "chat", "left")
+        .join(gaps(hurt, "conv_id", "turn").withColumnRenamed("conv", "_conv"), F.col("conv").eqNullSafe(F.col("_conv")))
+    )
+    zero = F.lit(0).cast("bigint")
+    every = given.select("conv_id").distinct()
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select(
+        "conv_id",
+        *(
+            F.coalesce(name, zero).alias(name)
+            for name in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+        ),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_contamination": op2_contamination,
@@ -121,6 +144,7 @@ QUERIES: dict[str, Query] = {
     "op8_hash_tree": op8_hash_tree,
     "op9_line_dedup": op9_line_dedup,
     "op10_substrings": op10_substrings,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
