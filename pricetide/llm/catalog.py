@@ -12,6 +12,7 @@ from pricetide.llm.decontamination import contamination
 from pricetide.llm.fingerprints import classified_edits
 from pricetide.llm.line_dedup import remove_repeated_lines
 from pricetide.llm.near_dedup import near_duplicates
+from pricetide.llm.packing import pack
 from pricetide.llm.sharding import shard_documents
 from pricetide.llm.substring_dedup import remove_repeats
 from pricetide.llm.token_counts import count_tokens, write_token_files
@@ -29,6 +30,8 @@ URL_RULES = [
 ]
 SHARDS = 24
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+# The tokenizer of packed documents, and the id after each of these.
+TOKENIZER_FILE, DOCUMENT_END = "byte_bpe_50k.json", 1
 # The id after each document of a token file; the vocabulary leaves it free.
 SEPARATOR = 50_256
 
@@ -111,6 +114,20 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = bpe.read_ranks(public_tokenizers.path(TOKENIZER_FILE))
+    pieces = pack(table(spark, sf_dir, "documents"), tokenizer, DOCUMENT_END)
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations")
     hurt = damaged(given)
@@ -144,6 +161,7 @@ QUERIES: dict[str, Query] = {
     "op8_hash_tree": op8_hash_tree,
     "op9_line_dedup": op9_line_dedup,
     "op10_substrings": op10_substrings,
+    "op12_packing": op12_packing,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
