@@ -11,11 +11,15 @@ Groups are cut from the rows of a partition as they come. Nothing is shuffled or
 of texts and the tokens of one group.
 """
 
+import json
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,11 +32,12 @@ SEQUENCE_TOKENS = 2_048
 GROUP_TOKENS = 1 << 20
 # Cost of a piece of n tokens: n + QUADRATIC * n * n, as for layers of width 1,024.
 QUADRATIC = 1 / (6 * 1_024)
-# Ids of short words are remembered per Python worker, up to so many; then the memory starts afresh.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 40
+# Texts are cut at a safe place after so many characters, so that a long one's ids are not all Python objects at once.
+PART_CHARS = 1 << 20
+# Fixed value: the pattern of byte-level tokenizers.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-_SPACES = re.compile(r" (?:\s|$)")
-_WORD_START = re.compile(r"(?= \S)")
+_WORD_START = re.compile(r" (?=\S)")
 
 
 def cost(tokens, quadratic: float = QUADRATIC):
@@ -40,38 +45,66 @@ def cost(tokens, quadratic: float = QUADRATIC):
     return tokens + quadratic * tokens * tokens
 
 
-def words_of(text: str) -> list[str]:
-    """The text cut before every blank that something other than white space follows.
+def parts_of(text: str, chars: int = PART_CHARS) -> list[str]:
+    """The text in parts of at least ``chars`` characters, but for the last one.
 
-    A byte-level pattern never matches across such a place, so the ids of the parts are those of the
-    whole.
+    It is cut before a blank that something other than white space follows. The pattern never matches across such a
+    place, so the ids of the parts are those of the whole.
     """
-    if _SPACES.search(text):
-        return [part for part in _WORD_START.split(text) if part]
-    first, *rest = text.split(" ")
-    words = [" " + word for word in rest]
-    return [first, *words] if first else words
+    parts, begin = [], 0
+    while len(text) - begin > chars and (found := _WORD_START.search(text, begin + chars)):
+        parts.append(text[begin : found.start()])
+        begin = found.start()
+    return [*parts, text[begin:]]
 
 
-class WordEncoder:
-    """Ids of texts by a tokenizer that is asked for each different word once."""
+def byte_ranks(tokenizer_file: bytes) -> dict[bytes, int] | None:
+    """The file's vocabulary as ranks of byte strings, or none if it is not plain byte-level BPE.
+
+    Ranks say the same as the file's merges when the ids rise along the list of merges.
+    """
+    said = json.loads(tokenizer_file)
+    model, cut = said["model"], said["pre_tokenizer"] or {}
+    plain = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
+    if model["type"] != "BPE" or not plain or said["normalizer"]:
+        return None
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
+    joined = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    merged = [model["vocab"][a + b] for a, b in joined]
+    if merged != sorted(merged):
+        return None
+    special = {t["content"] for t in said["added_tokens"]}
+    return {bytes(byte[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
+
+
+class TextEncoder:
+    """Ids of whole texts as the tokenizer of a file gives them, without special tokens around them.
+
+    For plain byte-level BPE the faster of two libraries does the work, from the same vocabulary; a text that
+    spells out one of the file's special tokens goes to the tokenizer itself.
+    """
 
     def __init__(self, tokenizer_file: bytes):
         self.tokenizer = Tokenizer.from_buffer(tokenizer_file)
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text, without special tokens around them."""
-        cut = [words_of(text) for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        fresh = list(set().union(*cut).difference(self.known))
-        found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        ids = {word: np.array(e.ids, dtype="<u4").tobytes() for word, e in zip(fresh, found)}
-        self.known.update((w, i) for w, i in ids.items() if len(w) <= REMEMBERED_CHARS)
-        long = {w: i for w, i in ids.items() if len(w) > REMEMBERED_CHARS}
-        get = {**self.known, **long}.__getitem__ if long else self.known.__getitem__
-        return [b"".join(map(get, words)) for words in cut]
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        ranks = byte_ranks(tokenizer_file)
+        self.fast = None
+        if ranks is not None:
+            self.fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids."""
+        if self.fast is None or any(token in text for token in self.special):
+            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
+        else:
+            ids = array("I")
+            for part in parts_of(text):
+                ids.extend(self.fast.encode_ordinary(part))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
 
 def capacities(tokens: int, size: int = SEQUENCE_TOKENS) -> list[int]:
@@ -132,7 +165,7 @@ def pack(
     names = ["start", "length", "doc_tokens", "sequence_id", "offset"]
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(shared.value)
+        encode = TextEncoder(shared.value).encode
         numbered = TaskContext.get().partitionId() << 40
         waiting: list = []  # (key, start, doc_tokens, ids) of documents' rests
         held = 0
@@ -159,9 +192,8 @@ def pack(
         for batch in batches:
             key_type = batch.column(0).type
             rows = []
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for name, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
-                ids += last
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = encode(text or "") + last
                 total = len(ids) // 4
                 for start in range(0, total - size + 1, size):
                     rows.append((name, start, size, total, numbered, 0, ids[4 * start : 4 * (start + size)]))

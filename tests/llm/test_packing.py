@@ -27,29 +27,40 @@ def file_bytes():
         return file.read()
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=" \n\t\x0b\x1c\x85 　ab'sé1.<日", max_size=40))
-def test_words_have_the_ids_of_the_whole(text):
-    known = _known()
-    assert packing.words_of(text) == [w for w in packing.words_of(text) if w]
-    assert "".join(packing.words_of(text)) == text
-    whole = known.tokenizer.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(known.encode([text])[0], dtype="<u4").tolist() == whole
+@pytest.fixture(scope="module")
+def encoder():
+    return packing.TextEncoder(file_bytes())
 
 
-_encoders = []
+def ids_of(encoder, text):
+    return np.frombuffer(encoder.encode(text), dtype="<u4").tolist()
 
 
-def _known():
-    if not _encoders:
-        _encoders.append(packing.WordEncoder(file_bytes()))
-    return _encoders[0]
+@settings(max_examples=300, deadline=None)
+@given(text=st.text(alphabet=" \n\t\x0b\x1c\x85\u00a0\u3000ab'sé1.<日", max_size=40), chars=st.integers(1, 9))
+def test_parts_have_the_ids_of_the_whole(tokenizer, encoder, text, chars):
+    whole = tokenizer.encode(text, add_special_tokens=False).ids
+    parts = packing.parts_of(text, chars)
+    assert "".join(parts) == text
+    assert [i for part in parts for i in tokenizer.encode(part, add_special_tokens=False).ids] == whole
+    assert ids_of(encoder, text) == whole
 
 
-def test_special_tokens_in_a_text(tokenizer):
+def test_every_token_and_special_ones(tokenizer, encoder):
+    assert encoder.fast is not None
     texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", " x<|endoftext|>y  <|endoftext|>"]
-    for text, ids in zip(texts, _known().encode(texts)):
-        assert np.frombuffer(ids, dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    texts += [tokenizer.decode([i], skip_special_tokens=False) for i in range(tokenizer.get_vocab_size())]
+    for text in texts:
+        assert ids_of(encoder, text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_other_kinds_of_tokenizers_do_the_work_themselves():
+    with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as file:
+        data = file.read()
+    other = packing.TextEncoder(data)
+    assert other.fast is None
+    text = "Some words, é 12\n\nmore"
+    assert ids_of(other, text) == Tokenizer.from_buffer(data).encode(text, add_special_tokens=False).ids
 
 
 def plain_assign(lengths, size, quadratic):
