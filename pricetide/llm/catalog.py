@@ -17,6 +17,7 @@ from pricetide.llm.sharding import shard_documents
 from pricetide.llm.substring_dedup import remove_repeats
 from pricetide.llm.token_counts import count_tokens, write_token_files
 from pricetide.llm.url_filter import judge_urls
+from pricetide.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,6 +115,11 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whiten(table(spark, sf_dir, "embeddings"))
+    return whitened.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = bpe.read_ranks(public_tokenizers.path(TOKENIZER_FILE))
     pieces = pack(table(spark, sf_dir, "documents"), tokenizer, DOCUMENT_END)
@@ -161,6 +167,7 @@ QUERIES: dict[str, Query] = {
     "op8_hash_tree": op8_hash_tree,
     "op9_line_dedup": op9_line_dedup,
     "op10_substrings": op10_substrings,
+    "op11_whitening": op11_whitening,
     "op12_packing": op12_packing,
     "op13_conversation_repair": op13_conversation_repair,
 }
