@@ -36,20 +36,25 @@ def signals(
     window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Add ``avg_price_7d`` and ``signal``: BUY on a price drop or on a deep discount."""
+    return judged(trailing_avg(daily, window_rows), drop_to, min_discount)
+
+
+def judged(
+    averaged: DataFrame, drop_to: float = DROP_TO, min_discount: float = MIN_DISCOUNT
+) -> DataFrame:
+    """Add ``signal`` to rows that have their ``avg_price_7d``."""
     dropped = F.col("closing_price") <= F.col("avg_price_7d") * drop_to
     discounted = F.col("avg_discount_day") >= min_discount
-    return trailing_avg(daily, window_rows).withColumn(
-        "signal", F.when(dropped | discounted, "BUY").otherwise("NO_BUY")
-    )
+    return averaged.withColumn("signal", F.when(dropped | discounted, "BUY").otherwise("NO_BUY"))
 
 
-def _day(as_of: datetime.date | str | None) -> Column:
+def day_column(as_of: datetime.date | str | None) -> Column:
     return F.current_date() if as_of is None else F.lit(as_of).cast("date")
 
 
 def buy_alerts(signalled: DataFrame, as_of: datetime.date | str | None = None) -> DataFrame:
     """BUY rows of one day, by default today."""
-    return signalled.filter((F.col("date") == _day(as_of)) & (F.col("signal") == "BUY"))
+    return signalled.filter((F.col("date") == day_column(as_of)) & (F.col("signal") == "BUY"))
 
 
 def recent_days(
@@ -63,7 +68,7 @@ def recent_days(
     rows of the day's products take part; earlier partitions are still read, with no
     look-back limit, because a product may pause for any time. NULL products belong to no day.
     """
-    day = _day(as_of)
+    day = day_column(as_of)
     seen = daily.filter(F.col("date") == day).select(*_product()).distinct()
     newest_first = Window.partitionBy(*_product()).orderBy(F.col("date").desc())
     return (

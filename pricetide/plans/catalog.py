@@ -15,12 +15,13 @@ from pricetide.operators.clean import (
 )
 from pricetide.operators.daily import (
     daily_metrics,
+    daily_partials,
     daily_prices,
     daily_prices_joined,
     ranked_closing_rows,
 )
 from pricetide.operators.enrich import add_final_price, enrich, forward_fill, process
-from pricetide.operators.quality import duplicate_keys
+from pricetide.operators.quality import Checks, duplicate_keys
 from pricetide.operators.signals import (
     alert_payload,
     buy_alerts,
@@ -29,7 +30,8 @@ from pricetide.operators.signals import (
     trailing_avg,
 )
 from pricetide.plans.run import run_from_pages, run_pipeline
-from pricetide.schema import ALERT, DAILY, DAILY_KEYS, ENRICHED, PAYLOAD_FIELDS, RAW
+from pricetide.schema import ALERT, CLEAN, DAILY, DAILY_KEYS, ENRICHED, PAYLOAD_FIELDS, RAW
+from pricetide.sources.batches import add_partials, append_raw_once, merged_daily, read_raw_once
 from pricetide.sources.observations import observations, shop_a_pages, shop_b_pages
 from pricetide.sources.pages import (
     FieldRule,
@@ -37,15 +39,17 @@ from pricetide.sources.pages import (
     extract_shop_a,
     extract_shop_b,
 )
-from pricetide.sources.paths import layer_path, scratch_path
+from pricetide.sources.paths import layer_path, scratch_path, stage
 from pricetide.sources.tables import (
     append_raw,
     incremental_append,
     read_raw,
+    read_raw_lines,
     read_table,
     upsert,
     write_alerts,
 )
+from pricetide.streaming.loads import load_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -609,6 +613,20 @@ def alerts_first_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(read_table(spark, path).select(*ALERT_NAMES))
 
 
+@checked(
+    "upsert_merged",
+    _select(DAILY_NAMES, f"({DAILY_SQL})"),
+)
+def upsert_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mornings, afternoons, and the mornings delivered again: as daily rows of whole days."""
+    path = layer_path(scratch_path(spark), "partials")
+    enriched = stage(_enriched_frame(spark, sf_dir))
+    halves = {half: enriched.filter((F.hour("timestamp") >= 12) == late) for half, late in (("am", False), ("pm", True))}
+    for batch in ("am", "pm", "am"):
+        add_partials(daily_partials(halves[batch]), path, batch)
+    return comparable(merged_daily(spark, path).select(*DAILY_NAMES))
+
+
 def _two_loads(first: DataFrame, second: DataFrame) -> DataFrame:
     spark, path = first.sparkSession, scratch_path(first.sparkSession)
     for source in (first, second, second):
@@ -639,6 +657,75 @@ def incremental_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_loads(first, priced)
 
 
+@checked(
+    "incremental_by_day",
+    f"""SELECT *, strftime(CAST("timestamp" AS TIMESTAMP), '%Y-%m-%d') AS date
+        FROM ({_select(RAW_NAMES, f"({PRICED_SQL})")})
+        WHERE "timestamp" >= '2024-01-05'""",
+)
+def incremental_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days, then the month from the 5th with an older day among it, then all again; a target with day folders."""
+    path = scratch_path(spark)
+    dated = _priced(spark, sf_dir).withColumn("date", F.to_date("timestamp"))
+    first = dated.filter(F.col("date").between(*(F.lit(f"2024-01-0{d}").cast("date") for d in (5, 6))))
+    for source in (first, dated, dated):
+        incremental_append(source, path, day="date")
+    return comparable(read_table(spark, path).select(*RAW_NAMES, "date"))
+
+
+@checked(
+    "load_new_files",
+    _select(RAW_NAMES, f"({PRICED_SQL})"),
+)
+def load_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten days of files at a time, each loaded as it lands; the first ten land again, and nothing new does."""
+    root, everything = scratch_path(spark), observations(spark, sf_dir)
+    landing, path, checkpoint = (f"{root}/{name}" for name in ("landing", "scrapes", "checkpoint"))
+    third = F.least(F.floor((F.dayofmonth(F.to_date("timestamp")) - 1) / 10), F.lit(2))
+    for number in (1, 0, 2, 0, None):
+        if number is not None:
+            everything.filter(third == number).write.mode("append").json(landing)
+        load_new_files(spark, landing, path, checkpoint)
+    return comparable(read_table(spark, path).select(*RAW_NAMES))
+
+
+@checked(
+    "raw_append_twice",
+    f"""SELECT *, CAST(1 AS BIGINT) AS n FROM ({_select(RAW_NAMES, f"({PRICED_SQL})")})""",
+)
+def raw_appends_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines of each shop as a batch of its own, both delivered twice."""
+    path, priced = layer_path(scratch_path(spark), "raw"), _priced(spark, sf_dir)
+    for shop in ("shop-a", "shop-b", "shop-a", "shop-b"):
+        append_raw_once(priced.filter(F.col("website") == shop), path, shop)
+    again = clean_prices(read_raw_once(spark, path))
+    return comparable(again).groupBy(*RAW_NAMES).agg(F.count(F.lit(1)).alias("n"))
+
+
+@checked(
+    "raw_broken_lines",
+    f"""SELECT {", ".join(n for n in RAW_NAMES if n != "timestamp")}, NULL AS line,
+               count(*) OVER () + (SELECT count(*) FROM ({RAW_SQL}) WHERE selling_price IS NULL) AS lines,
+               (SELECT count(*) FROM ({RAW_SQL}) WHERE selling_price IS NULL) AS broken
+        FROM ({RAW_SQL}) WHERE selling_price IS NOT NULL
+        UNION ALL
+        SELECT {", ".join("NULL" for _ in RAW_NAMES[1:])},
+               '{{"url": "' || url || '", "website": "' || website AS line,
+               (SELECT count(*) FROM ({RAW_SQL})) AS lines, count(*) OVER () AS broken
+        FROM ({RAW_SQL}) WHERE selling_price IS NULL""",
+)
+def raw_broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines of all observations, those without a price cut off in the middle, read back with their counts."""
+    path = layer_path(scratch_path(spark), "raw")
+    whole = F.to_json(F.struct(*RAW_NAMES))
+    cut = F.concat(F.lit('{"url": "'), "url", F.lit('", "website": "'), "website")
+    line = F.when(F.col("selling_price").isNull(), cut).otherwise(whole)
+    observations(spark, sf_dir).select(line.alias("value")).write.text(path)
+    read = read_raw_lines(spark, path)
+    both = read.rows.drop("timestamp").unionByName(read.broken, allowMissingColumns=True)
+    return both.withColumns({name: F.lit(read.counts[name]).cast("bigint") for name in ("lines", "broken")})
+
+
 @checked(
     "raw_roundtrip",
     f"""SELECT *, CAST(1 + (hour(CAST("timestamp" AS TIMESTAMP)) >= 12)::INT AS BIGINT) AS n
@@ -763,6 +850,49 @@ def column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_ROW_CHECKS = {
+    "price known": "selling_price IS NOT NULL",
+    "in stock": "status = 'In Stock'",
+    "list price above price": "mrp >= selling_price",
+    "known in January": "timestamp >= '2024-01-10'",
+}
+_CHECK_TYPES = {"mrp": "DOUBLE", "selling_price": "DOUBLE", "timestamp": "TIMESTAMP"}
+
+
+def _check_sql(table: str, source: str) -> str:
+    """The report of `_CHECKS` on a table of eight columns."""
+    rows = f"(SELECT count(*) FROM ({source}))"
+    lines = [
+        f"SELECT '{table}' AS frame, '{name}' AS \"check\", 'row' AS kind, {rows} AS \"rows\", "
+        f"(SELECT count(*) FROM ({source}) WHERE NOT coalesce({holds}, FALSE)) AS violations"
+        for name, holds in _ROW_CHECKS.items()
+    ]
+    surplus = f"SELECT count(*) - count(DISTINCT (url, CAST(\"timestamp\" AS DATE))) FROM ({source})"
+    lines.append(f"SELECT '{table}', 'one a day', 'unique', {rows}, ({surplus})")
+    for name in RAW_NAMES:
+        wrong = f"SELECT max((typeof(\"{name}\") <> '{_CHECK_TYPES.get(name, 'VARCHAR')}')::INT) FROM ({source})"
+        lines.append(f"SELECT '{table}', '{name}', 'column', {rows}, ({wrong})")
+    return " UNION ALL ".join(lines)
+
+
+@checked(
+    "quality_report",
+    f"""SELECT frame, "check", kind, "rows", CAST(violations AS BIGINT) AS violations
+        FROM ({_check_sql("text", f"SELECT * REPLACE (strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S') AS \"timestamp\", mrp AS mrp) FROM ({RAW_SQL})")}
+              UNION ALL {_check_sql("clean", CLEAN_SQL)})""",
+)
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One set of checks on the scraped text, where types fail, and on the cleaned rows."""
+    reports = []
+    for name, df in (("text", observations(spark, sf_dir)), ("clean", _clean(spark, sf_dir))):
+        checks = Checks(
+            {check: F.expr(holds) for check, holds in _ROW_CHECKS.items()}, {"one a day": ["url", "day"]}, CLEAN
+        )
+        observed, seen = checks.observed(df.withColumn("day", F.to_date("timestamp")))
+        reports.append(checks.report(stage(observed), seen).withColumn("frame", F.lit(name)))
+    return reports[0].unionByName(reports[1])
+
+
 @checked(
     "full_run",
     _select(ALERT_NAMES, f"({_buys(DAILY_SQL)})"),
@@ -811,6 +941,24 @@ def full_run_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(report.buys.select(*ALERT_NAMES))
 
 
+_DAY_15, _NOT_15 = (
+    _daily(_from(PRICED_SQL, f"CAST(\"timestamp\" AS DATE) {sign} DATE '2024-01-15'")) for sign in ("=", "<>")
+)
+
+
+@checked(
+    "signals_back_dated",
+    _select(ALERT_NAMES, f"({_buys(f'{_NOT_15} UNION ALL {_DAY_15}', '2024-01-15')})"),
+)
+def signals_back_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month without its 15th day, which arrives last and is judged by the days before it alone."""
+    everything, root = observations(spark, sf_dir), scratch_path(spark)
+    late = F.to_date("timestamp") == F.lit("2024-01-15").cast("date")
+    run_pipeline(spark, [everything.filter(~late)], root, LAST_DAY, history=True).release()
+    report = run_pipeline(spark, [everything.filter(late)], root, "2024-01-15", history=True)
+    return comparable(report.buys.select(*ALERT_NAMES))
+
+
 _SCRAPED_SQL = f"""
     SELECT product_name, {_parsed("selling_price")} AS selling_price, status,
            {_parsed("mrp")} AS mrp, brand, website,

@@ -1,6 +1,7 @@
 """Where layers live, and shared space for intermediate tables."""
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ LAYERS = {
     "processed": "Data/processed/processed_data",
     "gold_alerts": "Data/gold_alerts",
 }
+# Our own: each product's newest days, and partial daily rows by batch.
+LAYERS |= {"last_days": "Data/processed/last_days", "partials": "Data/processed/partials"}
 
 
 def layer_path(root: str, layer: str, layers: dict[str, str] = LAYERS) -> str:
@@ -50,12 +53,67 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all in it; one that is not there is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+_open = threading.local()
+
+
+class StageScope:
+    """Owns the tables staged while it is open, in this thread, and deletes them when it closes.
+
+        with StageScope(spark) as scope:
+            ...                        # stage() as often as needed
+            return scope.result(df)    # written once more, for whoever opened the scope around
+
+    A failure deletes them too. Only ``result`` outlives the scope: it belongs to the next scope
+    outside, or to the caller. ``hand_over`` leaves all tables to the caller, who calls ``release`` after the last read.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folders: list[str] = []
+        self._handed = False
+
+    def __enter__(self) -> "StageScope":
+        _open.scopes = [*getattr(_open, "scopes", []), self]
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        _open.scopes = [s for s in _open.scopes if s is not self]
+        if kind is not None or not self._handed:
+            self.release()
+
+    def result(self, df: DataFrame) -> DataFrame:
+        inside = _open.scopes
+        _open.scopes = inside[: inside.index(self)]
+        try:
+            return stage(df)
+        finally:
+            _open.scopes = inside
+
+    def hand_over(self) -> "StageScope":
+        self._handed = True
+        return self
+
+    def release(self) -> None:
+        while self.folders:
+            delete_folder(self.spark, self.folders.pop())
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to shared space once and read it back.
 
     Later steps then share one result that survives the loss of executors, has exact
     file sizes for join planning, and no longer depends on the tables it came from.
+    Inside a `StageScope` the table is deleted when the scope closes.
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession)
+    scopes = getattr(_open, "scopes", [])
+    if scopes:
+        scopes[-1].folders.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

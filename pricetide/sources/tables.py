@@ -6,6 +6,7 @@ folders is no transaction. Catalog tables that support MERGE go through `merge_i
 """
 
 import re
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -13,12 +14,15 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricetide.operators.last_days import KEEP, PRODUCT, last_days, merged_days
 from pricetide.operators.quality import assert_unique
 from pricetide.schema import ALERT_UPDATES, DAILY_KEYS, RAW
-from pricetide.sources.paths import partition_folders, stage, table_exists
+from pricetide.sources.paths import StageScope, partition_folders, stage, table_exists
 
 # JSON text that keeps microseconds and the zone offset.
 JSON_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+# Folders that the products of the newest days are dealt to by hash.
+STATE_BUCKETS = 64
 # Characters that Hive-style folder names escape as %XX.
 _ESCAPED = re.compile(r"[\x01-\x1f\x7f\"#%'*/:=?\\{}\[\]^]")
 
@@ -32,6 +36,29 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     return spark.read.schema(RAW).format(fmt).load(path)
 
 
+@dataclass(frozen=True)
+class RawLines:
+    """Parsed lines, the text of those that are no JSON object, and how many there were of both."""
+
+    rows: DataFrame
+    broken: DataFrame
+    counts: dict[str, int]
+
+
+def read_raw_lines(spark: SparkSession, path: str) -> RawLines:
+    """`read_raw` of JSON lines that keeps broken ones apart instead of turning them into NULLs.
+
+    The lines are read and staged once; they are counted on the way. Blank lines are nothing.
+    """
+    schema = T.StructType([*RAW, T.StructField("_line", T.StringType())])
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_line")
+    seen = Observation()
+    counts = F.count(F.lit(1)).alias("lines"), F.count("_line").alias("broken")
+    lines = stage(reader.json(path).observe(seen, *counts))
+    broken = lines.filter("_line IS NOT NULL").select(F.col("_line").alias("line"))
+    return RawLines(lines.filter("_line IS NULL").drop("_line"), broken, dict(seen.get))
+
+
 def append_raw(df: DataFrame, path: str) -> None:
     """Append as JSON lines. A replayed batch is appended again."""
     df.write.mode("append").option("timestampFormat", JSON_TIMESTAMP).json(path)
@@ -60,8 +87,8 @@ def _write_days(df: DataFrame, path: str, day: str) -> None:
 def _days_of(batch: DataFrame, day: str) -> list:
     """Distinct days of a batch: a calendar bounds them, not the number of rows."""
     days = [row[0] for row in batch.select(day).distinct().collect()]
-    if None in days:
-        raise ValueError(f"rows with a NULL {day} have no partition to go to")
+    if None in days or "" in days:
+        raise ValueError(f"rows with a NULL or empty {day} have no partition of their own")
     return days
 
 
@@ -133,11 +160,13 @@ def upsert(
     update_cols: list[str] | None = None,
     day: str = "date",
     check_unique: bool = False,
+    staged: bool = False,
 ) -> DataFrame:
     """Insert new keys, replace (or partly update) known ones; returns the batch as staged.
 
     Keys must be unique in the batch (``check_unique`` verifies it). A NULL key matches
-    nothing, so such a row is inserted every time. Only partitions of days in the batch
+    nothing, so such a row is inserted every time; a NULL or empty ``day`` is refused. ``staged`` says
+    that ``df`` is a written table already. Only partitions of days in the batch
     are read and rewritten, and running the same batch twice changes nothing.
 
     No stored column is lost: a known row keeps its values in columns that the batch lacks, an
@@ -145,7 +174,7 @@ def upsert(
     does not set; days outside the batch show it under ``read_table(merge_schema=True)``.
     """
     spark = df.sparkSession
-    batch = stage(df)
+    batch = df if staged else stage(df)
     if check_unique:
         assert_unique(batch, keys)
     days = _days_of(batch, day)
@@ -171,24 +200,63 @@ def merge_into(
     merge.whenNotMatched().insertAll().merge()
 
 
-def write_daily(daily: DataFrame, path: str) -> DataFrame:
-    """Upsert daily rows: a second run on a day replaces that day's rows of its products."""
-    return upsert(daily, path)
+def write_daily(daily: DataFrame, path: str, state: str | None = None) -> DataFrame:
+    """Upsert daily rows: a second run on a day replaces that day's rows of its products.
 
+    With ``state``, the table of each product's newest days at that path follows (`update_last_days`).
+    """
+    batch = upsert(daily, path)
+    if state is not None:
+        update_last_days(batch, path, state)
+    return batch
+
+
+def update_last_days(batch: DataFrame, path: str, state: str, keep: int = KEEP, buckets: int = STATE_BUCKETS) -> None:
+    """Bring ``state`` up to date after ``batch`` was upserted into the daily table at ``path``.
 
-def write_alerts(alerts: DataFrame, path: str) -> DataFrame:
-    """Upsert alerts, one per key; a table's first batch counts a missing scrape count as 1."""
+    A date in the batch takes the place of the stored one; older and back-dated days find their place or
+    fall off the end. Only the buckets of the batch's products are read and rewritten, so the cost follows the
+    products, not the days behind them. A missing state is built from the whole table, once. Running a batch
+    again changes nothing, so a run that failed between both tables is mended by running it again.
+    """
+    spark = batch.sparkSession
+    bucket = F.pmod(F.xxhash64(*PRODUCT), F.lit(buckets)).cast("int")
+    if not table_exists(spark, state):
+        whole = last_days(read_table(spark, path), keep).withColumn("bucket", bucket)
+        if not whole.isEmpty():
+            _write_days(whole, state, "bucket")
+        return
+    with StageScope(spark):
+        fresh = stage(last_days(batch, keep).withColumn("bucket", bucket))
+        touched = _days_of(fresh, "bucket")
+        if not touched:
+            return
+        stored = _touched(fresh, state, "bucket", touched)
+        sides = fresh.withColumn("_new", F.lit(True))
+        if stored is not None:
+            sides = sides.unionByName(stored.withColumn("_new", F.lit(False)))
+        old, new = (F.max(F.when(F.col("_new") == side, F.col("days"))) for side in (False, True))
+        merged = sides.groupBy(*PRODUCT, "bucket").agg(merged_days(old, new, keep).alias("days"))
+        _write_days(merged, state, "bucket")
+
+
+def write_alerts(alerts: DataFrame, path: str, unique: bool = False) -> DataFrame:
+    """Upsert alerts, one per key; a table's first batch counts a missing scrape count as 1.
+
+    ``unique`` says that ``alerts`` is a written table with one row per key already: then it is
+    neither grouped nor staged again.
+    """
     order = ["last_scrape_time"]
     columns = order + [n for n in alerts.columns if n not in DAILY_KEYS + order]
     newest = F.max(F.struct(*columns)).alias("_row")
-    unique = (
+    one = alerts if unique else (
         alerts.groupBy(*DAILY_KEYS)
         .agg(newest)
         .select(*[name if name in DAILY_KEYS else f"_row.{name}" for name in alerts.columns])
     )
     if not table_exists(alerts.sparkSession, path):
-        unique = unique.withColumn("num_scrapes_day", F.coalesce("num_scrapes_day", F.lit(1)))
-    return upsert(unique, path, update_cols=ALERT_UPDATES)
+        one = one.withColumn("num_scrapes_day", F.coalesce("num_scrapes_day", F.lit(1)))
+    return upsert(one, path, update_cols=ALERT_UPDATES, staged=unique)
 
 
 def high_water_mark(df: DataFrame, ts_col: str = "timestamp") -> Column | None:
@@ -205,11 +273,15 @@ def high_water_mark(df: DataFrame, ts_col: str = "timestamp") -> Column | None:
 def _stored_mark(spark: SparkSession, path: str, ts_col: str, day: str | None) -> Column | None:
     """`high_water_mark` of a stored table; with ``day``, from the newest folder that has one.
 
-    The folders are listed, not their files read; folders without any timestamp are passed.
+    The folders are listed, not their files read; folders without any timestamp are passed. Names that are all
+    whole numbers are ordered as numbers, others as text, which is the order of dates.
     """
     if day is None:
         return high_water_mark(spark.read.parquet(path), ts_col)
-    for folder in sorted(partition_folders(spark, path, day), reverse=True):
+    names = {folder: folder.rpartition("=")[2] for folder in partition_folders(spark, path, day)}
+    numbers = all(re.fullmatch(r"-?[0-9]+", name) for name in names.values())
+    order = (lambda f: int(names[f])) if numbers else (lambda f: names[f])
+    for folder in sorted(names, key=order, reverse=True):
         mark = high_water_mark(spark.read.parquet(folder), ts_col)
         if mark is not None:
             return mark

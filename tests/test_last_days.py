@@ -1,0 +1,85 @@
+"""The table of each product's newest days: kept by upserts, and enough to judge a day."""
+
+import datetime
+import random
+
+import pytest
+
+from pricetide.operators.last_days import KEEP, last_days, signals_from_state
+from pricetide.operators.signals import signals_on
+from pricetide.plans.run import run_pipeline
+from pricetide.schema import DAILY
+from pricetide.sources.paths import layer_path, table_exists
+from pricetide.sources.tables import raw_frame, read_table, write_daily
+
+START = datetime.date(2025, 1, 1)
+
+
+def daily_rows(spark, rows):
+    """Daily rows from (url, day number, closing price, discount)."""
+    values = [
+        (u, "A", START + datetime.timedelta(days=d), p, p, p, disc, 1, "B", "P", 100.0, p, None, "In Stock")
+        for u, d, p, disc in rows
+    ]
+    return spark.createDataFrame(values, DAILY)
+
+
+def days_of(df):
+    return {r["url"]: [(d["date"], d["closing_price"]) for d in r["days"]] for r in df.collect()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_batches_in_any_order_leave_the_newest_days(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    path, state = str(tmp_path / "daily"), str(tmp_path / "state")
+    for _ in range(5):
+        chosen = {(f"u{rng.randrange(6)}", rng.randrange(25)) for _ in range(25)}
+        batch = [(u, d, rng.choice([None, *range(50, 60)]), None) for u, d in chosen]
+        batch = [(u, d, None if p is None else float(p), disc) for u, d, p, disc in batch]
+        write_daily(daily_rows(spark, batch), path, state)
+        stored = read_table(spark, path)
+        assert days_of(read_table(spark, state)) == days_of(last_days(stored))
+        for day in (0, 9, 24, 30):
+            as_of = START + datetime.timedelta(days=day)
+            found = signals_from_state(stored, read_table(spark, state), stored, as_of)
+            expected = signals_on(stored, as_of)
+            names = expected.columns
+            assert sorted(map(str, found.select(*names).collect())) == sorted(map(str, expected.collect()))
+
+
+def test_state_is_built_once_from_a_table_without_one(spark, tmp_path):
+    path, state = str(tmp_path / "daily"), str(tmp_path / "state")
+    write_daily(daily_rows(spark, [("u", d, 50.0 + d, None) for d in range(20)]), path)
+    write_daily(daily_rows(spark, [("u", 3, 1.0, None), ("v", 3, 2.0, 4.0)]), path, state)
+    found = days_of(read_table(spark, state))
+    assert [p for _, p in found["u"]] == [50.0 + d for d in range(20 - KEEP, 20)]
+    assert [p for _, p in found["v"]] == [2.0]
+
+
+def test_the_usual_day_is_judged_without_history(spark, tmp_path):
+    path, state = str(tmp_path / "daily"), str(tmp_path / "state")
+    rows = [(f"u{u}", d, 100.0, None) for u in range(4) for d in range(15)]
+    write_daily(daily_rows(spark, rows), path, state)
+    write_daily(daily_rows(spark, [("u1", 15, 80.0, None), ("u2", 15, 99.0, 30.0)]), path, state)
+    stored = read_table(spark, path)
+    found = signals_from_state(stored, read_table(spark, state), stored, "2025-01-16")
+    scans = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert len(scans) == 2
+    assert sum("PartitionFilters: [isnotnull(date#" in line for line in scans) == 1
+    assert {r["url"]: r["avg_price_7d"] for r in found.collect()} == {"u1": 100.0, "u2": 100.0}
+
+
+def scrape(spark, url, day, price):
+    stamp = f"{START + datetime.timedelta(days=day)} 10:00:00"
+    row = {"url": url, "website": "A", "status": "In Stock", "mrp": None, "selling_price": f"₹{price}", "timestamp": stamp}
+    return raw_frame(spark, [row])
+
+
+def test_a_run_without_history_still_keeps_a_state_that_is_there(spark, tmp_path):
+    root = str(tmp_path)
+    as_of = lambda d: START + datetime.timedelta(days=d)
+    run_pipeline(spark, [scrape(spark, "u", 0, 100)], root, as_of(0), history=True).release()
+    run_pipeline(spark, [scrape(spark, "u", 1, 50)], root, as_of(1)).release()
+    report = run_pipeline(spark, [scrape(spark, "u", 2, 70)], root, as_of(2), history=True)
+    assert report.alerts == 0  # 70 against the mean of 100 and 50
+    assert table_exists(spark, layer_path(root, "last_days"))
