@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from pricetide.sources.paths import stage
 
-# A filter by residue lists this many residues at most: the proven bound of its broadcast.
-RESIDUES = 1 << 20
+# A filter by residue knows so many residues, as bits of words: at most 2**20 words are broadcast.
+RESIDUES, WORD = 1 << 26, 64
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -44,12 +44,20 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def thin_out(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
-    """Rows of ``df`` that may have their key in ``wanted``; all that have it stay.
+    """Rows of ``df`` that may have their key in ``wanted`` (written); all that have it stay.
 
-    Keys are compared by a residue of their hash, so at most ``RESIDUES`` numbers are
-    broadcast. It spares the shuffle of a wide table when few keys are wanted; the exact
-    join follows.
+    It spares the shuffle of a wide table when few keys are wanted; the exact join follows. The residues of
+    the wanted keys' hashes are the bits of a bitmap, whose words are broadcast. Where so many keys are
+    wanted that the bitmap would let most rows through, ``df`` comes back as it is.
     """
-    residue = lambda c: F.pmod(F.xxhash64(c), F.lit(RESIDUES)).cast("int")
-    listed = wanted.select(residue(F.col(wanted_key)).alias("_residue")).distinct()
-    return df.join(F.broadcast(listed), residue(F.col(key)) == F.col("_residue"), "left_semi")
+    if wanted.count() > RESIDUES // 4:
+        return df
+    residue = lambda c: F.pmod(F.xxhash64(c), F.lit(RESIDUES))
+    bit = lambda r: F.call_function("shiftleft", F.lit(1).cast("long"), (r % WORD).cast("int"))
+    listed = wanted.select(residue(F.col(wanted_key)).alias("_residue"))
+    words = listed.groupBy((F.col("_residue") / WORD).cast("int").alias("_word")).agg(
+        F.bit_or(bit(F.col("_residue"))).alias("_bits")
+    )
+    here = residue(F.col(key))
+    known = ((here / WORD).cast("int") == F.col("_word")) & (F.col("_bits").bitwiseAND(bit(here)) != 0)
+    return df.join(F.broadcast(words), known, "left_semi")

@@ -11,15 +11,16 @@ its lines without the shared segment must still be within k edits, so the join i
 on these rests inside the key, until few lines meet or at most 2k characters are left.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide.llm.components import components, thin_out
-from pricetide.sources.paths import stage
+from pricetide.sources.paths import StageScope, stage
 
 MAX_EDITS = 1
 # Lines of so many characters or more are compared with so many edits.
@@ -34,6 +35,21 @@ MIN_CHARS = 20
 CROWDED = 8
 
 
+@contextmanager
+def small_methods(spark: SparkSession) -> Iterator[None]:
+    """Let Spark generate no Java method that the JVM finds too large to compile.
+
+    Key arrays and distances are long expressions; in one method over 8,000 bytes of bytecode they would be interpreted.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _segments(chars: str, edits: int) -> list[tuple[str, int, str, str]]:
     """SQL of (indexed length, segment number, start, size) of a line's own segments, then of
     its probes, where column ``chars`` has its length.
@@ -161,16 +177,53 @@ def like_counts(a: Column, b: Column, edits: int) -> Column:
     return reduce(add, apart) <= 2 * edits
 
 
-def _pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    few = members.join(sizes.filter("NOT refine").select("key"), "key")
-    left = few.select(F.col("key").alias("key_a"), F.col("line").alias("a"), F.col("own").alias("own_a"))
-    right = few.select(F.col("key").alias("key_b"), F.col("line").alias("b"), F.col("own").alias("own_b"))
-    return left.join(
-        right,
-        (F.col("key_a") == F.col("key_b")) & (F.col("a") < F.col("b")) & (F.col("own_a") | F.col("own_b")),
+def _pairs(members: DataFrame, keys: DataFrame) -> DataFrame:
+    """Pairs of lines that meet under the keys; two lines of one class (column component) are none."""
+    few = members.join(keys, "key")
+    side = lambda name: few.select(
+        *(F.col(c).alias(f"{c}_{name}") for c in ("key", "own", "component")), F.col("line").alias(name)
+    )
+    return side("a").join(
+        side("b"),
+        (F.col("key_a") == F.col("key_b"))
+        & (F.col("a") < F.col("b"))
+        & (F.col("own_a") | F.col("own_b"))
+        & (F.col("component_a") != F.col("component_b")),
     ).select("a", "b")
 
 
+def _placed(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The members with their component among the links so far; an unlinked line is its own."""
+    if labels is None:
+        return members.withColumn("component", F.col("line"))
+    known = members.join(labels, F.col("line") == F.col("node"), "left")
+    return stage(known.withColumn("component", F.coalesce("component", "line")).drop("node"))
+
+
+def _stars(placed: DataFrame) -> DataFrame:
+    """Under each key, every line with the least one among those whose own segment it is, if that is of another component."""
+    centres = (
+        placed.filter("own")
+        .groupBy("key")
+        .agg(F.min(F.struct("line", "component")).alias("first"))
+        .select("key", F.col("first.line").alias("centre"), F.col("first.component").alias("known"))
+    )
+    around = placed.join(centres, "key").filter("line <> centre AND component <> known")
+    return around.select(F.least("line", "centre").alias("a"), F.greatest("line", "centre").alias("b")).distinct()
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+    """The pairs of lines that are within ``edits`` edits."""
+    left = texts.select(F.col("line").alias("a"), F.col("rest").alias("text_a"))
+    right = texts.select(F.col("line").alias("b"), F.col("rest").alias("text_b"))
+    both = pairs.join(left, "a").join(right, "b")
+    longer = F.char_length("text_a") >= F.char_length("text_b")
+    first = F.when(longer, F.col("text_a")).otherwise(F.col("text_b"))
+    second = F.when(longer, F.col("text_b")).otherwise(F.col("text_a"))
+    possible = like_counts(F.col("text_a"), F.col("text_b"), edits)
+    return both.filter(possible & within(first, second, edits)).select("a", "b").distinct()
+
+
 def with_keys(lines: DataFrame, text: str, edits: int) -> DataFrame:
     """``lines`` with chars, the length of ``text``, and keys; a column ``prefix`` goes into the keys."""
     keys = segment_keys(text, "chars", "prefix", edits)
@@ -183,18 +236,23 @@ def near_lines(
     crowded: int = CROWDED,
     index: DataFrame | None = None,
     holding: Callable[[DataFrame], DataFrame] | None = None,
+    spanning: bool = False,
 ) -> DataFrame:
     """Links (a, b) between the 64-bit hashes of different lines within ``edits`` edits.
 
     ``lines`` has a column ``text``; repeated lines are fine. Lines need more than ``edits`` characters.
     ``index`` may give (prefix, line, chars, keys) of the lines where they are known, and
     ``holding`` lines among which all of some hashes (line) are found.
+
+    With ``spanning``, only as many links as connect what all links do: every line is first compared with one
+    other under each of its keys, and from then on only lines that this did not connect are paired, so a family of
+    like lines costs in proportion to its lines, not to its pairs.
     """
     hashed = lambda some: some.select(F.xxhash64("text").alias("line"), F.col("text").alias("rest"))
     zero = F.lit(0).cast("long")
     if index is None:
         index = with_keys(hashed(lines).withColumn("prefix", zero), "rest", edits)
-    frontier, texts, found = None, None, []
+    frontier, texts, labels, links, found = None, None, None, None, []
     start, size = segment_place("at", "chars", edits)
     while True:
         keyed = index if frontier is None else with_keys(frontier, "rest", edits)
@@ -216,17 +274,25 @@ def near_lines(
             .distinct()
             .withColumns({"own": own, "start": start, "size": size})
         )
-        sizes = stage(
-            members.groupBy("key").agg(
-                ((F.count("*") > crowded) & (F.max(F.col("chars") - F.col("size")) > 2 * edits)).alias("refine")
-            )
-        )
-        found.append(stage(_pairs(members, sizes).distinct()))
         if texts is None:
             wanted = stage(members.select("line").distinct())
             some = hashed(lines if holding is None else holding(wanted))
             texts = stage(thin_out(some, "line", wanted, "line").join(wanted, "line", "left_semi").distinct())
             frontier = texts.withColumn("prefix", zero)
+        placed = _placed(members, labels)
+        if spanning:
+            around = stage(_similar(_stars(placed), texts, edits))
+            if not around.isEmpty():
+                links = around if links is None else stage(links.union(around))
+                labels = stage(components(links))
+                placed = _placed(members, labels)
+        sizes = stage(
+            placed.groupBy("key").agg(
+                ((F.count("*") > crowded) & (F.max(F.col("chars") - F.col("size")) > 2 * edits)).alias("refine"),
+                (F.min("component") < F.max("component")).alias("open"),
+            ).filter("open")
+        )
+        found.append(stage(_pairs(placed, sizes.filter("NOT refine").select("key")).distinct()))
         hot = members.join(sizes.filter("refine").select("key"), "key")
         if hot.isEmpty():
             break
@@ -239,15 +305,8 @@ def near_lines(
             .select(F.col("key").alias("prefix"), "line", cut.alias("rest"))
             .distinct()
         )
-    candidates = reduce(DataFrame.union, found).distinct()
-    left = texts.select(F.col("line").alias("a"), F.col("rest").alias("text_a"))
-    right = texts.select(F.col("line").alias("b"), F.col("rest").alias("text_b"))
-    both = candidates.join(left, "a").join(right, "b")
-    longer = F.char_length("text_a") >= F.char_length("text_b")
-    first = F.when(longer, F.col("text_a")).otherwise(F.col("text_b"))
-    second = F.when(longer, F.col("text_b")).otherwise(F.col("text_a"))
-    possible = like_counts(F.col("text_a"), F.col("text_b"), edits)
-    return both.filter(possible & within(first, second, edits)).select("a", "b").distinct()
+    more = _similar(reduce(DataFrame.union, found).distinct(), texts, edits)
+    return more if links is None else links.union(more)
 
 
 def remove_repeated_lines(
@@ -275,7 +334,15 @@ def remove_repeated_lines(
     """
     if min_chars <= edits or long_chars <= max(min_chars, long_edits) or long_edits < edits:
         raise ValueError("min_chars must exceed edits, long_chars min_chars, and long_edits must not be less than edits")
-    kept_columns = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    with small_methods(docs.sparkSession), StageScope(docs.sparkSession) as scope:
+        cuts = scope.result(_cuts(docs, edits, min_chars, crowded, doc_id, text, long_chars, long_edits))
+    return _cut(docs, cuts, doc_id, text)
+
+
+def _cuts(
+    docs: DataFrame, edits: int, min_chars: int, crowded: int, doc_id: str, text: str, long_chars: int, long_edits: int
+) -> DataFrame:
+    """id, row (hash of the text), gone (places that go, as bits by word), n_gone of the rows that lose lines."""
     content = F.col(f"`{text}`")
     rows = docs.select(
         F.col(f"`{doc_id}`").alias("id"), F.xxhash64(content).alias("row"), content.alias("content")
@@ -300,9 +367,9 @@ def remove_repeated_lines(
         held = stage(found.groupBy("line").agg(F.min("row").alias("row")).select("row").distinct())
         return cut_up(thin_out(rows, "row", held, "row")).filter(F.char_length("text") >= min_chars)
 
-    short = near_lines(lines, edits, crowded, index.filter("keys IS NOT NULL"), holding)
+    short = near_lines(lines, edits, crowded, index.filter("keys IS NOT NULL"), holding, True)
     long = index.filter("long_keys IS NOT NULL").drop("keys").withColumnRenamed("long_keys", "keys")
-    links = stage(short.union(near_lines(lines, long_edits, crowded, long, holding)).distinct())
+    links = stage(short.union(near_lines(lines, long_edits, crowded, long, holding, True)).distinct())
     labels = stage(components(links))
     repeated = index.groupBy("line", "more", "bytes").count().filter("count > 1").select("line")
     again = stage(repeated.union(labels.select("node")))
@@ -319,7 +386,8 @@ def remove_repeated_lines(
         .join(labels, F.col("line") == F.col("node"), "left")
         .select(*names, "id", "row", "at")
     )
-    firsts = (
+    # written, so that the join of a very common line's places has an exchange that Spark can split
+    firsts = stage(
         placed.groupBy("class", "more", "bytes")
         .agg(F.min(place).alias("first"), F.count("*").alias("n"))
         .filter("n > 1")
@@ -329,33 +397,43 @@ def remove_repeated_lines(
     words = gone.groupBy("id", "row", F.floor(F.col("at") / 64).cast("int").alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at") % 64)).alias("bits")
     )
-    cuts = words.groupBy(F.col("id").alias("_id"), F.col("row").alias("_row")).agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("_gone"),
-        F.sum(F.bit_count("bits")).alias("_n_gone"),
+    return words.groupBy("id", "row").agg(
+        F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("gone"),
+        F.sum(F.bit_count("bits")).alias("n_gone"),
+    )
+
+
+def _cut(docs: DataFrame, cuts: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """All columns of ``docs``, in one struct on the way so that no name clashes, the text without the places of ``cuts``."""
+    kept_columns = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    given = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in kept_columns)).alias("given"),
+        F.col(f"`{doc_id}`").alias("own_id"),
+        F.xxhash64(F.col(f"`{text}`")).alias("own_row"),
     )
-    named = docs.select(*(F.col(f"`{c}`") for c in kept_columns), F.xxhash64(content).alias("_of"))
-    joined = named.join(
-        cuts, (F.col("_of") == F.col("_row")) & F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")), "left"
+    joined = given.join(
+        cuts, (F.col("own_row") == F.col("row")) & F.col("own_id").eqNullSafe(F.col("id")), "left"
     )
+    content = F.col("given").getField(text)
     n_lines = F.octet_length(content) - F.octet_length(F.replace(content, F.lit("\n"), F.lit(""))) + 1
-    bits = joined.withColumn("_n_lines", F.coalesce(n_lines, F.lit(0)).cast("long")).withColumn(
-        "_bits",
+    bits = joined.withColumn("n_lines", F.coalesce(n_lines, F.lit(0)).cast("long")).withColumn(
+        "bits",
         F.when(
-            F.col("_gone").isNotNull(),
+            F.col("gone").isNotNull(),
             F.transform(
-                F.sequence(F.lit(0), F.floor(F.col("_n_lines") / 64).cast("int")),
-                lambda w: F.coalesce(F.element_at("_gone", w), F.lit(0).cast("long")),
+                F.sequence(F.lit(0), F.floor(F.col("n_lines") / 64).cast("int")),
+                lambda w: F.coalesce(F.element_at("gone", w), F.lit(0).cast("long")),
             ),
         ),
     )
     stays = lambda line, i: F.call_function(
-        "shiftright", F.get("_bits", F.floor(i / 64).cast("int")), i % 64
+        "shiftright", F.get("bits", F.floor(i / 64).cast("int")), i % 64
     ).bitwiseAND(F.lit(1)) == 0
     left = F.when(
-        F.col("_bits").isNotNull(), F.array_join(F.filter(F.split(content, "\n"), stays), "\n")
+        F.col("bits").isNotNull(), F.array_join(F.filter(F.split(content, "\n"), stays), "\n")
     ).otherwise(content)
     return bits.select(
-        *(left.alias(c) if c == text else F.col(f"`{c}`") for c in kept_columns),
-        F.col("_n_lines").alias("n_lines"),
-        F.coalesce("_n_gone", F.lit(0)).cast("long").alias("n_removed"),
+        *((left if c == text else F.col("given").getField(c)).alias(c) for c in kept_columns),
+        "n_lines",
+        F.coalesce("n_gone", F.lit(0)).cast("long").alias("n_removed"),
     )

@@ -65,6 +65,38 @@ def test_edit_join_loses_nothing(spark, edits, crowded):
     assert got == {frozenset(p) for p in itertools.combinations(lines, 2) if distance(*p) <= edits}
 
 
+@pytest.mark.parametrize("edits, crowded", [(1, 3), (2, 5)])
+def test_spanning_links_connect_the_same(spark, edits, crowded):
+    """Families of like lines and 300 numbered ones: as connected as by all links, by far fewer."""
+    draw = random.Random(edits)
+    lines = {f"no. {i} of a long list of lines" for i in range(300)}
+    for _ in range(3):
+        base = "".join(draw.choice("ab") for _ in range(14))
+        lines |= {edited(draw, base, draw.randrange(4)) for _ in range(40)}
+    lines = sorted(x for x in lines if len(x) > 4)
+    df = spark.createDataFrame([(x,) for x in lines], "text string")
+    name = {r["h"]: r["text"] for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    links = [(name[r["a"]], name[r["b"]]) for r in near_lines(df, edits, crowded, spanning=True).collect()]
+    all_links = [p for p in itertools.combinations(lines, 2) if abs(len(p[0]) - len(p[1])) <= edits and distance(*p) <= edits]
+
+    def groups(pairs):
+        root = {x: x for x in lines}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in pairs:
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+        return {x: find(x) for x in lines}
+
+    assert {frozenset(p) for p in links} <= {frozenset(p) for p in all_links}
+    assert groups(links) == groups(all_links)
+    assert len(links) < len(all_links) / 2
+
+
 def brute_lines(rows, min_chars=20):
     """(id, text) -> (id, text left, lines, removed), with rows in the order of their ids."""
     first, distinct = {}, []
@@ -136,6 +168,14 @@ def test_line_dedup_odd_rows(odd_rows):
     assert remove_repeated_lines(odd_rows.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("name", ["_row", "_id", "_of", "_gone", "_bits", "given", "id", "row", "at", "line", "text_a"])
+def test_line_dedup_clashing_names(spark, name):
+    line = "a line of more than twenty characters"
+    df = spark.createDataFrame([(1, f"{line}\nx", "p"), (2, f"{line}!", "q")], f"doc_id bigint, text string, `{name}` string")
+    rows = sorted(tuple(r) for r in remove_repeated_lines(df).select("doc_id", "text", f"`{name}`", "n_removed").collect())
+    assert rows == [(1, f"{line}\nx", "p", 0), (2, "", "q", 1)]
+
+
 def test_token_counts_query(spark, documents):
     ranks = bpe.read_ranks(public_tokenizers.path(catalog.RANK_FILE))
     encoder = bpe.Encoder(bpe.Vocabulary(ranks), public_tokenizers.PATTERN)
