@@ -3,6 +3,8 @@
 import tempfile
 import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -104,16 +106,30 @@ class StageScope:
             delete_folder(self.spark, self.folders.pop())
 
 
+@contextmanager
+def _shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Have Spark delete the shuffle files of what is executed inside as soon as each execution ends."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to shared space once and read it back.
 
     Later steps then share one result that survives the loss of executors, has exact
     file sizes for join planning, and no longer depends on the tables it came from.
-    Inside a `StageScope` the table is deleted when the scope closes.
+    Inside a `StageScope` the table is deleted when the scope closes. The shuffle files behind it are deleted when
+    it is written, since nothing reads them again.
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession)
     scopes = getattr(_open, "scopes", [])
     if scopes:
         scopes[-1].folders.append(path)
-    df.write.parquet(path)
+    with _shuffles_go(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
