@@ -5,12 +5,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricetide.llm.near_dedup import linked, odd_sketches, set_names, set_parities
 from pricetide.llm.words import MinHash, mix, shingle_sets, small_batches
-from pricetide.sources.paths import stage
+from pricetide.sources.paths import StageScope, stage
 
 SHINGLE_WORDS = 5
 # 128 permutations, of each 16 bits of the least value: 512 hex digits.
@@ -19,19 +19,27 @@ PERMUTATIONS = 128
 BAND_ROWS = 4
 # What `near_sets` needs of a document beside its fingerprint: the hash of its text, and its shingle set.
 _SIGNATURE = "tie bigint, n_shingles bigint, s1 bigint, s2 bigint, sketch array<bigint>, parity array<bigint>"
-# Documents of one ordered part; the parts follow the size of the table.
-PART_ROWS = 5_000
+# Documents of one ordered part, about, where the session does not ask for more parts.
+PART_ROWS = 20_000
+_PRINTS = (
+    "doc_id bigint, tie bigint, n_chars bigint, edited_sha256 string, fingerprint binary, "
+    "edited_fingerprint binary, near_edited double, near_next double"
+)
+_EDGES = "part int, edge string, text string"
+
+
+def _digits(samples: np.ndarray) -> np.ndarray:
+    return mix(samples, 3).astype("<u2")
 
 
 def fingerprint(docs: list[bytes], minhash: MinHash) -> list[str]:
     """Hex fingerprint of each text; texts without words share one of their own."""
     hashes, starts = shingle_sets(docs, SHINGLE_WORDS)
-    digits = mix(minhash.signatures(hashes, starts), 3).astype("<u2")
-    return [row.tobytes().hex() for row in digits]
+    return [row.tobytes().hex() for row in _digits(minhash.signatures(hashes, starts))]
 
 
-def signed(docs: list[bytes], minhash: MinHash) -> tuple[list[str], dict[str, list]]:
-    """Fingerprints as by `fingerprint`, and the columns of ``_SIGNATURE`` but for tie."""
+def signed(docs: list[bytes], minhash: MinHash) -> tuple[list[bytes], dict[str, list]]:
+    """Fingerprints as by `fingerprint`, but as bytes, and the columns of ``_SIGNATURE`` but for tie."""
     hashes, starts = shingle_sets(docs, SHINGLE_WORDS)
     samples = minhash.signatures(hashes, starts)
     s1, s2 = set_names(hashes, starts)
@@ -42,72 +50,60 @@ def signed(docs: list[bytes], minhash: MinHash) -> tuple[list[str], dict[str, li
         "sketch": list(odd_sketches(samples).view(np.int64)),
         "parity": list(set_parities(hashes, starts)),
     }
-    return [row.tobytes().hex() for row in mix(samples, 3).astype("<u2")], more
+    return [row.tobytes() for row in _digits(samples)], more
 
 
-def likeness(a: list[str], b: list[str]) -> list[float]:
-    """Share of equal values, corrected for chance agreement of 16 bits."""
-    x = np.frombuffer(bytes.fromhex("".join(a)), dtype="<u2").reshape(len(a), -1)
-    y = np.frombuffer(bytes.fromhex("".join(b)), dtype="<u2").reshape(len(b), -1)
+def _alike(x: np.ndarray, y: np.ndarray) -> list[float]:
     chance = 2.0**-16
     same = (x == y).mean(axis=1)
     return np.clip((same - chance) / (1 - chance), 0, 1).tolist()
 
 
-def _parts(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Rows with their part: parts hold neighbouring ids, in order, nulls in the last one.
-
-    The borders are quantiles of the ids; their number is the number of rows over
-    ``PART_ROWS``.
-    """
-    rows = docs.count()
-    parts = max(1, rows // PART_ROWS)
-    borders = []
-    if parts > 1:
-        shares = [i / parts for i in range(1, parts)]
-        found = docs.agg(F.percentile_approx("doc_id", shares, 10 * parts).alias("q")).first()["q"]
-        borders = sorted(set(found or []))
-    if not borders:
-        return docs.withColumn("part", F.lit(0)), 1
-    listed = F.array(*(F.lit(x) for x in borders))
-    below = F.size(F.filter(listed, lambda x: x <= F.col("doc_id")))
-    part = F.when(F.col("doc_id").isNull(), F.lit(len(borders))).otherwise(below)
-    return docs.withColumn("part", part.cast("int")), len(borders) + 1
-
-
-def with_next(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, text, part, ahead) dealt by part; a part also gets the row that follows its last one.
-
-    That row is the first one of the next part that has any (after the last part: the first
-    of all), marked ``ahead``. So each part knows all its documents' followers, and the texts
-    are shuffled once.
-    """
-    parted, parts = _parts(docs)
-    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", F.xxhash64("text").alias("tie"))
-    firsts = parted.groupBy("part").agg(F.min(order).alias("first")).orderBy("part").collect()
-    before = {r["part"]: firsts[i - 1]["part"] for i, r in enumerate(firsts)}
-    if not firsts:
-        return parted.withColumn("ahead", F.lit(False))
-    # at most ``parts`` entries: (part, first id) -> part before
-    table = docs.sparkSession.createDataFrame(
-        [(r["part"], r["first"]["doc_id"], r["first"]["tie"], before[r["part"]]) for r in firsts],
-        "of int, first_id bigint, first_tie bigint, previous int",
-    )
-    led = parted.join(
-        F.broadcast(table),
-        (F.col("part") == F.col("of"))
-        & F.col("doc_id").eqNullSafe(F.col("first_id"))
-        & (F.xxhash64("text") == F.col("first_tie")),
-        "left",
-    )
-    own = F.struct(F.col("part").alias("part"), F.lit(False).alias("ahead"))
-    extra = F.struct(F.col("previous").alias("part"), F.lit(True).alias("ahead"))
-    places = F.when(F.col("previous").isNull(), F.array(own)).otherwise(F.array(own, extra))
-    return led.select("doc_id", "text", F.explode(places).alias("place")).select(
-        "doc_id", "text", "place.part", "place.ahead"
+def likeness(a: list[str], b: list[str]) -> list[float]:
+    """Share of equal values of hex fingerprints, corrected for chance agreement of 16 bits."""
+    x = np.frombuffer(bytes.fromhex("".join(a)), dtype="<u2").reshape(len(a), -1)
+    y = np.frombuffer(bytes.fromhex("".join(b)), dtype="<u2").reshape(len(b), -1)
+    return _alike(x, y)
+
+
+def _finished(rows: list[tuple], minhash: MinHash) -> pd.DataFrame:
+    """The columns of ``_PRINTS`` for rows (doc_id, tie, text, text of the next document)."""
+    import hashlib
+
+    edited = []
+    for _, _, own, after in rows:
+        half = len(own) // 2
+        edited.append((own[: len(own) - half] + after[:half]).encode())
+    # a text that follows another is mostly the next row's own
+    texts = list(dict.fromkeys(t for row in rows for t in row[2:]))
+    at = {t: k for k, t in enumerate(texts)}
+    hashes, starts = shingle_sets([*(t.encode() for t in texts), *edited], SHINGLE_WORDS)
+    digits = _digits(minhash.signatures(hashes, starts))
+    own, after = (digits[[at[row[k]] for row in rows]] for k in (2, 3))
+    changed = digits[len(texts) :]
+    return pd.DataFrame(
+        {
+            "doc_id": pd.array([row[0] for row in rows], dtype="Int64"),
+            "tie": [row[1] for row in rows],
+            "n_chars": [len(row[2]) for row in rows],
+            "edited_sha256": [hashlib.sha256(e).hexdigest() for e in edited],
+            "fingerprint": [row.tobytes() for row in own],
+            "edited_fingerprint": [row.tobytes() for row in changed],
+            "near_edited": _alike(own, changed),
+            "near_next": _alike(own, after),
+        }
     )
 
 
+_COLUMNS = [column.split()[0] for column in f"{_PRINTS}, {_EDGES}".split(", ")]
+
+
+def _edge(part: int, edge: str, doc_id: int | None, tie: int, text: str) -> pd.DataFrame:
+    """A row of a range's border: no fingerprint yet, but the text."""
+    known = {"doc_id": doc_id, "tie": tie, "part": part, "edge": edge, "text": text}
+    return pd.DataFrame({c: pd.Series([known.get(c)], dtype=object) for c in _COLUMNS})
+
+
 def edited_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: its fingerprint, that of its edited text, and their likeness.
 
@@ -117,81 +113,87 @@ def edited_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     last. Equal ids are ordered by their texts' hashes, null ids come last; a null text counts
     as empty. A table of one document is its own next. Other columns are not read.
     """
-    return _edited(docs, doc_id, text).drop("tie", "n_shingles", "s1", "s2", "sketch", "parity")
+    return _shown(_edited(docs, doc_id, text)).drop("tie")
+
+
+def _shown(prints: DataFrame) -> DataFrame:
+    """Fingerprints as hex digits, in lower case."""
+    return prints.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
 
 
 def _edited(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """`edited_texts` with the columns of ``_SIGNATURE``."""
-    small_batches(docs.sparkSession)
+    """`edited_texts` with fingerprints in binary and tie, the hash of the text.
+
+    The texts are shuffled once, into ranges of their order; rows of one id and text differ by a number, so that no id
+    has to fit a task. A task knows the follower of all its rows but the last. It hands on its last row and its first text, and
+    these few, two for each range, meet in a second step.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = docs.select(
-        F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"),
-        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
+        F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), content.alias("text"), F.xxhash64(content).alias("tie")
+    )
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + docs.count() // PART_ROWS)
+    order = [F.col("doc_id").asc_nulls_last(), F.col("tie").asc(), F.col("salt").asc()]
+    ordered = (
+        rows.withColumn("salt", F.monotonically_increasing_id())
+        .repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order)
+        .select(F.col("doc_id").cast("string").alias("id"), "tie", "text", F.spark_partition_id().alias("part"))
     )
     minhash = MinHash(PERMUTATIONS)
 
-    def finish(ids: list, texts: list[str], ties: list[int], following: list[str]) -> pd.DataFrame:
-        import hashlib
-
-        edited = []
-        for own, after in zip(texts, following):
-            half = len(own) // 2
-            edited.append((own[: len(own) - half] + after[:half]).encode())
-        plain = [t.encode() for t in [*texts, following[-1]]]
-        prints, more = signed(plain, minhash)
-        changed = fingerprint(edited, minhash)
-        return pd.DataFrame(
-            {
-                "doc_id": pd.array(ids, dtype="Int64"),
-                "n_chars": [len(t) for t in texts],
-                "edited_sha256": [hashlib.sha256(e).hexdigest() for e in edited],
-                "fingerprint": prints[:-1],
-                "edited_fingerprint": changed,
-                "near_edited": likeness(prints[:-1], changed),
-                "near_next": likeness(prints[:-1], prints[1:]),
-                "tie": ties,
-                **{name: values[:-1] for name, values in more.items()},
-            }
-        )
-
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows come part by part, in order, the row ahead at the end of its part."""
         held, part = None, None
         for batch in batches:
             for at in range(0, len(batch), 500):
-                piece = batch.iloc[at : at + 500]
-                ids, texts, ties, follow = [], [], [], []
-                for i, t, p, ahead, tie in zip(*(piece[c] for c in ["id", "text", "part", "ahead", "tie"])):
-                    if held is not None and p == part:
-                        ids.append(held[0]), texts.append(held[1]), ties.append(held[2]), follow.append(t)
-                    held = None if ahead else (None if i is None else int(i), t, tie)
-                    part = p
-                # consecutive runs only: a row's follower is the next row of the list or the last
-                begin = 0
-                for k in range(len(ids)):
-                    if k + 1 == len(ids) or follow[k] is not texts[k + 1]:
-                        run = slice(begin, k + 1)
-                        yield finish(ids[run], texts[run], ties[run], follow[run])
-                        begin = k + 1
-
-    placed = with_next(rows)
-    ordered = (
-        placed.withColumn("tie", F.xxhash64("text"))
-        .repartition("part")
-        .sortWithinPartitions("part", "ahead", F.col("doc_id").asc_nulls_last(), "tie")
+                piece, ready = batch.iloc[at : at + 500], []
+                for i, tie, t, part in zip(*(piece[c] for c in ["id", "tie", "text", "part"])):
+                    own = None if i is None else int(i)
+                    if held is None:
+                        yield _edge(part, "first", own, tie, t)
+                    else:
+                        ready.append((*held, t))
+                    held = (own, tie, t)
+                if ready:
+                    yield _finished(ready, minhash).assign(part=None, edge=None, text=None)
+        if held is not None:
+            yield _edge(part, "last", *held)
+
+    walked = stage(ordered.mapInPandas(walk, f"{_PRINTS}, {_EDGES}"))
+    # one row for each range: which range with rows comes next, the first after the last
+    firsts = walked.filter("edge = 'first'").select("part", F.col("text").alias("following"))
+    following = firsts.select(
+        "part",
+        F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy())).alias("next"),
     )
-    schema = (
-        "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
-        "edited_fingerprint string, near_edited double, near_next double, " + _SIGNATURE
+    lasts = walked.filter("edge = 'last'").select("part", F.col("doc_id").cast("string").alias("id"), "tie", "text")
+
+    def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [
+                (None if i is None else int(i), tie, t, f)
+                for i, tie, t, f in zip(*(batch[c] for c in ["id", "tie", "text", "following"]))
+            ]
+            if rows:
+                yield _finished(rows, minhash)
+
+    closed = (
+        lasts.join(following, "part")
+        .join(firsts.withColumnRenamed("part", "next"), "next")
+        .select("id", "tie", "text", "following")
+        .mapInPandas(close, _PRINTS)
     )
-    return ordered.select(F.col("doc_id").cast("string").alias("id"), "text", "part", "ahead", "tie").mapInPandas(walk, schema)
+    return walked.filter("edge IS NULL").drop("part", "edge", "text").unionByName(closed)
 
 
 def bands(print_: str, rows: int = BAND_ROWS) -> Column:
-    """Keys of the bands of a fingerprint: (band number, its digits) hashed."""
-    digits = 4 * rows
+    """Keys of the bands of a binary fingerprint: (band number, its bytes) hashed."""
+    size = 2 * rows
     count = PERMUTATIONS // rows
     return F.array(
-        *(F.xxhash64(F.lit(i), F.substring(print_, 1 + i * digits, digits)) for i in range(count))
+        *(F.xxhash64(F.lit(i), F.substring(print_, 1 + i * size, size)) for i in range(count))
     )
 
 
@@ -234,38 +236,41 @@ def classified_edits(
     class is named by the hash of one of its texts, so rows of null or repeated ids have classes like others;
     a text without words has none.
     """
-    prints = stage(_edited(docs, doc_id, text))
-    sets, _, labels = near_sets(prints, _texts(docs, text), percent)
-    name = ["n_shingles", "s1", "s2"]
-    named = stage(
-        sets.join(labels, F.col("rep") == F.col("node"), "left").select(
+    with StageScope(docs.sparkSession) as scope:
+        prints = stage(_signed_rows(docs, doc_id, text))
+        sets, _, labels = near_sets(prints, _texts(docs, text), percent)
+        name = ["n_shingles", "s1", "s2"]
+        named = sets.join(labels, F.col("rep") == F.col("node"), "left").select(
             *name, F.coalesce("component", "rep").alias("class_id")
         )
-    )
-    return prints.join(named, name, "left").drop(*name, "tie", "sketch", "parity")
-
+        classes = scope.result(prints.select("tie", *name).distinct().join(named, name).select("tie", "class_id"))
+    return _shown(_edited(docs, doc_id, text).join(classes, "tie", "left")).drop("tie")
 
-def near_pairs(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(a, b), a < b: links that connect all documents of one class (see `classified_edits`), each
-    of Jaccard similarity ``percent`` or more of the full shingle sets.
 
-    Texts of equal sets are represented by their least doc_id; sets of null ids alone have no pairs.
-    """
+def _signed_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, fingerprint, and the columns of ``_SIGNATURE``."""
     small_batches(docs.sparkSession)
     minhash = MinHash(PERMUTATIONS)
 
-    @F.pandas_udf(f"fingerprint string, {_SIGNATURE.partition(', ')[2]}")
+    @F.pandas_udf(f"fingerprint binary, {_SIGNATURE.partition(', ')[2]}")
     def printed(texts: pd.Series) -> pd.DataFrame:
         prints, more = signed([t or b"" for t in texts], minhash)
         return pd.DataFrame({"fingerprint": prints, **more})
 
-    texts = _texts(docs, text)
-    rows = docs.select(
+    return docs.select(
         F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"),
         F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("tie"),
         printed(F.col(f"`{text}`").cast("binary")).alias("signed"),
-    )
-    sets, links, _ = near_sets(stage(rows.select("doc_id", "tie", "signed.*")), texts, percent)
+    ).select("doc_id", "tie", "signed.*")
+
+
+def near_pairs(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(a, b), a < b: links that connect all documents of one class (see `classified_edits`), each
+    of Jaccard similarity ``percent`` or more of the full shingle sets.
+
+    Texts of equal sets are represented by their least doc_id; sets of null ids alone have no pairs.
+    """
+    sets, links, _ = near_sets(stage(_signed_rows(docs, doc_id, text)), _texts(docs, text), percent)
     left = sets.select(F.col("rep").alias("a"), F.col("least").alias("id_a"))
     right = sets.select(F.col("rep").alias("b"), F.col("least").alias("id_b"))
     return (

@@ -158,3 +158,15 @@ def test_near_pairs_connect_all_of_a_class(spark):
     # equal texts are one set, represented by the least id
     first = {t: i for i, t in reversed(rows)}
     assert [root(first[t]) for _, t in rows] == [r[2] for r in brute_near(rows)]
+
+
+def test_many_rows_without_an_id(spark):
+    """A third of the rows under the null id, many of them equal, are dealt to several ranges."""
+    rows = [(i, f"text number {i} of many") for i in range(400)] + [(None, f"no id {i % 5}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    got = sorted((str(r["doc_id"]), r["n_chars"], r["edited_sha256"]) for r in edited_texts(df).collect())
+    tie = {t: h for t, h in df.selectExpr("text", "xxhash64(text)").distinct().collect()}
+    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, tie[r[1]]))
+    assert got == sorted((str(i), n, h) for i, n, h in expected_edits(ordered))
+    with_edges = fingerprints._edited(df, "doc_id", "text")
+    assert with_edges.count() == len(rows)
