@@ -50,9 +50,8 @@ def small_methods(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def _segments(chars: str, edits: int) -> list[tuple[str, int, str, str]]:
-    """SQL of (indexed length, segment number, start, size) of a line's own segments, then of
-    its probes, where column ``chars`` has its length.
+def _segments(edits: int) -> list[tuple[int, int, int]]:
+    """(how much shorter the other line is, segment number, shift) of a line's own segments, then of its probes.
 
     The probes are chosen by the multi-match rule: of the shared segments of a similar pair
     one has at most i - 1 edits before it and k + 1 - i after it. A probe for the own
@@ -60,36 +59,52 @@ def _segments(chars: str, edits: int) -> list[tuple[str, int, str, str]]:
     """
     own, probes = [], []
     for shorter in range(edits + 1):
-        length = f"({chars} - {shorter})"
         for i in range(1, edits + 2):
-            # the last ``longer`` segments have one character more
-            base, longer = f"{length} div {edits + 1}", f"{length} % {edits + 1}"
-            begin = f"1 + {i - 1} * ({base}) + greatest(0, {longer} - {edits + 2 - i})"
-            size = f"int(({base}) + if({longer} > {edits + 1 - i}, 1, 0))"
             low = max(-(i - 1), shorter - (edits + 1 - i))
             high = min(i - 1, shorter + (edits + 1 - i))
             for shift in range(low, high + 1):
                 chosen = own if shorter == shift == 0 else probes
-                chosen.append((length, i, f"int({begin} + {shift})", size))
+                chosen.append((shorter, i, shift))
     return own + probes
 
 
+def _bounds(chars: str, edits: int, shorter: int, i: int) -> tuple[str, str]:
+    """SQL of the start and size of a segment of a line so much shorter than ``chars``."""
+    # the last ``longer`` segments have one character more
+    base, longer = f"({chars} - {shorter}) div {edits + 1}", f"({chars} - {shorter}) % {edits + 1}"
+    start = f"int(1 + {i - 1} * ({base}) + greatest(0, {longer} - {edits + 2 - i}))"
+    return start, f"int(({base}) + if({longer} > {edits + 1 - i}, 1, 0))"
+
+
+def segment_bounds(chars: str, edits: int) -> dict[str, Column]:
+    """Columns that `segment_keys` needs; each is computed once for all keys that use it."""
+    found = {}
+    for shorter in range(edits + 1):
+        for i in range(1, edits + 2):
+            start, size = _bounds(chars, edits, shorter, i)
+            found[f"_start_{edits}_{shorter}_{i}"] = F.expr(start)
+            found[f"_size_{edits}_{shorter}_{i}"] = F.expr(size)
+    return found
+
+
 def segment_keys(text: str, chars: str, prefix: str, edits: int) -> Column:
-    """Array of the keys of a text (given by column names), those of its own segments first;
-    null where a very short text has no room for a probe."""
-    keys = (
-        f"if({length} >= 0 AND {start} >= 1 AND {start} + {size} <= {chars} + 1, "
-        f"xxhash64({prefix}, {length}, {i}, substring({text}, {start}, {size})), NULL)"
-        for length, i, start, size in _segments(chars, edits)
-    )
+    """Array of the keys of a text (given by column names, beside those of `segment_bounds`), those of its
+    own segments first; null where a very short text has no room for a probe."""
+    keys = []
+    for shorter, i, shift in _segments(edits):
+        start, size = f"(_start_{edits}_{shorter}_{i} + {shift})", f"_size_{edits}_{shorter}_{i}"
+        keys.append(
+            f"if({chars} >= {shorter} AND {start} >= 1 AND {start} + {size} <= {chars} + 1, "
+            f"xxhash64({prefix}, {chars} - {shorter}, {i}, substring({text}, {start}, {size})), NULL)"
+        )
     return F.expr(f"array({', '.join(keys)})")
 
 
 def segment_place(at: str, chars: str, edits: int) -> tuple[Column, Column]:
     """Start and size of the key at a place of `segment_keys`."""
-    segments = _segments(chars, edits)
+    places = [(*_bounds(chars, edits, shorter, i), shift) for shorter, i, shift in _segments(edits)]
     pick = lambda parts: F.expr(f"element_at(array({', '.join(parts)}), {at} + 1)")
-    return pick([start for *_, start, _ in segments]), pick([size for *_, size in segments])
+    return pick([f"{start} + {shift}" for start, _, shift in places]), pick([size for _, size, _ in places])
 
 
 def _let(value: Column, use) -> Column:
@@ -226,8 +241,9 @@ def _similar(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
 
 def with_keys(lines: DataFrame, text: str, edits: int) -> DataFrame:
     """``lines`` with chars, the length of ``text``, and keys; a column ``prefix`` goes into the keys."""
-    keys = segment_keys(text, "chars", "prefix", edits)
-    return lines.withColumn("chars", F.char_length(text)).withColumn("keys", keys)
+    bounds = segment_bounds("chars", edits)
+    keyed = lines.withColumn("chars", F.char_length(text)).withColumns(bounds)
+    return keyed.withColumn("keys", segment_keys(text, "chars", "prefix", edits)).drop(*bounds)
 
 
 def near_lines(
@@ -352,8 +368,9 @@ def _cuts(
     prefixed = lines.withColumns({"prefix": F.lit(0).cast("long"), "chars": F.char_length("text")})
     # a pair of both kinds is within ``edits`` only if the longer line just reaches ``long_chars``
     reach = F.col("chars").between(min_chars, long_chars - 1 + edits)
+    bounds = segment_bounds("chars", edits) | segment_bounds("chars", long_edits)
     index = stage(
-        prefixed.select(
+        prefixed.withColumns(bounds).select(
             "id", "row", "at", "prefix", "chars",
             F.when(reach, segment_keys("text", "chars", "prefix", edits)).alias("keys"),
             F.when(F.col("chars") >= long_chars, segment_keys("text", "chars", "prefix", long_edits)).alias("long_keys"),
