@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetide.llm.words import small_batches
+from pricetide.llm.words import small_batches, unused
 
 UNKNOWN = "und"
 # Hashed n-grams of one to three characters; log-probabilities per bucket and label.
@@ -153,8 +153,9 @@ def predict(
             yield pd.DataFrame(rows, columns=["label", "score"])
 
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (label.lower(), score.lower())]
-    return docs.select(*kept, judged(F.col(f"`{text}`")).alias("_judged")).select(
-        *kept, F.col("_judged.label").alias(label), F.col("_judged.score").alias(score)
+    found = unused(docs, "_judged")
+    return docs.select(*kept, judged(F.col(f"`{text}`")).alias(found)).select(
+        *kept, F.col(f"{found}.label").alias(label), F.col(f"{found}.score").alias(score)
     )
 
 

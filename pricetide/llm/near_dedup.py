@@ -222,6 +222,24 @@ def linked(
     return links, labels
 
 
+def _with_shared_ids(signed: DataFrame, classes: DataFrame, links: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, component) that also connects the sets of rows with one doc_id, which count as one document."""
+    name = ["n_shingles", "s1", "s2"]
+    rows = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", *name)
+    several = stage(
+        rows.groupBy("doc_id")
+        .agg(F.min(F.struct(*name)).alias("low"), F.max(F.struct(*name)).alias("high"))
+        .filter("low <> high")
+        .select("doc_id")
+    )
+    if several.isEmpty():
+        return labels
+    reps = stage(rows.join(several, "doc_id").join(classes, name).select("doc_id", F.col("rep").alias("b")).distinct())
+    least = reps.groupBy("doc_id").agg(F.min("b").alias("a"))
+    more = reps.join(least, "doc_id").filter("a < b").select("a", "b").distinct()
+    return stage(components(links.union(more)))
+
+
 def near_duplicates(
     docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -230,7 +248,8 @@ def near_duplicates(
     Documents are linked if ``100 * common >= percent * union`` of their distinct 5-word
     shingles (a shorter text is one shingle). ``component_id`` is the least doc_id that can
     be reached, ``kept`` says that it is the document's own. A text that is null, empty or without words is linked
-    with nothing. Rows with equal doc_id count as one document and share its fate; rows with
+    with nothing. Rows with equal doc_id count as one document: what is
+    linked with one of their texts is linked with all, and they share its fate; rows with
     a null doc_id are kept and linked with nothing. Other columns are not read.
 
     1. Documents with equal sets collapse to the least doc_id among them.
@@ -252,7 +271,7 @@ def near_duplicates(
         .dropDuplicates([*name, "doc_id"])
         .select(F.col("doc_id").alias("rep"), "n_shingles", "bands", "sketch", "parity")
     )
-    _, labels = linked(sets, rows, percent)
+    labels = _with_shared_ids(signed, classes, *linked(sets, rows, percent))
     named = stage(
         classes.join(labels, F.col("rep") == F.col("node"), "left").select(
             *name, F.coalesce("component", "rep").alias("component")

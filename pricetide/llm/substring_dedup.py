@@ -158,7 +158,8 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW_WORDS, run: int = RUN
     sizes = places.groupBy("key").count().filter("count > 1")
     seen = stage(sizes.select("key", (F.col("count") > CROWDED).alias("crowded")))
     found = F.struct("key", "begin", "windows", "crowded")
-    picks = places.join(seen, "key").groupBy("row").agg(F.collect_list(found).alias("picks"))
+    # sets, since rows of one name give the same places once each: n equal rows cost n times one row
+    picks = places.join(seen, "key").groupBy("row").agg(F.collect_set(found).alias("picks"))
     chosen = rows.join(picks, "row").select(
         "row", "text", *(F.col(f"picks.{c}").alias(c) for c in ("key", "begin", "windows", "crowded"))
     )
@@ -195,7 +196,7 @@ def remove_repeats(
         content.cast("binary").alias("text"),
     )
     repeats = stage(repeated_windows(rows.select("row", "text"), window, run))
-    begins = repeats.groupBy("row").agg(F.collect_list("begin").alias("begins"))
+    begins = repeats.groupBy("row").agg(F.collect_set("begin").alias("begins"))
 
     def clean(batches):
         for part, texts in _documents(batches):

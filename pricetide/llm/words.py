@@ -8,7 +8,7 @@ chance of about 2**-64 per compared pair.
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Rows of one Arrow batch at most: texts of a few kB then come to a few MB.
 BATCH_ROWS = 1_000
@@ -27,6 +27,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     """Spread every input bit over all 64 output bits (a bijection for each salt)."""
     x = x + U64((salt * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % 2**64)

@@ -78,3 +78,12 @@ def test_sketches_of_equal_samples_are_equal():
     samples = np.arange(320, dtype=np.uint64).reshape(2, 160)
     sketch = odd_sketches(np.vstack([samples, samples]))
     assert (sketch[:2] == sketch[2:]).all() and (sketch[0] != sketch[1]).any()
+
+
+def test_rows_of_one_id_count_as_one_document(spark):
+    a, b = "one two three four five six", "other words of which none is in the first one"
+    rows = [(3, a), (5, a), (5, b), (9, b), (11, "alone in all this, as it has its own words")]
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in found) == [
+        (3, 3, True), (5, 3, False), (5, 3, False), (9, 3, False), (11, 11, True),
+    ]

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from pricetide.llm import catalog, fingerprints, substring_dedup
 from pricetide.llm.fingerprints import edited_texts, near_pairs
@@ -170,3 +171,15 @@ def test_many_rows_without_an_id(spark):
     assert got == sorted((str(i), n, h) for i, n, h in expected_edits(ordered))
     with_edges = fingerprints._edited(df, "doc_id", "text")
     assert with_edges.count() == len(rows)
+
+
+def test_equal_rows_cost_no_more_than_their_number(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    sizes = []
+    for n in (10, 40):
+        rows = spark.createDataFrame([(None, text)] * n + [(1, "x " + text)], "doc_id bigint, text string")
+        named = rows.select(F.xxhash64("text").cast("string").alias("row"), F.col("text").cast("binary").alias("text"))
+        sizes.append(substring_dedup.repeated_windows(named).count())
+        found = substring_dedup.remove_repeats(rows).collect()
+        assert {(r["doc_id"], r["n_removed"]) for r in found} == {(None, 40), (1, 40)}
+    assert sizes[1] <= 4 * sizes[0] + 10
