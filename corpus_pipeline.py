@@ -8,6 +8,7 @@ from pricetide.llm import bpe, catalog, language
 from pricetide.llm.decontamination import contamination
 from pricetide.llm.line_dedup import remove_repeated_lines
 from pricetide.llm.near_dedup import near_duplicates
+from pricetide.llm.words import unused
 from pricetide.sources.paths import stage
 
 # SQL has neither the classifier nor BPE; tests compare with plain versions.
@@ -22,9 +23,10 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language.fit(docs.filter(~language.held_out("doc_id") & F.col("doc_id").isNotNull()))
     if not model.labels:
         return docs.filter(language.has_letter("text"))
-    judged = language.predict(docs, model, label="_predicted", score="_score")
-    return judged.filter(F.col("_predicted") != language.UNKNOWN).select(
-        *(F.coalesce(F.col(f"`{c}`").cast("string"), "_predicted").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns)
+    label, score = unused(docs, "_predicted"), unused(docs, "_score")
+    judged = language.predict(docs, model, label=label, score=score)
+    return judged.filter(F.col(label) != language.UNKNOWN).select(
+        *(F.coalesce(F.col(f"`{c}`").cast("string"), label).alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns)
     )
 
 
@@ -37,31 +39,33 @@ def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` written with a number per row, so that rows of null or repeated ids are told apart."""
-    return stage(docs.withColumn("_row", F.monotonically_increasing_id()))
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written with a number per row, so that rows of null or repeated ids are told apart, and the
+    number's name, which no column has."""
+    name = unused(docs, "_row")
+    return stage(docs.withColumn(name, F.monotonically_increasing_id())), name
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates, the least by doc_id (nulls last), then by row."""
-    rows = numbered(docs)
-    grouped = stage(near_duplicates(rows, doc_id="_row").select(F.col("doc_id").alias("_row"), "component_id"))
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    rows, row = numbered(docs)
+    grouped = stage(near_duplicates(rows, doc_id=row).select(F.col("doc_id").alias(row), "component_id"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", row)
     kept = (
-        grouped.join(rows.select("_row", "doc_id"), "_row")
+        grouped.join(rows.select(row, "doc_id"), row)
         .groupBy("component_id")
-        .agg(F.min(order)["_row"].alias("_row"))
-        .select("_row")
+        .agg(F.min(order)[row].alias(row))
+        .select(row)
     )
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    return rows.join(kept, row, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item; each row is judged by its own text."""
-    rows = numbered(docs)
-    judged = contamination(rows, catalog.table(spark, sf_dir, "benchmark"), doc_id="_row")
-    gone = judged.filter("contaminated").select(F.col("doc_id").alias("_row"))
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    rows, row = numbered(docs)
+    judged = contamination(rows, catalog.table(spark, sf_dir, "benchmark"), doc_id=row)
+    gone = judged.filter("contaminated").select(F.col("doc_id").alias(row))
+    return rows.join(gone, row, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
