@@ -88,7 +88,7 @@ def _days_of(batch: DataFrame, day: str) -> list:
     """Distinct days of a batch: a calendar bounds them, not the number of rows."""
     days = [row[0] for row in batch.select(day).distinct().collect()]
     if None in days or "" in days:
-        raise ValueError(f"rows with a NULL or empty {day} have no partition of their own")
+        raise ValueError(f"rows with a NULL {day}, or an empty one, have no partition of their own")
     return days
 
 
