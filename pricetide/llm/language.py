@@ -45,7 +45,7 @@ def _characters(text: str) -> np.ndarray:
 
 
 def grams(codes: np.ndarray) -> Iterator[np.ndarray]:
-    """Buckets of all n-grams, one array per n."""
+    """Buckets of all n-grams that begin in the first ``PIECE_CHARS`` characters, one array per n."""
     for n in range(1, LONGEST + 1):
         if len(codes) < n:
             return
@@ -53,13 +53,13 @@ def grams(codes: np.ndarray) -> Iterator[np.ndarray]:
         for j in range(n):
             h = (h ^ codes[j : len(codes) - n + 1 + j]) * np.uint32(0x9E3779B1)
             h ^= h >> np.uint32(15)
-        yield h & np.uint32(BUCKETS - 1)
+        yield h[:PIECE_CHARS] & np.uint32(BUCKETS - 1)
 
 
 def _pieces(codes: np.ndarray) -> Iterator[np.ndarray]:
-    """A long text in pieces; n-grams over a border of pieces are left out."""
+    """A long text in pieces that reach into the next one, so that no n-gram over a border is lost."""
     for begin in range(0, len(codes), PIECE_CHARS):
-        yield codes[begin : begin + PIECE_CHARS]
+        yield codes[begin : begin + PIECE_CHARS + LONGEST - 1]
 
 
 @dataclass(frozen=True)

@@ -130,6 +130,16 @@ def test_a_text_is_judged_by_itself(spark):
     assert model.score("x" * (3 * language.PIECE_CHARS)) == ("a", 0.5)
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 30])
+def test_pieces_have_the_grams_of_the_whole(monkeypatch, size):
+    codes = np.arange(97, 117, dtype=np.uint32)
+    whole = np.concatenate([g for g in language.grams(codes)])
+    monkeypatch.setattr(language, "PIECE_CHARS", size)
+    cut = np.concatenate([g for piece in language._pieces(codes) for g in language.grams(piece)])
+    assert sorted(cut.tolist()) == sorted(whole.tolist())
+    assert len(cut) == 20 + 19 + 18
+
+
 def test_sharding_query(spark, documents):
     rows = catalog.op8_hash_tree(spark, SF_DIR).collect()
     texts = dict(documents)
