@@ -1,19 +1,20 @@
 """Sharding by a hierarchical weighted hash tree, in DataFrame functions only.
 
-Every shard of the tree draws an exponential variate from the hash of (key, shard), divided
-by its weight. The draw of a rack is the least of its shards' draws, that of a region the
-least of its racks': the least of exponentials is again exponential with the summed weight,
-so each inner node wins in proportion to the weight below it. A row descends to the region,
-rack and shard with the least draw. Raising one weight or adding a shard changes that one
-draw, so rows move only into it; lowering or removing moves only its own rows.
+A row descends the levels region, rack and shard. At each node every child draws an
+exponential variate from the hash of (level, child, key), divided by the summed weight below
+the child; the least draw wins, so a child wins in proportion to its weight. A row draws only
+among the children on its own path: the sum of the levels' widths, not the number of leaves.
+A changed weight alters the draws of the nodes above it alone, so a row that moves leaves or
+enters a subtree whose weight changed; rows elsewhere keep their shards.
 """
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricetide.llm.words import unused
+
 
 @dataclass(frozen=True)
 class Shard:
@@ -29,46 +30,59 @@ def grid(shards: int, per_rack: int = 4, racks_per_region: int = 3) -> list[Shar
     return [Shard(i // per_region, i // per_rack, i) for i in range(shards)]
 
 
-def _least(draws: list[Column]) -> Column:
-    return draws[0] if len(draws) == 1 else F.least(*draws)
+def grown(tree: list[Shard]) -> list[Shard]:
+    """The tree and one shard more, numbered after the last, in a region and rack of its own.
 
+    No other node's weight changes, so rows move only into the new shard. `grid` of one shard
+    more is the same tree where all regions are full (24 shards); elsewhere it fills a rack,
+    and that rack takes rows into its older shards too.
+    """
+    last = max(tree, key=lambda s: s.shard)
+    region, rack = max(s.region for s in tree) + 1, max(s.rack for s in tree) + 1
+    return [*tree, Shard(region, rack, last.shard + 1)]
 
-def _pick(draws: dict, values: dict) -> Column:
-    """The value of the first entry that has the least draw."""
-    best = _least(list(draws.values()))
-    names = list(draws)
-    return reduce(
-        lambda rest, n: F.when(draws[n] <= best, values[n]).otherwise(rest),
-        reversed(names[:-1]),
-        values[names[-1]],
-    )
+
+LEVELS = ("region", "rack", "shard")
+
+
+def _winner(level: int, weights: dict[int, float], key: str) -> Column:
+    """The child with the least draw, the lesser number on a tie; a single child draws nothing."""
+    if len(weights) == 1:
+        return F.lit(next(iter(weights)))
+    draws = []
+    for child, weight in sorted(weights.items()):
+        bits = F.shiftrightunsigned(F.xxhash64(F.lit(level), F.lit(child), F.col(f"`{key}`")), 11)
+        uniform = (bits.cast("double") + 0.5) / F.lit(float(2**53))
+        draws.append(F.struct((-F.log(uniform) / F.lit(weight)).alias("draw"), F.lit(child).alias("child")))
+    return F.array_min(F.array(*draws))["child"]
 
 
 def place(df: DataFrame, tree: list[Shard], key: str, out: str = "shard") -> DataFrame:
-    """Add column ``out``: the shard that the key descends to. A null key is a key."""
+    """Add column ``out``: the shard that the key descends to; a column of that name is replaced.
+
+    A null key is a key. Numbers of racks and shards must be unique in the whole tree.
+    """
     if not tree or any(s.weight <= 0 for s in tree):
         raise ValueError("a tree needs shards with positive weights")
-    columns = df.columns
-    draw = {}
-    for s in tree:
-        bits = F.shiftrightunsigned(F.xxhash64(F.lit(s.shard), F.col(key)), 11)
-        uniform = (bits.cast("double") + 0.5) / F.lit(float(2**53))
-        draw[s.shard] = (-F.log(uniform) / F.lit(s.weight)).alias(f"_draw{s.shard}")
-    drawn = df.select("*", *draw.values())
-    regions: dict[int, dict[int, dict[int, Column]]] = {}
+    # node -> its children's summed weights, the root being None
+    below: list[dict[int | None, dict[int, float]]] = [{}, {}, {}]
     for s in tree:
-        column = F.col(f"_draw{s.shard}")
-        regions.setdefault(s.region, {}).setdefault(s.rack, {})[s.shard] = column
-    region_draw, region_shard = {}, {}
-    for region, racks in regions.items():
-        rack_draw = {rack: _least(list(shards.values())) for rack, shards in racks.items()}
-        rack_shard = {
-            rack: _pick(shards, {n: F.lit(n) for n in shards}) for rack, shards in racks.items()
-        }
-        region_draw[region] = _least(list(rack_draw.values()))
-        region_shard[region] = _pick(rack_draw, rack_shard)
-    chosen = _pick(region_draw, region_shard).cast("int")
-    return drawn.select(*(F.col(f"`{c}`") for c in columns), chosen.alias(out))
+        for level, (node, child) in enumerate(((None, s.region), (s.region, s.rack), (s.rack, s.shard))):
+            children = below[level].setdefault(node, {})
+            children[child] = children.get(child, 0.0) + s.weight
+    if len({s.shard for s in tree}) < len(tree) or len({(s.region, s.rack) for s in tree}) > len(below[2]):
+        raise ValueError("a number of a rack or shard occurs twice")
+    columns = [c for c in df.columns if c.lower() != out.lower()]
+    names = [unused(df, f"_{name}") for name in LEVELS]
+    at = _winner(0, below[0][None], key)
+    for level, name in enumerate(names):
+        df = df.withColumn(name, at)
+        if level + 1 < len(names):
+            choices = [(node, _winner(level + 1, w, key)) for node, w in below[level + 1].items()]
+            at = choices[-1][1]
+            for node, winner in reversed(choices[:-1]):
+                at = F.when(F.col(name) == node, winner).otherwise(at)
+    return df.select(*(F.col(f"`{c}`") for c in columns), F.col(names[-1]).cast("int").alias(out))
 
 
 def number_slots(df: DataFrame, shard: str, order: list[str], out: str = "slot") -> DataFrame:
@@ -106,7 +120,7 @@ def shard_documents(docs: DataFrame, shards: int, doc_id: str = "doc_id", text:
         F.crc32(content.cast("binary")).alias("text_crc32"),
     )
     placed = place(rows, grid(shards), "doc_id", "shard")
-    placed = place(placed, grid(shards + 1), "doc_id", "grown_shard")
+    placed = place(placed, grown(grid(shards)), "doc_id", "grown_shard")
     numbered = number_slots(placed, "shard", ["doc_id", "size", "text_crc32"])
     return numbered.select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
