@@ -18,6 +18,8 @@ BUCKETS, LONGEST = 1 << 15, 3
 SAMPLE_PER_LABEL, MAX_LABELS = 2_000, 1_000
 # Characters worked off at once.
 PIECE_CHARS = 1 << 18
+# Pairs times labels of one step of a batch's product.
+PRODUCT_CELLS = 1 << 21
 
 _tables: list[np.ndarray] = []
 
@@ -40,7 +42,7 @@ def _characters(text: str) -> np.ndarray:
     codes = np.concatenate([[32], codes, [32]]).astype(np.uint32)
     keep = codes != 32
     keep[1:] |= keep[:-1].copy()
-    keep[0] = len(codes) > 1 and bool(codes[1] != 32)
+    keep[0] = True
     return codes[keep]
 
 
@@ -62,25 +64,69 @@ def _pieces(codes: np.ndarray) -> Iterator[np.ndarray]:
         yield codes[begin : begin + PIECE_CHARS + LONGEST - 1]
 
 
+def _counted(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A batch as sparse counts: text, bucket and count of every pair that occurs, by text and bucket."""
+    parts = [
+        buckets.astype(np.int64) + row * BUCKETS for row, codes in enumerate(texts) for buckets in grams(codes)
+    ]
+    pairs, n = np.unique(np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64), return_counts=True)
+    return pairs // BUCKETS, pairs % BUCKETS, n
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     labels: tuple[str, ...]
     log_prior: np.ndarray
     log_likelihood: np.ndarray  # (BUCKETS, labels)
 
+    def _add(self, totals: np.ndarray, rows: list[int], texts: list[np.ndarray]) -> None:
+        """Add the product of a batch's sparse counts with the matrix, some pairs at a time."""
+        row, bucket, n = _counted(texts)
+        step = max(1, PRODUCT_CELLS // max(1, len(self.labels)))
+        for begin in range(0, len(row), step):
+            cut = slice(begin, begin + step)
+            terms = n[cut, None] * self.log_likelihood[bucket[cut]]
+            first = np.flatnonzero(np.r_[True, row[cut][1:] != row[cut][:-1]])
+            # a text's pairs lie together, and each text of the batch is a row of its own
+            totals[np.asarray(rows)[row[cut][first]]] += np.add.reduceat(terms, first, axis=0)
+
+    def score_batch(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """(label, its posterior) of each text; the first label in order wins a tie.
+
+        Texts are counted together in batches of about ``PIECE_CHARS`` characters; a longer one takes several,
+        with the n-grams over their borders counted once.
+        """
+        totals = np.tile(self.log_prior, (len(texts), 1))
+        known = np.zeros(len(texts), dtype=bool)
+        rows: list[int] = []
+        waiting: list[np.ndarray] = []
+        held = 0
+        for i, text in enumerate(texts):
+            codes = _characters(text) if text and self.labels else np.zeros(0, dtype=np.uint32)
+            known[i] = bool((codes != 32).any())
+            if not known[i]:
+                continue
+            for piece in _pieces(codes):
+                # one piece of a text per batch
+                if held + len(piece) > PIECE_CHARS + LONGEST or (rows and rows[-1] == i):
+                    self._add(totals, rows, waiting)
+                    rows, waiting, held = [], [], 0
+                rows.append(i)
+                waiting.append(piece)
+                held += len(piece)
+        if rows:
+            self._add(totals, rows, waiting)
+        out = []
+        for i in range(len(texts)):
+            if not known[i]:
+                out.append((UNKNOWN, 0.0))
+                continue
+            best = int(np.argmax(totals[i]))
+            out.append((self.labels[best], float(round(1 / np.exp(totals[i] - totals[i][best]).sum(), 6))))
+        return out
+
     def score(self, text: str | None) -> tuple[str, float]:
-        """(label, its posterior); the first label in order wins a tie."""
-        codes = _characters(text) if text else np.zeros(0, dtype=np.uint32)
-        if not self.labels or not (codes != 32).any():
-            return UNKNOWN, 0.0
-        total = self.log_prior.copy()
-        for piece in _pieces(codes):
-            for buckets in grams(piece):
-                seen = np.bincount(buckets, minlength=BUCKETS)
-                hit = np.flatnonzero(seen)
-                total += seen[hit].astype(float) @ self.log_likelihood[hit]
-        best = int(np.argmax(total))
-        return self.labels[best], float(round(1 / np.exp(total - total[best]).sum(), 6))
+        return self.score_batch([text])[0]
 
 
 def fit(docs: DataFrame, label: str = "lang", text: str = "text", key: str = "doc_id") -> LanguageModel:
@@ -94,7 +140,7 @@ def fit(docs: DataFrame, label: str = "lang", text: str = "text", key: str = "do
     rows = docs.select(
         F.col(f"`{label}`").cast("string").alias("label"),
         F.col(f"`{text}`").alias("text"),
-        F.xxhash64(F.col(f"`{key}`").cast("string")).alias("draw"),
+        F.xxhash64(F.col(f"`{key}`").cast("string"), F.col(f"`{text}`")).alias("draw"),
     ).filter("label IS NOT NULL AND text IS NOT NULL")
     listed = rows.groupBy("label").count().orderBy("label").limit(MAX_LABELS + 1).collect()
     if len(listed) > MAX_LABELS:
@@ -149,7 +195,7 @@ def predict(
     @F.pandas_udf("label string, score double")
     def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            rows = [shared.value.score(t if isinstance(t, str) else None) for t in texts]
+            rows = shared.value.score_batch([t if isinstance(t, str) else None for t in texts])
             yield pd.DataFrame(rows, columns=["label", "score"])
 
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (label.lower(), score.lower())]
