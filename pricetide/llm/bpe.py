@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricetide.llm.words import small_batches
@@ -27,7 +27,7 @@ REMEMBERED, REMEMBERED_CHARS = 250_000, 40
 # Matches of more bytes are merged one by one.
 SIDE_BY_SIDE_BYTES = 64
 # Texts are worked off in groups of about this many characters, tree rows of about this many cells.
-GROUP_CHARS, GROUP_CELLS = 1 << 21, 1 << 20
+GROUP_CHARS, GROUP_CELLS = 1 << 17, 1 << 19
 
 
 def read_ranks(path: str) -> bytes:
@@ -281,10 +281,5 @@ def decode(df: DataFrame, rank_file: bytes, ids: str = "ids", out: str = "decode
     return df.withColumn(out, decoded(F.col(f"`{ids}`")))
 
 
-def load(spark: SparkSession, path: str) -> bytes:
-    """The rank file at a path the driver sees; executors get its bytes by broadcast."""
-    return read_ranks(path)
-
-
 def token_count(ids: str) -> Column:
     return (F.octet_length(ids) / 4).cast("long")
