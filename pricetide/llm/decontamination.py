@@ -73,22 +73,58 @@ class Segment:
         self.start = np.frombuffer(row.list_start, dtype=np.uint32)
         self.all = np.frombuffer(row.positions, dtype=np.uint32).astype(np.int64)
 
-    def lists(self, wanted: np.ndarray) -> list[np.ndarray | None]:
-        at = np.minimum(np.searchsorted(self.terms, wanted), max(len(self.terms) - 1, 0))
-        if not len(self.terms):
-            return [None] * len(wanted)
-        found = self.terms[at] == wanted
-        return [
-            self.all[self.start[i] : self.start[i + 1]] if ok else None
-            for i, ok in zip(at.tolist(), found.tolist())
-        ]
-
-
-def find(lists: list[np.ndarray | None], slop: int = 0) -> np.ndarray:
+    def where(self, wanted: np.ndarray) -> np.ndarray:
+        """The list of each wanted term (sorted, unique), -1 where the segment lacks it."""
+        at = np.full(len(wanted), -1, dtype=np.int64)
+        if len(wanted) and len(self.terms):
+            place = np.minimum(np.searchsorted(wanted, self.terms), len(wanted) - 1)
+            here = np.flatnonzero(wanted[place] == self.terms)
+            at[place[here]] = here
+        return at
+
+    def list(self, i: int) -> np.ndarray:
+        return self.all[self.start[i] : self.start[i + 1]]
+
+
+def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges [begin, end), one range after the other."""
+    n = end - begin
+    return np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+class Phrases:
+    """Windows of one block of items, each listed under its term that fewest windows have.
+
+    A segment then looks only at windows whose listed term it holds, not at all of them.
+    """
+
+    def __init__(self, owners: dict[bytes, list[str]]):
+        windows = [np.frombuffer(w, dtype=np.uint64) for w in owners]
+        size = np.array([len(w) for w in windows])
+        self.names = list(owners.values())
+        self.first = np.concatenate([[0], np.cumsum(size)])
+        self.terms, slots, n = np.unique(np.concatenate(windows), return_inverse=True, return_counts=True)
+        self.slots = slots.astype(np.int32)
+        window = np.repeat(np.arange(len(windows)), size)
+        key = slots[np.lexsort((n[slots], window))[self.first[:-1]]]
+        self.listed = np.argsort(key, kind="stable")
+        self.list_start = np.searchsorted(key[self.listed], np.arange(len(self.terms) + 1))
+
+    def possible(self, at: np.ndarray) -> np.ndarray:
+        """Windows all of whose terms are there; ``at`` is `Segment.where` of ``terms``."""
+        here = np.flatnonzero(at >= 0)
+        some = self.listed[_ranges(self.list_start[here], self.list_start[here + 1])]
+        if not len(some):
+            return some
+        begin, end = self.first[some], self.first[some + 1]
+        present = at[self.slots[_ranges(begin, end)]] >= 0
+        size = end - begin
+        return some[np.logical_and.reduceat(present, np.cumsum(size) - size)]
+
+
+def find(lists: list[np.ndarray], slop: int = 0) -> np.ndarray:
     """Positions where the phrase begins; with ``slop``, each term may stand that far from
     its place relative to the rarest one."""
-    if any(x is None for x in lists):
-        return np.zeros(0, dtype=np.int64)
     by_size = sorted(range(len(lists)), key=lambda i: len(lists[i]))
     begin = lists[by_size[0]] - by_size[0]
     for i in by_size[1:]:
@@ -105,8 +141,9 @@ def _blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[st
         F.col(f"`{item_id}`").cast("string"), F.col(f"`{text}`").cast("binary")
     ).filter(F.col(f"`{text}`").isNotNull())
     block, size = [], 0
-    for i, t in rows.toLocalIterator():
-        block.append((i or "", bytes(t)))
+    for row, (i, t) in enumerate(rows.toLocalIterator()):
+        # items without an id are told apart by their place
+        block.append((f"?{row}" if i is None else f"={i}", bytes(t)))
         size += len(t)
         if len(block) >= ITEMS_PER_BLOCK or size >= BYTES_PER_BLOCK:
             yield block
@@ -144,7 +181,8 @@ def contamination(
     an empty or null one). A word of a document is hit if it lies in an occurrence of a
     window; ``spans`` are [first, end) ranges of hit words, and ``items`` the items with a
     window that occurs. Words are runs of digits, letters and characters beyond ASCII, A-Z in
-    lower case. ``slop`` > 0 adds proximity matches (`find`). A null text has no words; rows
+    lower case. Items of equal id are one item; each item without an id is one of its own, named by an
+    empty string. ``slop`` > 0 adds proximity matches (`find`). A null text has no words; rows
     with equal or null ids are documents of their own. Items go to the executors in blocks
     of bounded size; other columns are not read.
     """
@@ -153,24 +191,19 @@ def contamination(
     index = build_index(docs, length + slop, doc_id, text)
     index = index.withColumn("found", F.array().cast("array<binary>"))
     schema = f"{_INDEX}, found array<binary>"
-    blocks = list_blocks = 0
 
     def searcher(shared):
         def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            owners = shared.value
-            windows = [np.frombuffer(w, dtype=np.uint64) for w in owners]
-            wanted = np.unique(np.concatenate(windows))
-            slots = [np.searchsorted(wanted, w).tolist() for w in windows]
-            names = list(owners.values())
+            phrases = shared.value
             for batch in batches:
                 out = []
                 for row in batch.itertuples(index=False):
-                    lists, hits = Segment(row).lists(wanted), []
-                    for k, slot in enumerate(slots):
-                        if any(lists[s] is None for s in slot):
-                            continue
-                        for at in find([lists[s] for s in slot], slop).tolist():
-                            hits += [f"{at},{len(slot)},{name}".encode() for name in names[k]]
+                    segment, hits = Segment(row), []
+                    at = segment.where(phrases.terms)
+                    for k in phrases.possible(at).tolist():
+                        slots = phrases.slots[phrases.first[k] : phrases.first[k + 1]]
+                        for begin in find([segment.list(i) for i in at[slots].tolist()], slop).tolist():
+                            hits += [f"{begin},{len(slots)},{name}".encode() for name in phrases.names[k]]
                     out.append([*row.found, *hits])
                 yield batch.assign(found=out)
 
@@ -179,7 +212,7 @@ def contamination(
     for block in _blocks(items, item_id, item_text):
         owners = _windows(block, length)
         if owners:
-            index = index.mapInPandas(searcher(spark.sparkContext.broadcast(owners)), schema)
+            index = index.mapInPandas(searcher(spark.sparkContext.broadcast(Phrases(owners))), schema)
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         gap = length + slop
@@ -208,7 +241,9 @@ def contamination(
                             "doc_id": i,
                             "n_words": n,
                             "n_hit": sum(high - low for low, high in merged),
-                            "items": sorted({item for *_, item in found.get(d, [])}),
+                            "items": sorted(
+                                item[1:] if item[0] == "=" else "" for item in {x[2] for x in found.get(d, [])}
+                            ),
                             "spans": [{"first": low, "end": high} for low, high in merged],
                         }
                     )

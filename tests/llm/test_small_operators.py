@@ -7,6 +7,7 @@ import random
 import re
 import struct
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -14,7 +15,7 @@ import pytest
 import tiktoken
 import xxhash
 
-from pricetide.llm import bpe, catalog, language, sharding
+from pricetide.llm import bpe, catalog, decontamination, language, sharding
 from pricetide.llm.decontamination import contamination, find
 from pricetide.llm.url_filter import UrlTrie, judge_urls, split_url
 from tests.llm.conftest import SF_DIR
@@ -314,8 +315,6 @@ def test_contamination_query(spark, documents):
 
 
 def test_contamination_small_windows(spark, monkeypatch):
-    from pricetide.llm import decontamination
-
     monkeypatch.setattr(decontamination, "SEGMENT_BYTES", 200)
     monkeypatch.setattr(decontamination, "ITEMS_PER_BLOCK", 3)
     draw = random.Random(2)
@@ -340,6 +339,30 @@ def test_proximity():
     assert find(lists, slop=1).tolist() == [4]
 
 
+def test_only_possible_windows_are_looked_at():
+    draw = random.Random(4)
+    windows = [np.array([draw.randrange(40) for _ in range(draw.choice([1, 2, 5]))], dtype=np.uint64) for _ in range(200)]
+    phrases = decontamination.Phrases({w.tobytes(): [str(k)] for k, w in enumerate(windows)})
+    unique = [np.frombuffer(w, dtype=np.uint64) for w in dict.fromkeys(w.tobytes() for w in windows)]
+    for size in (0, 1, 10, 30, 40):
+        held = np.array(sorted(draw.sample(range(45), size)), dtype=np.uint64)
+        segment = SimpleNamespace(
+            terms=held.tobytes(),
+            list_start=np.arange(size + 1, dtype=np.uint32).tobytes(),
+            positions=np.arange(size, dtype=np.uint32).tobytes(),
+        )
+        at = decontamination.Segment(segment).where(phrases.terms)
+        want = [k for k, w in enumerate(unique) if np.isin(w, held).all()]
+        assert sorted(phrases.possible(at).tolist()) == want
+
+
+def test_items_without_an_id_count_one_by_one(spark):
+    docs = spark.createDataFrame([(1, "one two three"), (2, "two")], "doc_id int, text string")
+    items = spark.createDataFrame([(None, "one"), (None, "two"), ("", "three"), ("a", "one"), ("a", "two")], "item_id string, text string")
+    found = {r["doc_id"]: r["items"] for r in contamination(docs, items).collect()}
+    assert found == {1: ["", "", "", "a"], 2: ["", "a"]}
+
+
 def test_contamination_odd_rows(spark, odd_rows):
     items = spark.createDataFrame([(1, "one two"), (None, "byte é"), (3, None)], "item_id bigint, text string")
     rows = contamination(odd_rows, items).collect()
