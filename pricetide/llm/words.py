@@ -10,8 +10,8 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-# Rows of one Arrow batch at most: texts of a few kB then come to a few MB.
-BATCH_ROWS = 1_000
+# Rows and bytes of one Arrow batch at most; a longer row is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
 
 U64 = np.uint64
 # Text is hashed in pieces of about this many bytes, cut between words, so that memory does
@@ -20,11 +20,13 @@ PIECE_BYTES = 1 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hold the session's Arrow batches to ``BATCH_ROWS`` rows: whole texts are wide, and a
-    batch is held several times between the JVM and its Python worker."""
+    """Hold the session's Arrow batches to ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes: whole texts and
+    postings are wide, and a batch is held several times between the JVM and its Python worker. The settings
+    stay, since frames are evaluated later."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name, "10000")) <= BATCH_ROWS:
         spark.conf.set(name, str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def unused(df: DataFrame, name: str) -> str:
