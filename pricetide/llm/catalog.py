@@ -18,6 +18,7 @@ from pricetide.llm.substring_dedup import remove_repeats
 from pricetide.llm.token_counts import count_tokens, write_token_files
 from pricetide.llm.url_filter import judge_urls
 from pricetide.llm.whitening import whiten
+from pricetide.sources.paths import StageScope
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,7 +47,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
     docs = table(spark, sf_dir, "documents").select("text")
     encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return count_tokens(spark, write_token_files(encoded, SEPARATOR), SEPARATOR)
+    with StageScope(spark) as scope:
+        folder = write_token_files(encoded, SEPARATOR)
+        scope.folders.append(folder)
+        return scope.result(count_tokens(spark, folder, SEPARATOR))
 
 
 def op2_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricetide.llm.words import ALPHANUMERIC, hash_words, small_batches
-from pricetide.sources.paths import stage
+from pricetide.sources.paths import StageScope, stage
 
 # A segment ends with the document that brings it to so many bytes of text.
 SEGMENT_BYTES = 4 << 20
@@ -184,8 +184,15 @@ def contamination(
     lower case. Items of equal id are one item; each item without an id is one of its own, named by an
     empty string. ``slop`` > 0 adds proximity matches (`find`). A null text has no words; rows
     with equal or null ids are documents of their own. Items go to the executors in blocks
-    of bounded size; other columns are not read.
+    of bounded size; other columns are not read. The result is a written table; the index is deleted.
     """
+    with StageScope(docs.sparkSession) as scope:
+        return scope.result(_judged(docs, items, length, slop, doc_id, text, item_id, item_text))
+
+
+def _judged(
+    docs: DataFrame, items: DataFrame, length: int, slop: int, doc_id: str, text: str, item_id: str, item_text: str
+) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     index = build_index(docs, length + slop, doc_id, text)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pricetide.llm.components import components, thin_out
 from pricetide.llm.words import BATCH_ROWS, MinHash, U64, mix, shingle_sets, small_batches
-from pricetide.sources.paths import stage
+from pricetide.sources.paths import StageScope, stage
 
 SHINGLE_WORDS = 5
 # A pair of similarity 0.75 shares none of 40 bands of 4 with a chance of 3e-7.
@@ -257,7 +257,14 @@ def near_duplicates(
        its buckets: the one whose buckets are the largest together.
     3. Components of these links; then pairs of one bucket that are still in different
        components are compared as well, so that no link is lost.
+
+    The result is a written table; all tables on the way are deleted.
     """
+    with StageScope(docs.sparkSession) as scope:
+        return scope.result(_judged(docs, percent, doc_id, text))
+
+
+def _judged(docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame:
     rows = docs.select(
         F.col(f"`{doc_id}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("binary").alias("text")
     )

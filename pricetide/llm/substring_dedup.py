@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricetide.llm.words import BATCH_ROWS, SPACED, U64, combine, hash_words, mix, small_batches
-from pricetide.sources.paths import stage
+from pricetide.sources.paths import StageScope, stage
 
 WINDOW_WORDS, RUN_WORDS = 35, 5
 # A minimiser with more strings than this is counted window by window.
@@ -195,7 +195,8 @@ def remove_repeats(
         F.col(f"`{doc_id}`").cast("string").alias("doc_id"),
         content.cast("binary").alias("text"),
     )
-    repeats = stage(repeated_windows(rows.select("row", "text"), window, run))
+    with StageScope(docs.sparkSession) as scope:
+        repeats = scope.result(repeated_windows(rows.select("row", "text"), window, run))
     begins = repeats.groupBy("row").agg(F.collect_set("begin").alias("begins"))
 
     def clean(batches):

@@ -2,9 +2,13 @@
 
 import random
 import re
+import uuid
 
 from pricetide.llm import catalog
+from pricetide.llm.decontamination import contamination
 from pricetide.llm.near_dedup import near_duplicates, odd_sketches
+from pricetide.llm.substring_dedup import remove_repeats
+from pricetide.sources import paths
 from tests.llm.conftest import SF_DIR
 
 
@@ -87,3 +91,13 @@ def test_rows_of_one_id_count_as_one_document(spark):
     assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in found) == [
         (3, 3, True), (5, 3, False), (5, 3, False), (9, 3, False), (11, 11, True),
     ]
+
+
+def test_only_the_results_stay_on_disk(spark, monkeypatch, tmp_path, documents):
+    monkeypatch.setattr(paths, "scratch_path", lambda spark: str(tmp_path / uuid.uuid4().hex))
+    docs = spark.createDataFrame(documents[:80], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, " ".join(documents[0][1].split()[:12]))], "item_id int, text string")
+    assert near_duplicates(docs).count() == 80
+    assert contamination(docs, items).count() == 80
+    assert remove_repeats(docs).count() == 80
+    assert len(list(tmp_path.iterdir())) == 3
