@@ -9,7 +9,7 @@ from pricetide.llm.decontamination import contamination
 from pricetide.llm.line_dedup import remove_repeated_lines
 from pricetide.llm.near_dedup import near_duplicates
 from pricetide.llm.words import unused
-from pricetide.sources.paths import stage
+from pricetide.sources.paths import StageScope, stage
 
 # SQL has neither the classifier nor BPE; tests compare with plain versions.
 ORACLE_SQL = None
@@ -49,7 +49,7 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates, the least by doc_id (nulls last), then by row."""
     rows, row = numbered(docs)
-    grouped = stage(near_duplicates(rows, doc_id=row).select(F.col("doc_id").alias(row), "component_id"))
+    grouped = near_duplicates(rows, doc_id=row).select(F.col("doc_id").alias(row), "component_id")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", row)
     kept = (
         grouped.join(rows.select(row, "doc_id"), row)
@@ -94,8 +94,9 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
+    """All stages over the documents of ``sf_dir``; what a stage wrote on its way is deleted after it."""
     docs = catalog.table(spark, sf_dir, "documents")
     for _, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir))
+        with StageScope(spark) as scope:
+            docs = scope.result(step(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
