@@ -38,8 +38,12 @@ def _part_pages(spark: SparkSession, sf_dir: str, site: str, markup: Column) ->
         secs=F.col("p_partkey").cast("decimal(18,6)")
     )
     price = F.floor("p_retailprice")
+    # rows of a few bytes become pages here, so a task would get all pages of a row group of up to a million parts
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return (
         spark.read.parquet(f"{sf_dir}/part.parquet")
+        .select("p_partkey", "p_name", "p_brand", "p_retailprice")
+        .repartition(tasks)
         .withColumns(
             {
                 "price": _rupees(price),

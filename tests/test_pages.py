@@ -3,6 +3,7 @@ import datetime
 import pytest
 
 from pricetide.schema import PAGES, RAW
+from pricetide.sources.observations import shop_a_pages, shop_b_pages
 from pricetide.sources.pages import (
     FieldRule,
     extract_fields,
@@ -214,3 +215,12 @@ def test_long_tags_do_not_exhaust_the_stack(spark):
     html = f"<div {many} style='{'x' * 500_000}' class='c'>₹5</div>"
     df = spark.createDataFrame([(html,)], "html string")
     assert extract_fields(df, {"p": FieldRule("div", ("c",))}).first().p == "₹5"
+
+
+def test_pages_of_one_row_group_are_dealt_to_all_tasks(spark, tmp_path):
+    columns = "p_partkey long, p_name string, p_brand string, p_retailprice double"
+    parts = [*((i, f"part {i}", "Brand#1", 900.0 + i) for i in range(400)), (7, "part 7", "Brand#1", 907.0), (None, None, None, None)]
+    spark.createDataFrame(parts, columns).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    for made in (shop_a_pages(spark, str(tmp_path)), shop_b_pages(spark, str(tmp_path))):
+        sizes = made.rdd.glom().map(len).collect()
+        assert sum(sizes) == len(parts) and len(sizes) == 4 and min(sizes) > 50
