@@ -6,9 +6,12 @@ segment number, text) and probes with those of its substrings that a line up to
 segment there (4 keys a line for k = 1, 15 for k = 2). Lines that meet under a key are candidates,
 which a banded bit-parallel edit distance verifies.
 
-A key under which many lines meet (a common beginning) is not paired out. What is left of
+Under a key, lines are compared by their lengths and packed letter counts; only pairs that pass leave
+the join. A key under which very many lines meet (a common beginning) is not paired out. What is left of
 its lines without the shared segment must still be within k edits, so the join is repeated
-on these rests inside the key, until few lines meet or at most 2k characters are left.
+on these rests inside the key, until fewer lines meet or at most 2k characters are left. For k = 2 a line
+with one change of its own keeps two of three segments, so every repetition doubles its rests: comparing
+a few hundred lines costs less.
 """
 
 from collections.abc import Callable, Iterator
@@ -31,8 +34,10 @@ WHITE = "".join(filter(str.isspace, map(chr, range(0x3001))))
 COUNTED = "0123456789abcdefghijklmnopqrstuvwxyz"
 # Shorter lines are compared for equality alone.
 MIN_CHARS = 20
-# Up to so many lines under one key are paired with each other; beyond, the key is refined.
-CROWDED = 8
+# Letters whose counts, a byte each, are packed into numbers and compared inside the join.
+PACKED = ("aq", "bt0", "cs1", "dy2", "e3", "f4l", "gu5", "hj6", "i7k", "m8o", "n9v", "pr", "w", "x", "z", " ")
+# Up to so many lines under one key are compared with each other; beyond, the key is refined.
+CROWDED = 512
 
 
 @contextmanager
@@ -177,7 +182,8 @@ def _banded(a: Column, b: Column, edits: int) -> Column:
     end = F.aggregate(
         F.sequence(F.lit(1), size_b),
         start,
-        lambda s, j: _let(_let(_let(step(s, j), move), across), settle),
+        # along the last row the distance falls at most ``edits`` times
+        lambda s, j: F.when(s["distance"] > 2 * edits, s).otherwise(_let(_let(_let(step(s, j), move), across), settle)),
     )
     return (size_a - size_b <= edits) & (end["distance"] <= edits)
 
@@ -192,18 +198,47 @@ def like_counts(a: Column, b: Column, edits: int) -> Column:
     return reduce(add, apart) <= 2 * edits
 
 
-def _pairs(members: DataFrame, keys: DataFrame) -> DataFrame:
-    """Pairs of lines that meet under the keys; two lines of one class (column component) are none."""
-    few = members.join(keys, "key")
+def packed_counts(text: Column) -> list[Column]:
+    """Counts of the letters of `PACKED` modulo 256, eight in a number, then the length in characters."""
+    def count(letters: str) -> Column:
+        return reduce(add, [F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c), F.lit(""))) for c in letters])
+
+    numbers = []
+    for begin in range(0, len(PACKED), 8):
+        parts = [
+            F.call_function("shiftleft", (count(letters) % 256).cast("long"), F.lit(8 * k))
+            for k, letters in enumerate(PACKED[begin : begin + 8])
+        ]
+        numbers.append(reduce(lambda x, y: x.bitwiseOR(y), parts))
+    return [*numbers, F.char_length(text)]
+
+
+def like_packed(a: list[Column], b: list[Column], edits: int) -> Column:
+    """Whether two results of `packed_counts` allow ``edits`` edits; no similar pair fails this."""
+    byte = lambda number, k: F.call_function("shiftrightunsigned", number, F.lit(8 * k)).bitwiseAND(F.lit(255)).cast("int")
+    apart = []
+    for x, y in zip(a[:-1], b[:-1]):
+        for k in range(8):
+            off = F.abs(byte(x, k) - byte(y, k))
+            apart.append(F.least(off, 256 - off))
+    return (F.abs(a[-1] - b[-1]) <= edits) & (reduce(add, apart) <= 2 * edits)
+
+
+def _pairs(members: DataFrame, keys: DataFrame, counts: DataFrame, edits: int) -> DataFrame:
+    """Pairs of lines that meet under the keys and have like ``counts``; two lines of one class (column component) are none."""
+    packed = [c for c in counts.columns if c != "line"]
+    few = members.join(keys, "key").join(counts, "line")
     side = lambda name: few.select(
-        *(F.col(c).alias(f"{c}_{name}") for c in ("key", "own", "component")), F.col("line").alias(name)
+        *(F.col(c).alias(f"{c}_{name}") for c in ("key", "own", "component", *packed)), F.col("line").alias(name)
     )
+    of = lambda name: [F.col(f"{c}_{name}") for c in packed]
     return side("a").join(
         side("b"),
         (F.col("key_a") == F.col("key_b"))
         & (F.col("a") < F.col("b"))
         & (F.col("own_a") | F.col("own_b"))
-        & (F.col("component_a") != F.col("component_b")),
+        & (F.col("component_a") != F.col("component_b"))
+        & like_packed(of("a"), of("b"), edits),
     ).select("a", "b")
 
 
@@ -268,7 +303,7 @@ def near_lines(
     zero = F.lit(0).cast("long")
     if index is None:
         index = with_keys(hashed(lines).withColumn("prefix", zero), "rest", edits)
-    frontier, texts, labels, links, found = None, None, None, None, []
+    frontier, texts, counts, labels, links, found = None, None, None, None, None, []
     start, size = segment_place("at", "chars", edits)
     while True:
         keyed = index if frontier is None else with_keys(frontier, "rest", edits)
@@ -295,6 +330,8 @@ def near_lines(
             some = hashed(lines if holding is None else holding(wanted))
             texts = stage(thin_out(some, "line", wanted, "line").join(wanted, "line", "left_semi").distinct())
             frontier = texts.withColumn("prefix", zero)
+            packed = {f"counts{k}": c for k, c in enumerate(packed_counts(F.col("rest")))}
+            counts = stage(texts.withColumns(packed).drop("rest"))
         placed = _placed(members, labels)
         if spanning:
             around = stage(_similar(_stars(placed), texts, edits))
@@ -308,7 +345,7 @@ def near_lines(
                 (F.min("component") < F.max("component")).alias("open"),
             ).filter("open")
         )
-        found.append(stage(_pairs(placed, sizes.filter("NOT refine").select("key")).distinct()))
+        found.append(stage(_pairs(placed, sizes.filter("NOT refine").select("key"), counts, edits).distinct()))
         hot = members.join(sizes.filter("refine").select("key"), "key")
         if hot.isEmpty():
             break

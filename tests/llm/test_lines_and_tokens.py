@@ -10,8 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pricetide.llm import bpe, catalog, token_counts
-from pricetide.llm.line_dedup import near_lines, remove_repeated_lines, within
+from pricetide.llm import bpe, catalog, line_dedup, token_counts
+from pricetide.llm.line_dedup import like_packed, near_lines, packed_counts, remove_repeated_lines, within
 from pricetide.llm.token_counts import count_tokens, write_token_files
 from tests.llm.conftest import SF_DIR
 from tests.llm.test_near_dedup import brute as brute_near
@@ -97,6 +97,37 @@ def test_spanning_links_connect_the_same(spark, edits, crowded):
     assert len(links) < len(all_links) / 2
 
 
+def test_family_of_far_lines_takes_one_round(spark, monkeypatch):
+    """60 lines with a word of four letters of their own each, four edits or more apart, but for three pairs."""
+    draw = random.Random(5)
+    words = ["".join(draw.choice("etaoinshr") for _ in range(4)) for _ in range(16)]
+    lines = []
+    for _ in range(60):
+        at = draw.randrange(16)
+        lines.append(" ".join([*words[:at], words[at] + "".join(draw.choice("bcdfgklmpuwy") for _ in range(4)), *words[at + 1 :]]))
+    lines = sorted({*lines, lines[0] + "x", lines[1][1:], lines[2][:-1] + "qq"})
+    rounds = []
+    keyed = line_dedup.with_keys
+    monkeypatch.setattr(line_dedup, "with_keys", lambda *a: rounds.append(1) or keyed(*a))
+    df = spark.createDataFrame([(x,) for x in lines], "text string")
+    name = {r["h"]: r["text"] for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    got = {frozenset((name[r["a"]], name[r["b"]])) for r in near_lines(df, 2, spanning=True).collect()}
+    near = {frozenset(p) for p in itertools.combinations(lines, 2) if abs(len(p[0]) - len(p[1])) <= 2 and distance(*p) <= 2}
+    assert got == near and len(near) >= 3
+    assert len(rounds) == 1
+
+
+def test_packed_counts_pass_all_similar_pairs(spark):
+    draw = random.Random(7)
+    base = ["a" * 300, "é q" * 100, "", *("".join(draw.choice("abcxyz 019é") for _ in range(n)) for n in range(10, 60))]
+    rows = [(x, edited(draw, x or "b", k, "abz 0é")) for x in base for k in (1, 2)] + [("a" * 256, "a" * 258), ("abc" * 9, "xyz" * 9)]
+    a, b = packed_counts(F.col("a")), packed_counts(F.col("b"))
+    df = spark.createDataFrame(rows, "a string, b string").select("a", "b", like_packed(a, b, 2).alias("like"))
+    for r in df.collect():
+        assert r["like"] or distance(r["a"], r["b"]) > 2
+    assert not df.filter("a LIKE 'abcabc%'").first()["like"]
+
+
 def brute_lines(rows, min_chars=20):
     """(id, text) -> (id, text left, lines, removed), with rows in the order of their ids."""
     first, distinct = {}, []
