@@ -36,14 +36,17 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
+def token_ids(rank_file: bytes) -> dict[bytes, int]:
+    lines = (line.split() for line in rank_file.splitlines() if line.strip())
+    return {base64.b64decode(token): int(rank) for token, rank in lines}
+
+
 class Vocabulary:
     def __init__(self, rank_file: bytes):
-        lines = (line.split() for line in rank_file.splitlines() if line.strip())
-        self.ids = {base64.b64decode(token): int(rank) for token, rank in lines}
+        self.ids = token_ids(rank_file)
         missing = [b for b in range(256) if bytes([b]) not in self.ids]
         if missing:
             raise ValueError(f"the vocabulary lacks the bytes {missing}")
-        self.tokens = {i: token for token, i in self.ids.items()}
         self.of_byte = np.array([self.ids[bytes([b])] for b in range(256)], dtype=np.int64)
         pairs = {}
         for token, rank in self.ids.items():
@@ -227,6 +230,7 @@ class Encoder:
 
 _encoders: dict[tuple, Encoder] = {}
 _vocabularies: dict[int, Vocabulary] = {}
+_tokens: dict[int, dict[int, bytes]] = {}
 
 
 def _vocabulary(rank_file: bytes) -> Vocabulary:
@@ -237,6 +241,14 @@ def _vocabulary(rank_file: bytes) -> Vocabulary:
     return _vocabularies[key]
 
 
+def _tokens_of(rank_file: bytes) -> dict[int, bytes]:
+    """Bytes of each id, one table per Python worker; decoding needs no more of a vocabulary."""
+    key = hash(rank_file)
+    if key not in _tokens:
+        _tokens[key] = {i: token for token, i in token_ids(rank_file).items()}
+    return _tokens[key]
+
+
 def encode(
     df: DataFrame,
     rank_file: bytes,
@@ -271,7 +283,7 @@ def decode(df: DataFrame, rank_file: bytes, ids: str = "ids", out: str = "decode
 
     @F.pandas_udf("binary")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        token = _vocabulary(shared.value).tokens.__getitem__
+        token = _tokens_of(shared.value).__getitem__
         for column in batches:
             yield pd.Series(
                 [b"".join(map(token, np.frombuffer(x or b"", dtype="<u4").tolist())) for x in column],
