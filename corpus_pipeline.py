@@ -71,8 +71,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text (binary, 32-bit little-endian), their count, and whether they decode to the text."""
     ranks = bpe.read_ranks(public_tokenizers.path(catalog.RANK_FILE))
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, out="_ids")
-    decoded = bpe.decode(encoded, ranks, ids="_ids", out="_decoded")
+    decoded = bpe.encode_and_decode(docs, ranks, public_tokenizers.PATTERN, ids="_ids", out="_decoded")
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return decoded.select(
         "doc_id",

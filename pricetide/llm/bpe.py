@@ -9,8 +9,9 @@ side by side, one numpy row each; a long one alone, in plain lists.
 """
 
 import base64
+from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,7 +19,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetide.llm.words import small_batches
+from pricetide.llm.words import small_batches, unused
 
 NONE = np.iinfo(np.int64).max
 # Ids of short strings are remembered per Python worker, up to so many; then the memory
@@ -48,26 +49,25 @@ class Vocabulary:
         if missing:
             raise ValueError(f"the vocabulary lacks the bytes {missing}")
         self.of_byte = np.array([self.ids[bytes([b])] for b in range(256)], dtype=np.int64)
-        pairs = {}
+        self.tokens = {i: token for token, i in self.ids.items()}
+        pairs, ranks = array("q"), array("q")
         for token, rank in self.ids.items():
             for cut in range(1, len(token)):
                 left, right = self.ids.get(token[:cut]), self.ids.get(token[cut:])
                 if left is not None and right is not None:
-                    pairs[left << 32 | right] = rank
-        self.pair_ranks = pairs
-        self._fill_slots(pairs)
+                    pairs.append(left << 32 | right)
+                    ranks.append(rank)
+        self._fill_slots(np.array(pairs, dtype=np.int64), np.array(ranks, dtype=np.int64))
         self.of_bytes = self.rank(np.repeat(self.of_byte, 256), np.tile(self.of_byte, 256))
 
     def _slot(self, pairs: np.ndarray) -> np.ndarray:
         return ((pairs ^ pairs >> 29) * 0x1E3779B97F4A7C15 >> 40) & self.mask
 
-    def _fill_slots(self, pairs: dict[int, int]) -> None:
+    def _fill_slots(self, left: np.ndarray, ranks: np.ndarray) -> None:
         """A hash table with linear probing, for lookups of many pairs at once."""
-        self.mask = (1 << (8 * len(pairs) + 8).bit_length()) - 1
+        self.mask = (1 << (8 * len(left) + 8).bit_length()) - 1
         self.slots = np.full(self.mask + 1, -1)
         self.merged = np.full(self.mask + 1, -1)
-        left = np.array(list(pairs), dtype=np.int64)
-        ranks = np.array(list(pairs.values()), dtype=np.int64)
         at = self._slot(left)
         while len(left):
             order = np.flatnonzero(self.slots[at] < 0)
@@ -167,13 +167,14 @@ class Vocabulary:
     def _merge_long(self, piece: bytes) -> bytes:
         n = len(piece)
         width = 1 << (n - 1).bit_length()
-        ranks, token = self.pair_ranks, self.of_byte[np.frombuffer(piece, dtype=np.uint8)].tolist()
+        ranks, tokens = self.ids, self.tokens
+        token = self.of_byte[np.frombuffer(piece, dtype=np.uint8)].tolist()
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         tree = [NONE] * (2 * width)
 
         def leaf(position):
             right = after[position]
-            rank = ranks.get(token[position] << 32 | token[right]) if right < n else None
+            rank = ranks.get(tokens[token[position]] + tokens[token[right]]) if right < n else None
             return NONE if rank is None else rank * width + position
 
         for i in range(n):
@@ -244,11 +245,26 @@ def _vocabulary(rank_file: bytes) -> Vocabulary:
 def _tokens_of(rank_file: bytes) -> dict[int, bytes]:
     """Bytes of each id, one table per Python worker; decoding needs no more of a vocabulary."""
     key = hash(rank_file)
+    if key in _vocabularies:
+        return _vocabularies[key].tokens
     if key not in _tokens:
         _tokens[key] = {i: token for token, i in token_ids(rank_file).items()}
     return _tokens[key]
 
 
+def _encoder(rank_file: bytes, pattern: str) -> Encoder:
+    """One per Python worker."""
+    key = (hash(rank_file), pattern)
+    if key not in _encoders:
+        _encoders[key] = Encoder(_vocabulary(rank_file), pattern)
+    return _encoders[key]
+
+
+def _bytes_of(column: Iterable[bytes | None], tokens: dict[int, bytes]) -> list[bytes]:
+    token = tokens.__getitem__
+    return [b"".join(map(token, np.frombuffer(x or b"", dtype="<u4").tolist())) for x in column]
+
+
 def encode(
     df: DataFrame,
     rank_file: bytes,
@@ -267,11 +283,9 @@ def encode(
 
     @F.pandas_udf("binary")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        key = (hash(shared.value), pattern)
-        if key not in _encoders:
-            _encoders[key] = Encoder(_vocabulary(shared.value), pattern)
+        encoder = _encoder(shared.value, pattern)
         for texts in batches:
-            yield pd.Series(_encoders[key].encode(texts.fillna("").tolist()), dtype=object)
+            yield pd.Series(encoder.encode(texts.fillna("").tolist()), dtype=object)
 
     return df.withColumn(out, encoded(F.col(f"`{text}`")))
 
@@ -283,15 +297,41 @@ def decode(df: DataFrame, rank_file: bytes, ids: str = "ids", out: str = "decode
 
     @F.pandas_udf("binary")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        token = _tokens_of(shared.value).__getitem__
+        tokens = _tokens_of(shared.value)
         for column in batches:
-            yield pd.Series(
-                [b"".join(map(token, np.frombuffer(x or b"", dtype="<u4").tolist())) for x in column],
-                dtype=object,
-            )
+            yield pd.Series(_bytes_of(column, tokens), dtype=object)
 
     return df.withColumn(out, decoded(F.col(f"`{ids}`")))
 
 
+def encode_and_decode(
+    df: DataFrame,
+    rank_file: bytes,
+    pattern: str,
+    text: str = "text",
+    ids: str = "ids",
+    out: str = "decoded",
+) -> DataFrame:
+    """What `decode` makes of the ids of `encode`, by one Python worker per task in place of two side by side.
+
+    Existing columns ``ids`` and ``out`` are replaced.
+    """
+    small_batches(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(rank_file)
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = _encoder(shared.value, pattern)
+        for texts in batches:
+            found = encoder.encode(texts.fillna("").tolist())
+            yield pd.DataFrame({"ids": found, "decoded": _bytes_of(found, encoder.vocabulary.tokens)}, dtype=object)
+
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in (ids.lower(), out.lower())]
+    pair = unused(df, "_pair")
+    return df.select(*kept, both(F.col(f"`{text}`")).alias(pair)).select(
+        *kept, F.col(f"{pair}.ids").alias(ids), F.col(f"{pair}.decoded").alias(out)
+    )
+
+
 def token_count(ids: str) -> Column:
     return (F.octet_length(ids) / 4).cast("long")

@@ -68,8 +68,7 @@ def op2_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded.select("doc_id", "ids"), ranks)
+    decoded = bpe.encode_and_decode(docs, ranks, public_tokenizers.PATTERN)
     return decoded.select(
         "doc_id",
         bpe.token_count("ids").alias("n_tokens"),

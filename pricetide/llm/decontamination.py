@@ -196,31 +196,21 @@ def _judged(
     spark = docs.sparkSession
     small_batches(spark)
     index = build_index(docs, length + slop, doc_id, text)
-    index = index.withColumn("found", F.array().cast("array<binary>"))
-    schema = f"{_INDEX}, found array<binary>"
-
-    def searcher(shared):
-        def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            phrases = shared.value
-            for batch in batches:
-                out = []
-                for row in batch.itertuples(index=False):
-                    segment, hits = Segment(row), []
-                    at = segment.where(phrases.terms)
-                    for k in phrases.possible(at).tolist():
-                        slots = phrases.slots[phrases.first[k] : phrases.first[k + 1]]
-                        for begin in find([segment.list(i) for i in at[slots].tolist()], slop).tolist():
-                            hits += [f"{begin},{len(slots)},{name}".encode() for name in phrases.names[k]]
-                    out.append([*row.found, *hits])
-                yield batch.assign(found=out)
-
-        return search
-
-    for block in _blocks(items, item_id, item_text):
-        owners = _windows(block, length)
-        if owners:
-            index = index.mapInPandas(searcher(spark.sparkContext.broadcast(Phrases(owners))), schema)
-
+    blocks = [
+        spark.sparkContext.broadcast(Phrases(owners))
+        for block in _blocks(items, item_id, item_text)
+        if (owners := _windows(block, length))
+    ]
+
+    def search(segment: Segment, phrases: Phrases) -> Iterator[tuple[int, int, str]]:
+        at = segment.where(phrases.terms)
+        for k in phrases.possible(at).tolist():
+            slots = phrases.slots[phrases.first[k] : phrases.first[k + 1]]
+            for begin in find([segment.list(i) for i in at[slots].tolist()], slop).tolist():
+                for name in phrases.names[k]:
+                    yield begin, len(slots), name
+
+    # search and judgement in one step: each step more is another Python worker beside every task
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         gap = length + slop
         for batch in batches:
@@ -229,11 +219,11 @@ def _judged(
                 begins = first[:-1] + np.arange(len(first) - 1) * gap
                 sizes = np.diff(first)
                 found: dict[int, list] = {}
-                for hit in row.found:
-                    at, size, item = bytes(hit).decode().split(",", 2)
-                    doc = int(np.searchsorted(begins + sizes, int(at), side="right"))
-                    low = max(0, int(at) - int(begins[doc]) - slop)
-                    high = min(int(sizes[doc]), int(at) - int(begins[doc]) + int(size) + slop)
+                segment = Segment(row)
+                for at, size, item in (hit for block in blocks for hit in search(segment, block.value)):
+                    doc = int(np.searchsorted(begins + sizes, at, side="right"))
+                    low = max(0, at - int(begins[doc]) - slop)
+                    high = min(int(sizes[doc]), at - int(begins[doc]) + size + slop)
                     found.setdefault(doc, []).append((low, high, item))
                 rows = []
                 for d, (i, n) in enumerate(zip(row.doc_ids, sizes.tolist())):
@@ -257,8 +247,6 @@ def _judged(
                 yield pd.DataFrame(rows)
 
     spans = "array<struct<first:bigint,end:bigint>>"
-    return index.select(
-        "doc_ids", "first", "found"
-    ).mapInPandas(
+    return index.mapInPandas(
         judge, f"doc_id bigint, n_words bigint, n_hit bigint, items array<string>, spans {spans}"
     ).withColumn("contaminated", F.col("n_hit") > 0)

@@ -198,6 +198,8 @@ def predict(
             rows = shared.value.score_batch([t if isinstance(t, str) else None for t in texts])
             yield pd.DataFrame(rows, columns=["label", "score"])
 
+    # otherwise a filter on the label is pushed below, and texts are judged twice, by two workers side by side
+    judged = judged.asNondeterministic()
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (label.lower(), score.lower())]
     found = unused(docs, "_judged")
     return docs.select(*kept, judged(F.col(f"`{text}`")).alias(found)).select(

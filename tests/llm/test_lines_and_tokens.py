@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pricetide.llm import bpe, catalog, line_dedup, token_counts
+from pricetide.llm import bpe, catalog, decontamination, line_dedup, token_counts
 from pricetide.llm.line_dedup import like_packed, near_lines, packed_counts, remove_repeated_lines, within
 from pricetide.llm.token_counts import count_tokens, write_token_files
 from tests.llm.conftest import SF_DIR
@@ -276,6 +276,31 @@ def test_stages_on_odd_rows(spark, odd_rows):
     assert docs.count() > 0
 
 
+def python_steps(df):
+    """Steps of a plan that run in Python; those of one task run side by side, each in a worker of its own."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("ArrowEvalPython") + plan.count("MapInPandas")
+
+
+def test_stages_use_one_python_worker_per_task(spark, odd_rows):
+    docs = odd_rows.withColumn("lang", F.when(F.length("text") > 5, F.col("shard"))).withColumn("source", F.lit("s"))
+    items = catalog.table(spark, SF_DIR, "benchmark")
+    assert python_steps(corpus_pipeline.known_language(spark, docs, SF_DIR)) == 1
+    assert python_steps(corpus_pipeline.tokens(spark, docs, SF_DIR)) == 1
+    found = decontamination._judged(docs, items, 10, 0, "doc_id", "text", "item_id", "text")
+    assert python_steps(found) == 1
+    assert python_steps(catalog.op3_byte_bpe(spark, SF_DIR)) == 1
+
+
+def test_ids_and_bytes_of_one_worker_equal_those_of_two(spark, odd_rows):
+    ranks = bpe.read_ranks(public_tokenizers.path(catalog.RANK_FILE))
+    docs = odd_rows.withColumn("ids", F.lit("replaced")).withColumn("_pair", F.lit("kept"))
+    two = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    one = bpe.encode_and_decode(docs, ranks, public_tokenizers.PATTERN)
+    assert sorted(one.columns) == sorted(two.columns)
+    assert sorted(map(tuple, one.select(two.columns).collect()), key=str) == sorted(map(tuple, two.collect()), key=str)
+
+
 def test_language_stage_fills_null_labels(spark):
     english, german = "the cat sat on the mat and the dog was there", "der hund und die katze sind nicht auf dem dach"
     rows = [(i, (english, german)[i % 2], ("en", "de")[i % 2]) for i in range(40)]
