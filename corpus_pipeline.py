@@ -61,10 +61,13 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item; each row is judged by its own text."""
+    """Documents that hold no window of a benchmark item; each row is judged by its own text.
+
+    The rows to go are written first: by that table's size Spark sees whether whole texts need a shuffle.
+    """
     rows, row = numbered(docs)
     judged = contamination(rows, catalog.table(spark, sf_dir, "benchmark"), doc_id=row)
-    gone = judged.filter("contaminated").select(F.col("doc_id").alias(row))
+    gone = stage(judged.filter("contaminated").select(F.col("doc_id").alias(row)))
     return rows.join(gone, row, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 

@@ -292,6 +292,21 @@ def test_stages_use_one_python_worker_per_task(spark, odd_rows):
     assert python_steps(catalog.op3_byte_bpe(spark, SF_DIR)) == 1
 
 
+def test_few_rows_to_go_move_no_texts(spark):
+    item = catalog.table(spark, SF_DIR, "benchmark").filter("length(text) > 80").first()["text"]
+    text = F.when(F.col("id") % 1000 == 0, F.lit(item)).otherwise(F.format_string("clean text number %s", "id"))
+    docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text"))
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "4k")
+    try:
+        out = corpus_pipeline.without_benchmark(spark, docs, SF_DIR)
+        assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["doc_id"] for r in out.collect()) == [i for i in range(4000) if i % 1000]
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_ids_and_bytes_of_one_worker_equal_those_of_two(spark, odd_rows):
     ranks = bpe.read_ranks(public_tokenizers.path(catalog.RANK_FILE))
     docs = odd_rows.withColumn("ids", F.lit("replaced")).withColumn("_pair", F.lit("kept"))
