@@ -19,16 +19,16 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetide.llm.words import small_batches, unused
+from pricetide.llm.words import lean, small_batches, unused
 
 NONE = np.iinfo(np.int64).max
 # Ids of short strings are remembered per Python worker, up to so many; then the memory
 # starts afresh. Longer ones are merged each time.
-REMEMBERED, REMEMBERED_CHARS = 250_000, 40
+REMEMBERED, REMEMBERED_CHARS = 100_000, 40
 # Matches of more bytes are merged one by one.
 SIDE_BY_SIDE_BYTES = 64
 # Texts are worked off in groups of about this many characters, tree rows of about this many cells.
-GROUP_CHARS, GROUP_CELLS = 1 << 17, 1 << 19
+GROUP_CHARS, GROUP_CELLS = 1 << 17, 1 << 17
 
 
 def read_ranks(path: str) -> bytes:
@@ -65,9 +65,9 @@ class Vocabulary:
 
     def _fill_slots(self, left: np.ndarray, ranks: np.ndarray) -> None:
         """A hash table with linear probing, for lookups of many pairs at once."""
-        self.mask = (1 << (8 * len(left) + 8).bit_length()) - 1
+        self.mask = (1 << (4 * len(left) + 8).bit_length()) - 1
         self.slots = np.full(self.mask + 1, -1)
-        self.merged = np.full(self.mask + 1, -1)
+        self.merged = np.full(self.mask + 1, -1, dtype=np.int32)
         at = self._slot(left)
         while len(left):
             order = np.flatnonzero(self.slots[at] < 0)
@@ -81,7 +81,7 @@ class Vocabulary:
         wanted = np.where((left | right) < 0, -2, left << 32 | right)
         at = self._slot(wanted)
         found = self.slots.take(at)
-        out = np.where(found == wanted, self.merged.take(at), -1)
+        out = np.where(found == wanted, self.merged.take(at), -1).astype(np.int64)
         rest = np.flatnonzero((found != wanted) & (found >= 0))
         while len(rest):
             at[rest] = (at[rest] + 1) & self.mask
@@ -282,6 +282,7 @@ def encode(
     shared = df.sparkSession.sparkContext.broadcast(rank_file)
 
     @F.pandas_udf("binary")
+    @lean
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = _encoder(shared.value, pattern)
         for texts in batches:
@@ -296,6 +297,7 @@ def decode(df: DataFrame, rank_file: bytes, ids: str = "ids", out: str = "decode
     shared = df.sparkSession.sparkContext.broadcast(rank_file)
 
     @F.pandas_udf("binary")
+    @lean
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokens = _tokens_of(shared.value)
         for column in batches:
@@ -320,6 +322,7 @@ def encode_and_decode(
     shared = df.sparkSession.sparkContext.broadcast(rank_file)
 
     @F.pandas_udf("ids binary, decoded binary")
+    @lean
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(shared.value, pattern)
         for texts in batches:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricetide.llm.words import ALPHANUMERIC, hash_words, small_batches
+from pricetide.llm.words import ALPHANUMERIC, hash_words, lean, small_batches
 from pricetide.sources.paths import StageScope, stage
 
 # A segment ends with the document that brings it to so many bytes of text.
@@ -45,6 +45,7 @@ def _segment(ids: list, docs: list[bytes], gap: int) -> dict:
 def build_index(docs: DataFrame, gap: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Store the postings of all words of all documents; ``gap`` is the longest phrase."""
 
+    @lean
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, texts, size = [], [], 0
         for batch in batches:
@@ -211,6 +212,7 @@ def _judged(
                     yield begin, len(slots), name
 
     # search and judgement in one step: each step more is another Python worker beside every task
+    @lean
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         gap = length + slop
         for batch in batches:

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetide.llm.words import small_batches, unused
+from pricetide.llm.words import lean, small_batches, unused
 
 UNKNOWN = "und"
 # Hashed n-grams of one to three characters; log-probabilities per bucket and label.
@@ -155,6 +155,7 @@ def fit(docs: DataFrame, label: str = "lang", text: str = "text", key: str = "do
     draw = F.pmod("draw", F.lit(1 << 20)) / float(1 << 20)
     sample = rows.filter(draw < share[F.col("label")])
 
+    @lean
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, texts in batch.groupby("label")["text"]:
@@ -193,6 +194,7 @@ def predict(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("label string, score double")
+    @lean
     def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = shared.value.score_batch([t if isinstance(t, str) else None for t in texts])

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricetide.llm.components import components, thin_out
-from pricetide.llm.words import BATCH_ROWS, MinHash, U64, mix, shingle_sets, small_batches
+from pricetide.llm.words import BATCH_ROWS, MinHash, U64, give_back, lean, mix, shingle_sets, small_batches
 from pricetide.sources.paths import StageScope, stage
 
 SHINGLE_WORDS = 5
@@ -58,6 +58,7 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     small_batches(docs.sparkSession)
     minhash = MinHash(SAMPLES)
 
+    @lean
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for begin in range(0, len(batch), BATCH_ROWS):
@@ -129,6 +130,7 @@ def similar(pairs: DataFrame, percent: int) -> DataFrame:
                 y = hashes[starts[n + i] : starts[n + i + 1]]
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 out.append(100 * common >= percent * (len(x) + len(y) - common))
+        give_back()
         return pd.Series(out)
 
     return pairs.filter(confirmed("text_a", "text_b")).select("a", "b")

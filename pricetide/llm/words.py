@@ -5,9 +5,12 @@ sums (wrapping at 2**64), then a finaliser. Different words of one corpus meet w
 chance of about 2**-64 per compared pair.
 """
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Rows and bytes of one Arrow batch at most; a longer row is a batch of its own.
@@ -16,7 +19,7 @@ BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
 U64 = np.uint64
 # Text is hashed in pieces of about this many bytes, cut between words, so that memory does
 # not follow the length of a text.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -29,6 +32,32 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def give_back() -> None:
+    """Return what this process has freed to the system.
+
+    Idle Python workers stay beside the executor and are taken in turn, so what one batch needed at most would be held by
+    all of them until the session ends. Where the C library has no ``malloc_trim``, Arrow's pool alone shrinks.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(step: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A Python step on batches that gives back its memory after each batch, and after the last one."""
+
+    @functools.wraps(step)
+    def run(batches):
+        for out in step(batches):
+            yield out
+            del out
+            give_back()
+        give_back()
+
+    return run
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
